@@ -1 +1,10 @@
+"""SQL checks of the queries, for DuckDB."""
 
+from __future__ import annotations
+
+
+def all_checks() -> dict[str, str]:
+    from barograph.checks import oracle, warehouse_sql  # noqa: F401
+    from barograph.queries import all_queries
+
+    return {name: oracle.assemble(name) for name in all_queries() if name in oracle.PARTS}
