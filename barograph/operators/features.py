@@ -162,9 +162,9 @@ def encode_categoricals(
     encoded = df
     for c in columns:
         codes = mappings.where(F.col("column") == c).select(
-            F.col("value").alias(c), F.col("code").alias(f"_{c}")
+            F.col("value").alias(c), F.col("code").alias("_code")
         )
-        encoded = encoded.join(codes, c, "left").withColumn(c, F.coalesce(f"_{c}", F.lit(-1))).drop(f"_{c}")
+        encoded = encoded.join(codes, c, "left").withColumn(c, F.coalesce("_code", F.lit(-1))).drop("_code")
     return encoded.select(*df.columns), mappings
 
 

@@ -82,4 +82,8 @@ for _name in MODELS:
 
 
 def all_queries() -> dict[str, Query]:
+    from barograph.query_sets import (  # noqa: F401
+        business, exploration, features, ingestion, learning, monitoring, scalars, sources, streams,
+    )
+
     return dict(QUERIES)
