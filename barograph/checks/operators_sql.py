@@ -407,9 +407,11 @@ CF = ("min_temp max_temp temp_9am temp_3pm rainfall rain_sum precipitation_hours
       "shortwave_radiation_sum wind_gust_speed wind_speed_9am wind_speed_3pm wind_speed_100m_9am wind_speed_100m_3pm vpd_9am vpd_3pm "
       "evaporation").split()
 CT = "rain_tomorrow max_temp_tomorrow comfort_score heatwave_risk frost_risk storm_probability".split()
-add("corr_wide", "SELECT " + ", ".join(
-    r(f"CORR({a}, {b})", 6) + f' AS "{a}|{b}"' for i, a in enumerate(CF + CT) for b in (CF + CT)[i:]) + " FROM full_rows")
-add("corr_half", "SELECT SPLIT_PART(pair, '|', 1) AS a, SPLIT_PART(pair, '|', 2) AS b, r FROM (UNPIVOT INCLUDE NULLS corr_wide ON * INTO NAME pair VALUE r)")
+PAIRS = [(a, b) for i, a in enumerate(CF + CT) for b in (CF + CT)[i:]]
+add("corr_half", f"""
+SELECT UNNEST([{', '.join(f"'{a}'" for a, _ in PAIRS)}]) AS a, UNNEST([{', '.join(f"'{b}'" for _, b in PAIRS)}]) AS b, UNNEST(rs) AS r
+FROM (SELECT [{', '.join(r(f'CORR({a}, {b})', 6) for a, b in PAIRS)}] AS rs FROM full_rows)
+""")
 add("corr_matrix", "SELECT a, b, r FROM corr_half UNION SELECT b, a, r FROM corr_half")
 add("corr_top5", f"""
 SELECT b AS target, a AS feature, r, ROW_NUMBER() OVER (PARTITION BY b ORDER BY ABS(r) DESC, a)::INT AS rank FROM corr_matrix
@@ -610,7 +612,7 @@ GATES = {
     "max_temp_tomorrow in [0, 55]": n_if("max_temp_tomorrow NOT BETWEEN 0 AND 55"), "vpd >= 0": n_if("LEAST(vpd_9am, vpd_3pm) < 0"),
     "shortwave_radiation_sum >= 0": n_if("shortwave_radiation_sum < 0"), "max_temp >= min_temp": n_if("max_temp < min_temp"),
     "no duplicate (city, date)": "COUNT(*) - COUNT(DISTINCT (city, date))", "26 cities": "ABS(26 - COUNT(DISTINCT city))",
-    "no gap over 7 days": "(SELECT COUNT(*) FROM max_gap WHERE max_gap_days > 7)",
+    "no gap over 7 days": "MAX((SELECT COUNT(*) FROM max_gap WHERE max_gap_days > 7))",
 }
 add("quality_gates", "SELECT gate, n_bad, IF(n_bad = 0, 'PASS', 'FAIL') AS status FROM (" + " UNION ALL ".join(
     f"SELECT '{g}' AS gate, CAST({x} AS BIGINT) AS n_bad FROM full_rows" for g, x in GATES.items()) + ")")

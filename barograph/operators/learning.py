@@ -20,6 +20,7 @@ from barograph.operators.features import (
     align_features, category_codes, column_medians, encode_categoricals, feature_matrix,
 )
 from barograph.operators.sequence import number_rows, running_total
+from barograph.sources.landing import stored
 
 c = F.col
 RULES = DEFAULTS.training
@@ -127,14 +128,15 @@ class Prepared:
 
 def prepare(frame: DataFrame, rules: TrainingRules = RULES) -> tuple[DataFrame, Prepared]:
     """Encode, fill and assemble a feature frame; codes and medians are fitted here once and used
-    again for scoring."""
+    again for scoring. Codes, medians and vectors are written as tables, because training passes
+    over the vectors many times."""
     columns = [x for x in rules.numerical + rules.categorical if x in frame.columns]
     categories = [x for x in rules.categorical if x in frame.columns]
-    mappings = category_codes(frame, categories)
+    mappings = stored(category_codes(frame, categories), "category-codes")
     encoded, _ = encode_categoricals(frame, categories, mappings)
-    medians = column_medians(encoded, columns)
+    medians = stored(column_medians(encoded, columns), "medians")
     prepared = Prepared(columns, mappings, medians)
-    return _vectors(frame, prepared, rules), prepared
+    return stored(_vectors(frame, prepared, rules), "vectors"), prepared
 
 
 def _vectors(frame: DataFrame, prepared: Prepared, rules: TrainingRules = RULES) -> DataFrame:
@@ -264,7 +266,9 @@ def train_all(
     for target in rules.targets:
         by = target if target != "max_temp_tomorrow" else "_all"
         data = vectors.withColumn("_all", F.lit(0)) if by == "_all" else vectors
-        split = stratified_split(data, by, ["city", "date"], rules.test_share, rules.seed)
+        split = stored(
+            stratified_split(data, by, ["city", "date"], rules.test_share, rules.seed), f"split-{target}"
+        )
         train, test = split.where(~c("is_test")), split.where(c("is_test"))
         if target == "max_temp_tomorrow":
             models[target] = train_regression(train, target, rules)

@@ -31,6 +31,7 @@ class Context:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._results: dict[str, object] = {}
         self.catalog = Catalog(
             spark,
             lambda name: landed(spark, folder, name),
@@ -42,6 +43,12 @@ class Context:
     def table(self, name: str) -> DataFrame:
         return self.catalog.table(name)
 
+    def once(self, name: str, build: Callable[[], object]):
+        """A result shared by several queries, such as trained models."""
+        if name not in self._results:
+            self._results[name] = build()
+        return self._results[name]
+
     def given(self, name: str) -> DataFrame:
         return given(self.spark, self.folder, name)
 

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from barograph.functions.weather import weather_type
 from barograph.operators import learning as l
-from barograph.operators.features import feature_frame
+from barograph.operators.features import feature_frame, labels_train_set
 from barograph.queries import SETTINGS, Context, query
-from barograph.session import scratch_path
+from barograph.sources.landing import stored
 
 c = F.col
 # The published ensemble sizes take minutes per model on one machine; the registered queries train
@@ -21,27 +21,17 @@ RULES = replace(SETTINGS.training, trees=5, rare_trees=5, multiclass_trees=20, d
 
 def frame(ctx: Context) -> DataFrame:
     """The feature frame as a table: training reads it once per tree level."""
-    key = ("frame", ctx.folder)
-    if key not in _stored:
-        path = scratch_path(ctx.spark, "features")
-        feature_frame(ctx.table("src_weather_raw"), SETTINGS.labels, keep_last=True).write.parquet(path)
-        _stored[key] = path
-    return ctx.spark.read.parquet(_stored[key])
-
-
-_stored: dict[tuple[str, str], str] = {}
-_trained: dict[str, tuple] = {}
+    return ctx.once(
+        "features",
+        lambda: stored(feature_frame(ctx.table("src_weather_raw"), SETTINGS.labels, keep_last=True), "features"),
+    )
 
 
 def trained(ctx: Context):
-    if ctx.folder not in _trained:
-        _trained[ctx.folder] = l.train_all(training_rows(ctx), RULES)
-    return _trained[ctx.folder]
+    return ctx.once("models", lambda: l.train_all(training_rows(ctx), RULES))
 
 
 def training_rows(ctx: Context) -> DataFrame:
-    from barograph.operators.features import labels_train_set
-
     return labels_train_set(frame(ctx))
 
 

@@ -78,3 +78,10 @@ def landed(spark: SparkSession, folder: str, name: str) -> DataFrame:
     _, schema = LAYOUT[name]
     path = land(spark, folder, name)
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The same rows as a table in the shared folder: cuts lineage and survives lost executors."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
