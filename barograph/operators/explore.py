@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barograph import schemas
+from barograph.functions.rows import attach_row
 from barograph.functions import calendar as cal
 from barograph.functions.numeric import ratio, round_half_up, snap
 from barograph.operators.quantiles import exact_quantiles, melt
@@ -215,7 +216,7 @@ def minmax_profile(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame
     ranges = df.agg(
         *[F.min(x).alias(f"_low_{x}") for x in columns], *[F.max(x).alias(f"_high_{x}") for x in columns]
     )
-    return df.crossJoin(F.broadcast(ranges)).select(
+    return attach_row(df, ranges).select(
         key,
         *[F.try_divide(c(x) - c(f"_low_{x}"), c(f"_high_{x}") - c(f"_low_{x}")).alias(x) for x in columns],
     )
@@ -235,7 +236,7 @@ def pair_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     columns = list(columns)
     size = len(columns)
     means = df.agg(*[F.avg(c(x).cast("double")).alias(f"_mean_{x}") for x in columns])
-    centred = df.crossJoin(F.broadcast(means)).select(
+    centred = attach_row(df.select(*columns), means).select(
         *[(c(x).cast("double") - c(f"_mean_{x}")).alias(x) for x in columns]
     )
 
@@ -349,7 +350,7 @@ def delta_temp(df: DataFrame) -> DataFrame:
         F.max(F.when(c("prob") == 0.95, c("quantile"))).alias("p95"),
     )
     row = delta.agg(F.avg("delta").alias("mean"), F.stddev_samp("delta").alias("std"), F.count("delta").alias("n"))
-    return row.crossJoin(F.broadcast(tails))
+    return attach_row(row, tails)
 
 
 def calibration_curve(df: DataFrame, score: str, outcome: str, bins: int = 10) -> DataFrame:
@@ -360,7 +361,7 @@ def calibration_curve(df: DataFrame, score: str, outcome: str, bins: int = 10) -
     slot = F.greatest(F.ceil(place).cast("int") - 1, F.lit(0))
     width = (c("_high") - c("_low")) / bins
     return (
-        known.crossJoin(F.broadcast(span))
+        attach_row(known, span)
         .groupBy(F.coalesce(slot, F.lit(0)).alias("bin"), (c("_low") + 0.0).alias("_low"), width.alias("_width"))
         .agg(rate(outcome).alias("observed_rate"), F.count(F.lit(1)).alias("n"))
         .select("bin", (c("_low") + (c("bin") + 0.5) * c("_width")).alias("bin_center"), "observed_rate", "n")
@@ -441,8 +442,8 @@ def backtest_pairs(
 
     The window starts at the data's own last day. Rows per city are at most ``days`` + 1.
     """
-    last = full.agg(F.date_sub(F.max("date"), days).alias("_since"))
-    recent = full.crossJoin(F.broadcast(last)).where(c("date") >= c("_since"))
+    since = full.agg(F.date_sub(F.max("date"), days)).scalar()
+    recent = full.where(c("date") >= since)
     if city is not None:
         recent = recent.where(c("city") == city)
     by_city = Window.partitionBy("city").orderBy("date")
@@ -476,10 +477,8 @@ def backtest_rain_accuracy(full: DataFrame, days: int, city: str | None = None)
 
 def last_month_by_city(by_city_month: DataFrame) -> DataFrame:
     """The rows of the newest month, weakest city first."""
-    last = by_city_month.agg(F.max("month").alias("month"))
-    return by_city_month.join(F.broadcast(last), "month").orderBy(
-        F.asc_nulls_last("rain_accuracy"), "city"
-    )
+    newest = by_city_month.agg(F.max("month")).scalar()
+    return by_city_month.where(c("month") == newest).orderBy(F.asc_nulls_last("rain_accuracy"), "city")
 
 
 def latest_health(health: DataFrame) -> DataFrame:

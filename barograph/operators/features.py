@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barograph.config import DEFAULTS, LabelRules, TrainingRules
+from barograph.functions.rows import attach_row
 from barograph.functions import calendar as cal
 from barograph.functions import weather as w
 from barograph.functions.numeric import flag
@@ -191,7 +192,7 @@ def feature_matrix(
         *[F.col(k).alias(f"key_{k}") for k in keys], *[F.col(c).cast("double").alias(c) for c in wanted]
     )
     medians = column_medians(numbers, wanted) if medians is None else medians
-    filled = numbers.crossJoin(F.broadcast(medians.select(*[F.col(c).alias(f"_{c}") for c in wanted])))
+    filled = attach_row(numbers, medians.select(*[F.col(c).alias(f"_{c}") for c in wanted]))
     return filled.select(
         *[f"key_{k}" for k in keys], *[F.coalesce(c, f"_{c}").alias(c) for c in wanted]
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from barograph import schemas
 from barograph.config import DEFAULTS, IngestRules
+from barograph.functions.rows import attach_row
 from barograph.functions.numeric import all_present, any_missing, count_if
 from barograph.operators.sequence import islands
 from barograph.session import scratch_path
@@ -268,7 +269,7 @@ def gap_report(
     )
     bad = missing.unionByName(partial).unionByName(nulls)
     span = bad.agg(F.min("date").alias("gap_start"), F.max("date").alias("gap_end"))
-    return bad.crossJoin(F.broadcast(span))
+    return attach_row(bad, span)
 
 
 def validate_sources(decisions: DataFrame, tables: dict[str, DataFrame], run_date: date) -> DataFrame:

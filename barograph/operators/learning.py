@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barograph.config import DEFAULTS, TrainingRules
+from barograph.functions.rows import attach_row
 from barograph.functions.numeric import count_if, ratio, round_half_even, round_half_up
 from barograph.operators.features import (
     align_features, category_codes, column_medians, encode_categoricals, feature_matrix,
@@ -82,9 +83,8 @@ def binary_metrics(df: DataFrame, label: str, score: str, threshold: float = RUL
         round_half_up(F.coalesce(ratio(2 * tp, 2 * tp + fp + fn), F.lit(0.0)), 4).alias("f1"),
         round_half_up(F.avg(c(label).cast("double")), 4).alias("pos_rate"),
     )
-    # Both sides are one row by construction.
     auc = rank_auc(df, label, score).select(round_half_up("auc_roc", 4).alias("auc_roc"))
-    return row.crossJoin(F.broadcast(auc))
+    return attach_row(row, auc)
 
 
 def multiclass_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
@@ -164,7 +164,7 @@ def train_binary(df: DataFrame, label: str, rules: TrainingRules = RULES) -> Pip
     """Boosted trees with positives weighted by the class ratio (at least 1 for rare events)."""
     weights = class_weights(df, label)
     factor = c("ratio") if label == "rain_tomorrow" else F.greatest(c("ratio"), F.lit(1.0))
-    weighted = df.crossJoin(F.broadcast(weights.select(factor.alias("_ratio")))).withColumn(
+    weighted = attach_row(df, weights.select(factor.alias("_ratio"))).withColumn(
         "_weight", F.when(c(label) == 1, c("_ratio")).otherwise(1.0)
     )
     trees, depth = _tree_count(label, rules)

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barograph.functions.rows import attach_row
 from barograph.functions import calendar as cal
 from barograph.functions.numeric import count_if, flag, ratio, round_half_up, snap
 
@@ -55,7 +56,7 @@ def kpi_alerts_today(alerts: DataFrame, extremes: DataFrame, city: str | None =
         count_if(c("alert_level") == "High").alias("n_high_today"),
     )
     events = sliced(extremes, "weather_date", city).agg(F.count(F.lit(1)).alias("n_extreme_events"))
-    return _latest(per_day, "weather_date").crossJoin(F.broadcast(events))
+    return attach_row(_latest(per_day, "weather_date"), events)
 
 
 # Status text of each monitoring action.

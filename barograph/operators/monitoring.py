@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barograph.config import DEFAULTS, MonitoringRules, TrainingRules
+from barograph.functions.rows import attach_row
 from barograph.functions.numeric import as_int, flag, ratio, round_half_even, snap
 from barograph.operators.quantiles import melt, value_buckets
 from barograph.operators.sequence import asof_last, neighbour, running_total
@@ -278,7 +279,7 @@ def metrics_history_append(history: DataFrame, snapshot: DataFrame) -> DataFrame
     """
     top = history.agg(F.coalesce(F.max("row_num"), F.lit(-1)).alias("_top"))
     fresh = (
-        snapshot.crossJoin(F.broadcast(top))
+        attach_row(snapshot, top)
         .withColumn("row_num", F.col("_top") + 1)
         .select(*history.columns)
     )

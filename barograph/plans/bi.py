@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barograph.functions.rows import attach_row
 from barograph.functions import calendar as cal
 from barograph.functions.numeric import count_if, flag, snap
 
@@ -79,8 +80,7 @@ def data_quality_summary(data_quality_daily: DataFrame) -> DataFrame:
 def homepage_kpis(current_snapshot: DataFrame, dashboard_overview: DataFrame) -> DataFrame:
     """A single row: the cities at the latest date, and the latest month of the overview.
 
-    ``max_by`` picks the latest month in one pass instead of a join to the maximum; both sides of
-    the cross join are one row by construction.
+    ``max_by`` picks the latest day and month in one pass instead of a join to the maximum.
     """
     measures = {
         "avg_max_temp_tomorrow": "max_temp_tomorrow",
@@ -107,7 +107,7 @@ def homepage_kpis(current_snapshot: DataFrame, dashboard_overview: DataFrame) ->
             "year_month",
         ).alias("r")
     ).select("r.*")
-    return latest.crossJoin(F.broadcast(month))
+    return attach_row(latest, month)
 
 
 def alerts_summary_monthly(risk_alerts: DataFrame) -> DataFrame:

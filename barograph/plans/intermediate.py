@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barograph.config import DEFAULTS, Settings
+from barograph.functions.rows import attach_row
 from barograph.functions import calendar as cal
 from barograph.functions.numeric import as_int, band, count_if, ratio, round_half_up, snap
 from barograph.operators.sequence import drop_halo, neighbour, row_blocks
@@ -74,8 +75,7 @@ def completeness_daily(
     )
     done, want = F.col("complete_cities"), F.col("expected_cities")
     pct = F.when(want > 0, round_half_up(100.0 * done / want, 2))
-    # The baseline is one row by construction.
-    return daily.crossJoin(F.broadcast(expected)).select(
+    return attach_row(daily, expected).select(
         "date",
         "present_cities",
         "complete_cities",
@@ -194,7 +194,7 @@ def drift_ranking(
         F.desc_nulls_last("mean_ks_stat"),
         F.asc("feature_name"),
     )
-    return (
+    ranked = (
         features.withColumn("drift_frequency_pct", share("drift_days", "days_monitored"))
         .withColumn("drift_freq_last_30d_pct", share("drift_days_last_30d", "_recent_days"))
         .drop("_recent_days")
@@ -204,8 +204,8 @@ def drift_ranking(
             "drift_accelerating",
             F.col("drift_freq_last_30d_pct") > F.col("drift_frequency_pct") * 1.5,
         )
-        .crossJoin(F.broadcast(span))
     )
+    return attach_row(ranked, span)
 
 
 def gap_to_retrain(retrain_events: DataFrame, completeness_daily: DataFrame) -> DataFrame:

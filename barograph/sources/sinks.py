@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barograph.config import DEFAULTS, IngestRules
+from barograph.functions.rows import attach_row
 from barograph.functions.numeric import finite
 
 
@@ -59,8 +60,7 @@ def load_run_audit(
     """One audit row: row counts of ``tables`` and whether each of ``loaded`` has rows."""
     counts = [t.agg(F.count(F.lit(1)).alias(f"rows_{name}")) for name, t in tables.items()]
     flags = [t.agg((F.count(F.lit(1)) > 0).alias(f"{name}_loaded")) for name, t in loaded.items()]
-    # Every side is one row by construction.
-    row = reduce(lambda a, b: a.crossJoin(F.broadcast(b)), counts + flags)
+    row = reduce(attach_row, counts + flags)
     return row.select(
         F.uuid().alias("run_id"),
         F.lit(dag_id).alias("dag_id"),
