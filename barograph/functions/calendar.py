@@ -19,7 +19,7 @@ def season_index(date: Column | str) -> Column:
 
 
 def _season_name(date: Column | str, names: tuple[str, ...]) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), season_index(date))
+    return F.get(F.array(*[F.lit(n) for n in names]), season_index(date) - 1)
 
 
 def season(date: Column | str, northern: bool = False) -> Column:

@@ -17,7 +17,7 @@ COMPASS = (
 def compass(degrees: Column | str) -> Column:
     """Degrees to a compass point; half sectors go to the even sector."""
     sector = F.rint(col(degrees) / 22.5).cast("int")
-    return F.element_at(F.array(*[F.lit(p) for p in COMPASS]), F.pmod(sector, F.lit(16)) + 1)
+    return F.get(F.array(*[F.lit(p) for p in COMPASS]), F.pmod(sector, F.lit(16)))
 
 
 def weather_type(code: Column | str) -> Column:

@@ -252,7 +252,7 @@ def score_predictions(
 def _class_name(model: PipelineModel) -> Column:
     indexer = next(stage for stage in model.stages if isinstance(stage, StringIndexerModel))
     names = F.array(*[F.lit(x) for x in indexer.labels])
-    return F.element_at(names, c("prediction").cast("int") + 1)
+    return F.get(names, c("prediction").cast("int"))
 
 
 def train_all(
