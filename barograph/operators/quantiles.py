@@ -2,8 +2,8 @@
 
 ``percentile`` keeps all distinct values of a group in one buffer, which is right for a group that
 is small by its key (a city in a season). For a whole table these functions count the distinct
-values, cut each column's range into equal buckets, and sort only the buckets that hold a wanted
-rank.
+values, cut each column's range into equal buckets, and take running counts bucket by bucket in
+parallel.
 """
 
 from __future__ import annotations
@@ -53,24 +53,21 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], probs: Sequence[float]
     ranks = sizes.select(
         *keys, "_total", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
     ).withColumn("_rank", F.col("prob") * (F.col("_total") - 1))
-    wanted = F.arrays_zip(
-        F.transform(F.col("_ranks"), lambda r: r.getField("prob")).alias("p"),
-        F.transform(F.col("_ranks"), lambda r: r.getField("_rank")).alias("r"),
-    )
     per_key = ranks.groupBy(*keys).agg(F.collect_list(F.struct("prob", "_rank")).alias("_ranks"))
-    # A distinct value covers the positions [_upto - _n, _upto).
-    covered = (
-        running.join(per_key, keys)
-        .withColumn("_want", F.explode(wanted))
-        .select(*keys, "value", "_n", "_upto", F.col("_want.p").alias("prob"), F.col("_want.r").alias("_rank"))
-    )
 
     def holds(position: Column) -> Column:
+        """A distinct value covers the positions [_upto - _n, _upto)."""
         return (position >= F.col("_upto") - F.col("_n")) & (position < F.col("_upto"))
 
+    def touches(want: Column) -> Column:
+        rank = want.getField("_rank")
+        return holds(F.floor(rank)) | holds(F.ceil(rank))
+
     low, high = F.floor("_rank"), F.ceil("_rank")
     ends = (
-        covered.where(holds(low) | holds(high))
+        running.join(per_key, keys)
+        .withColumn("_want", F.explode(F.filter("_ranks", touches)))
+        .select(*keys, "value", "_n", "_upto", "_want.prob", "_want._rank")
         .groupBy(*keys, "prob", "_rank")
         .agg(
             F.max(F.when(holds(low), F.col("value"))).alias("_a"),

@@ -72,20 +72,33 @@ def presented(df: DataFrame) -> DataFrame:
     )
 
 
-def query(name: str) -> Callable[[Callable[[Context], DataFrame]], Callable[[Context], DataFrame]]:
-    """Register a function of a Context as a query."""
+def query(
+    name: str, exact: bool = False
+) -> Callable[[Callable[[Context], DataFrame]], Callable[[Context], DataFrame]]:
+    """Register a function of a Context as a query. ``exact`` results hold stored or integer values
+    only, whose digits cannot depend on the order of sums, and are returned as they are."""
 
     def register(build: Callable[[Context], DataFrame]) -> Callable[[Context], DataFrame]:
         if name in QUERIES:
             raise ValueError(f"query {name!r} is registered twice")
-        QUERIES[name] = lambda spark, folder: presented(build(context(spark, folder)))
+        finish = (lambda df: df) if exact else presented
+        QUERIES[name] = lambda spark, folder: finish(build(context(spark, folder)))
         return build
 
     return register
 
 
+# Models whose columns are stored values, whole numbers, labels, or already rounded.
+EXACT_MODELS = {
+    "stg_weather_raw", "stg_weather_predictions", "stg_model_metrics_history",
+    "stg_monitoring_decisions", "stg_drift_reports", "stg_retrain_events", "dim_alert_type",
+    "dim_weather_code", "dim_cities", "dim_city", "dim_date", "dim_weather_type", "weather_final",
+    "actuals_vs_predictions", "completeness_daily", "extreme_events_actual", "daily_clean",
+    "current_snapshot", "weather_extremes", "forecast_vs_actual_daily", "location_cities",
+    "data_quality_daily", "bi_current_snapshot", "bi_extremes",
+}
 for _name in MODELS:
-    query(_name)(lambda ctx, _name=_name: ctx.table(_name))
+    query(_name, exact=_name in EXACT_MODELS)(lambda ctx, _name=_name: ctx.table(_name))
 
 
 def all_queries() -> dict[str, Query]:

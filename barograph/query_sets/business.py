@@ -84,7 +84,7 @@ def _(ctx: Context):
     return k.calendar(ctx.table("stg_weather_raw"))
 
 
-@query("forecast_calc_columns")
+@query("forecast_calc_columns", exact=True)
 def _(ctx: Context):
     return k.forecast_calc_columns(fva(ctx))
 
@@ -94,7 +94,7 @@ def _(ctx: Context):
     return k.drift_month_date(ctx.table("feature_drift_summary"))
 
 
-@query("typed_mart_read")
+@query("typed_mart_read", exact=True)
 def _(ctx: Context):
     mart = fva(ctx)
     path = scratch_path(ctx.spark, "mart-csv")
@@ -127,17 +127,17 @@ def _(ctx: Context):
     return q.quality_gates(full(ctx), 26)
 
 
-@query("api_weather")
+@query("api_weather", exact=True)
 def _(ctx: Context):
     return s.api_weather(full(ctx), city=CITY, start=START, limit=500)
 
 
-@query("api_latest")
+@query("api_latest", exact=True)
 def _(ctx: Context):
     return s.api_latest(full(ctx))
 
 
-@query("api_predictions")
+@query("api_predictions", exact=True)
 def _(ctx: Context):
     return s.api_predictions(ctx.table("src_weather_predictions"), start=START, end=END)
 

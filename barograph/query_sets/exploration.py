@@ -22,7 +22,7 @@ def full(ctx: Context):
     return weather_full(ctx.table("src_weather_raw"), ctx.table("src_weather_predictions"))
 
 
-@query("complete_cases")
+@query("complete_cases", exact=True)
 def _(ctx: Context):
     return e.complete_cases(full(ctx))
 
@@ -186,7 +186,7 @@ def _(ctx: Context):
     return e.topk_cities(ctx.table("performance_by_city"))
 
 
-@query("hash_sample")
+@query("hash_sample", exact=True)
 def _(ctx: Context):
     kept = full(ctx).where(c("max_temp").isNotNull() & c("max_temp_tomorrow").isNotNull())
     return e.hash_sample(kept.select("date", "city", "max_temp", "max_temp_tomorrow", "state"), ["city", "date"], 5000)

@@ -28,7 +28,7 @@ def _(ctx: Context):
     return keyed(f.features_calendar(raw(ctx)), "month", "day_of_year", "season")
 
 
-@query("features_lag")
+@query("features_lag", exact=True)
 def _(ctx: Context):
     return keyed(f.features_lag(raw(ctx)), *[f"{x}_lag{n}" for x in f.LAGGED for n in (1, 2)])
 
@@ -55,7 +55,7 @@ def _(ctx: Context):
     return keyed(f.features_rain_intensity(raw(ctx)), "rainfall_intensity")
 
 
-@query("comfort_score")
+@query("comfort_score", exact=True)
 def _(ctx: Context):
     return keyed(raw(ctx).withColumn("comfort_score", w.comfort_score()), "comfort_score")
 
@@ -65,12 +65,12 @@ def _(ctx: Context):
     return keyed(raw(ctx).withColumn("weather_type", w.weather_type("weather_code")), "weather_type")
 
 
-@query("labels")
+@query("labels", exact=True)
 def _(ctx: Context):
     return keyed(f.labels(raw(ctx)), *SETTINGS.training.targets)
 
 
-@query("labels_train_set")
+@query("labels_train_set", exact=True)
 def _(ctx: Context):
     return keyed(f.labels_train_set(f.labels(raw(ctx))), *SETTINGS.training.targets)
 
@@ -91,6 +91,6 @@ def _(ctx: Context):
     return f.feature_matrix(raw(ctx), MATRIX)
 
 
-@query("align_features")
+@query("align_features", exact=True)
 def _(ctx: Context):
     return f.align_features(raw(ctx), [*MATRIX, "added_after_training"], ["date", "city"])

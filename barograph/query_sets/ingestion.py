@@ -44,17 +44,17 @@ def refetched(ctx: Context):
     return first.unionByName(second)
 
 
-@query("upsert_merge")
+@query("upsert_merge", exact=True)
 def _(ctx: Context):
     return ingest.upsert_merge(stored_half(ctx), refetched(ctx), order_col="load_order")
 
 
-@query("upsert_replace")
+@query("upsert_replace", exact=True)
 def _(ctx: Context):
     return ingest.upsert_replace(stored_half(ctx), refetched(ctx), ["date", "city"], "load_order")
 
 
-@query("upsert_ignore")
+@query("upsert_ignore", exact=True)
 def _(ctx: Context):
     return ingest.upsert_ignore(stored_half(ctx), refetched(ctx), ["date", "city"], "load_order")
 

@@ -40,7 +40,7 @@ def outcomes(ctx: Context) -> DataFrame:
     return ctx.table("actuals_vs_predictions").where("has_actuals")
 
 
-@query("target_mask")
+@query("target_mask", exact=True)
 def _(ctx: Context):
     return l.target_mask(training_rows(ctx), RULES.targets).select("date", "city", *RULES.targets)
 

@@ -19,12 +19,12 @@ c = F.col
 START, END = date(1995, 1, 1), date(2001, 12, 31)
 
 
-@query("src_scan")
+@query("src_scan", exact=True)
 def _(ctx: Context):
     return ctx.table("src_weather_raw")
 
 
-@query("src_metrics_history")
+@query("src_metrics_history", exact=True)
 def _(ctx: Context):
     """JSON lines written by Spark and read back with a schema; the order column is in the record."""
     path = scratch_path(ctx.spark, "metrics-jsonl")
@@ -32,7 +32,7 @@ def _(ctx: Context):
     return payloads.metrics_history(ctx.spark.read.text(path))
 
 
-@query("drift_json_explode")
+@query("drift_json_explode", exact=True)
 def _(ctx: Context):
     stats = F.struct(c("feature_name"), F.struct("ks_stat", "p_value", "drifted"))
     documents = ctx.table("src_drift_reports").groupBy("date").agg(
@@ -42,7 +42,7 @@ def _(ctx: Context):
     return payloads.drift_json_explode(documents.select(value.alias("value")))
 
 
-@query("decision_json_row")
+@query("decision_json_row", exact=True)
 def _(ctx: Context):
     """Documents that lack the low_accuracy key when no feature drifted."""
     rows = ctx.table("src_monitoring_decisions")
@@ -62,7 +62,7 @@ def _(ctx: Context):
     return payloads.decision_json_row(rows.select(F.to_json(document).alias("value")))
 
 
-@query("csv_roundtrip")
+@query("csv_roundtrip", exact=True)
 def _(ctx: Context):
     full = weather_full(ctx.table("src_weather_raw"), ctx.table("src_weather_predictions"))
     path = scratch_path(ctx.spark, "weather-full-csv")
@@ -86,7 +86,7 @@ def _(ctx: Context):
     )
 
 
-@query("publish_horizon")
+@query("publish_horizon", exact=True)
 def _(ctx: Context):
     raw, pred = sinks.publish_horizon(
         ctx.table("src_weather_raw"), ctx.table("src_weather_predictions"), AS_OF
@@ -170,7 +170,7 @@ def _landed_payloads(ctx: Context):
     return months.select("city", F.to_json(document, options).alias("payload"))
 
 
-@query("payload_parse")
+@query("payload_parse", exact=True)
 def _(ctx: Context):
     return payloads.payload_parse(_landed_payloads(ctx), ctx.table("dim_city"), START, END)
 
@@ -200,7 +200,7 @@ def _(ctx: Context):
     return payloads.payload_parse_map(rows, ctx.table("dim_city"), START, END)
 
 
-@query("schema_evolve")
+@query("schema_evolve", exact=True)
 def _(ctx: Context):
     """An old table without the later columns, read under today's schema."""
     old = ctx.table("src_weather_raw").drop(

@@ -42,7 +42,7 @@ def _(ctx: Context):
     return jobs.run_to_table(ctx.spark, stream, "stream-alerts")
 
 
-@query("stream_merge_upsert")
+@query("stream_merge_upsert", exact=True)
 def _(ctx: Context):
     """The stored observations, then a stream of refetched rows merged into them.
 
