@@ -555,7 +555,7 @@ FROM retraining_history
 """)
 SCORE = r("acc * 40 + comfort * 0.4::DOUBLE + GREATEST((5 - mae) * 4, 0)", 1)
 sliced("kpi_weather_score", f"""
-{SCORE} AS weather_score, CASE WHEN {SCORE} < 60 THEN 'Faible' WHEN {SCORE} < 75 THEN 'Moyen' WHEN {SCORE} < 90 THEN 'Bon' ELSE 'Excellent' END
+{SCORE} AS weather_score, CASE WHEN {SCORE} >= 90 THEN 'Excellent' WHEN {SCORE} >= 75 THEN 'Bon' WHEN {SCORE} >= 60 THEN 'Moyen' ELSE 'Faible' END
   AS performance_category, '@SLICE' AS slice FROM ({QUALITY})
 """)
 sliced("kpi_city_label", """

@@ -27,8 +27,9 @@ def sliced(
 
 
 def _latest(per_day: DataFrame, day: str) -> DataFrame:
-    """The row of the last day as a one-row table, picked with ``max_by``."""
-    return per_day.agg(F.max_by(F.struct(*per_day.columns), day).alias("r")).select("r.*")
+    """The row of the last day, picked with ``max_by``; no row when there are no days."""
+    last = per_day.agg(F.max_by(F.struct(*per_day.columns), day).alias("r"))
+    return last.where(c("r").isNotNull()).select("r.*")
 
 
 def kpi_latest_day(fva: DataFrame, city: str | None = None) -> DataFrame:

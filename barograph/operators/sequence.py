@@ -3,7 +3,8 @@
 A plain ``Window.partitionBy(city)`` puts all rows of a city in one task, and a window without a
 partition puts the whole table there. Each operator here first cuts the order column into chunks
 (a year, a month, a value bucket), works inside the chunks in parallel, and then carries one small
-row per chunk over the borders. Results equal those of the plain window.
+row per chunk over the borders. Results equal those of the plain window. A row whose key or order
+is null belongs to no sequence and is dropped.
 """
 
 from __future__ import annotations

@@ -94,7 +94,8 @@ def homepage_kpis(current_snapshot: DataFrame, dashboard_overview: DataFrame) ->
         F.countDistinct("city").alias("current_n_cities"),
         *[F.avg(source).alias(name) for name, source in measures.items()],
     )
-    latest = by_date.agg(F.max_by(F.struct(*by_date.columns), "latest_date").alias("r")).select("r.*")
+    newest = by_date.agg(F.max_by(F.struct(*by_date.columns), "latest_date").alias("r"))
+    latest = newest.where(F.col("r").isNotNull()).select("r.*")
     month = dashboard_overview.agg(
         F.max_by(
             F.struct(
