@@ -30,7 +30,8 @@ def upsert_merge(
     """Merge-safe upsert: a null in the new row never replaces a stored value.
 
     Several new rows of one key are first folded by ``order_col``: per column the last value that
-    is not null, which is what merging them one by one gives.
+    is not null, which is what merging them one by one gives. Without ``order_col`` the new rows
+    must have distinct keys. The fold and the join share one partitioning by key.
     """
     keys = list(keys)
     fresh = new

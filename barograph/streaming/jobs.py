@@ -22,10 +22,16 @@ from barograph.session import scratch_path
 c = F.col
 
 
-def read_stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """A stored table as a stream, its event time cast to TIMESTAMP."""
+def read_stream(spark: SparkSession, folder: str, table: str, max_files: int = 256) -> DataFrame:
+    """A stored table as a stream, its event time cast to TIMESTAMP. A backlog is drained in
+    micro-batches of ``max_files``, which bounds what a stateful function sees of one key at once."""
     schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(folder)
+    rows = (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", f"{table}.parquet")
+        .option("maxFilesPerTrigger", max_files)
+        .parquet(folder)
+    )
     return rows.withColumn("ts", c("ts").cast("timestamp")) if "ts" in rows.columns else rows
 
 
@@ -125,7 +131,7 @@ def stream_alert_dedup(src: DataFrame, key: str, cooldown_hours: int = 24, water
     """Alerts that are sent when each one silences its key for a while.
 
     The state of a key is one number, the time last sent. It is dropped once the watermark passes
-    the end of the cooldown.
+    the end of the cooldown. Per micro-batch a key is reduced to an array of its times.
     """
     cooldown = cooldown_hours * 3_600_000_000
 
