@@ -11,7 +11,7 @@ from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barograph.config import DEFAULTS, TrainingRules
@@ -200,8 +200,6 @@ def positive_share() -> Column:
 
 def feature_importance_top20(model: PipelineModel, names: Sequence[str]) -> DataFrame:
     """The 20 most used features. The vector has one entry per column, so it fits the driver."""
-    from pyspark.sql import SparkSession
-
     spark = SparkSession.getActiveSession()
     weights = model.stages[-1].featureImportances.toArray()
     rows = [(name, float(weight)) for name, weight in zip(names, weights)]

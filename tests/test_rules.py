@@ -3,7 +3,6 @@
 from datetime import date
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barograph import schemas
