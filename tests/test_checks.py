@@ -12,8 +12,8 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-CHECKS = entry.oracle_sql()
-QUERIES = entry.queries()
+CHECKS = {name: sql for name, sql in entry.oracle_sql().items() if name not in entry.LLM_CHECKS}
+QUERIES = {name: run for name, run in entry.queries().items() if name not in entry.LLM_QUERIES}
 ROWS_ONLY = {
     "train_binary", "train_regression", "train_multiclass", "feature_importance_top20",
     "score_predictions",
