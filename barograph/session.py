@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -50,3 +52,21 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder; nothing is created or removed."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that functions of its
+    modules can be used there wherever the session was started."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="barograph-")) / "barograph-package.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as package:
+        for file in sorted(root.rglob("*.py")):
+            package.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(path))
+    _shipped.add(context.applicationId)
