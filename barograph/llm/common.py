@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barograph.session import scratch_path
+from barograph.session import scratch_path, ship_package
 
 #: ASCII white space: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -72,6 +72,7 @@ def by_batch(
             if batch.num_rows:
                 yield step(batch)
 
+    ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -4,20 +4,58 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barograph.llm import bpe
+from barograph.llm import bpe, compression_rules, language_id, lm_scoring, quality_model, secret_scan
 from barograph.llm.common import table
 
+RANKS = "byte_bpe_50k.tiktoken"
+
 
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    """Encode and decode every document."""
-    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    """Encode every document, decode the ids, and digest both."""
+    path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     encoded = bpe.encode(table(spark, folder, "documents"), path, pattern)
     return bpe.digests(bpe.decode(encoded, path, pattern))
 
 
+def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document against documents labelled as good."""
+    good = table(spark, folder, "labels").where("quality = 1").select("doc_id")
+    return lm_scoring.cross_entropy_difference(table(spark, folder, "documents"), good)
+
+
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_model.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op5_compression_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and the verdict: few words or many repeats fail before the bands are asked."""
+    rows = compression_rules.compression_rules(table(spark, folder, "documents"))
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        failed.alias("base_failed"),
+        (~failed & F.col("in_bands")).alias("kept"),
+        "whole_ratio", "least_chunk_ratio", "most_chunk_ratio", "chunks", "chunks_outside",
+    )
+
+
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.languages(table(spark, folder, "documents"))
+
+
+def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.digests(secret_scan.scan(table(spark, folder, "documents")))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op3_lm_scoring": op3_lm_scoring,
+    "op4_quality": op4_quality,
+    "op5_compression_rules": op5_compression_rules,
+    "op6_language": op6_language,
+    "op10_secrets": op10_secrets,
 }
 
 #: DuckDB SQL by query, where SQL can express the operator.
