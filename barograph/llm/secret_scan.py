@@ -297,13 +297,16 @@ def digests(scanned: DataFrame, base: Sequence[Rule] = BASE_RULES) -> DataFrame:
             F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
         )
 
+    def of_kinds(*kinds: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
     kinds = [rule.kind for rule in base]
     return scanned.select(
         "doc_id",
         *[
-            F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+            F.size(of_kinds(kind)).cast("long").alias(f"n_{kind}")
             for kind in kinds
         ],
-        F.sha2(listed(F.filter("spans", lambda s: s["kind"].isin(kinds))).cast("binary"), 256).alias("base_sha256"),
+        F.sha2(listed(of_kinds(*kinds)).cast("binary"), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
     )
