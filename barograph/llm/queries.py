@@ -6,7 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barograph.llm import bpe, compression_rules, language_id, lm_scoring, quality_model, secret_scan
+from barograph.llm import (
+    bpe,
+    compression_rules,
+    language_id,
+    lm_scoring,
+    near_dedup,
+    quality_model,
+    secret_scan,
+)
 from barograph.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -45,6 +53,10 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.languages(table(spark, folder, "documents"))
 
 
+def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
 def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(table(spark, folder, "documents")))
 
@@ -55,6 +67,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_compression_rules": op5_compression_rules,
     "op6_language": op6_language,
+    "op7_near_duplicates": op7_near_duplicates,
     "op10_secrets": op10_secrets,
 }
 
