@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from barograph.llm import (
     bpe,
     compression_rules,
+    decontamination,
     language_id,
     lm_scoring,
     near_dedup,
@@ -57,6 +58,10 @@ def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(table(spark, folder, "documents")))
 
@@ -68,6 +73,7 @@ QUERIES = {
     "op5_compression_rules": op5_compression_rules,
     "op6_language": op6_language,
     "op7_near_duplicates": op7_near_duplicates,
+    "op9_decontamination": op9_decontamination,
     "op10_secrets": op10_secrets,
 }
 
