@@ -15,6 +15,7 @@ from barograph.llm import (
     near_dedup,
     quality_model,
     secret_scan,
+    sharding,
 )
 from barograph.llm.common import table
 
@@ -28,6 +29,10 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.decode(encoded, path, pattern))
 
 
+def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.sharded(table(spark, folder, "documents"))
+
+
 def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Every document against documents labelled as good."""
     good = table(spark, folder, "labels").where("quality = 1").select("doc_id")
@@ -68,6 +73,7 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_sharding": op2_sharding,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_quality": op4_quality,
     "op5_compression_rules": op5_compression_rules,
