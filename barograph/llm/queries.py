@@ -11,6 +11,7 @@ from barograph.llm import (
     compression_rules,
     decontamination,
     language_id,
+    license_scan,
     lm_scoring,
     near_dedup,
     quality_model,
@@ -63,6 +64,24 @@ def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
 
 
+def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Matches of every document, written as notice:coverage in percent:first word:end."""
+    found = license_scan.license_scan(table(spark, folder, "documents"))
+    listed = F.transform(
+        "matches",
+        lambda m: F.concat_ws(
+            ":", m["license"], F.round(100 * m["coverage"]).cast("int"), m["first_word"], m["end_word"]
+        ),
+    )
+    return found.select(
+        "doc_id",
+        F.size("matches").cast("long").alias("n_matches"),
+        "license",
+        "coverage",
+        F.array_join(listed, ",").alias("matches"),
+    )
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -79,6 +98,7 @@ QUERIES = {
     "op5_compression_rules": op5_compression_rules,
     "op6_language": op6_language,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_licenses": op8_licenses,
     "op9_decontamination": op9_decontamination,
     "op10_secrets": op10_secrets,
 }
