@@ -35,6 +35,7 @@ from barograph.llm.common import (
     rows_to_batch,
     shingle_hashes,
     stored,
+    union_all,
     utf8,
 )
 from barograph.llm.graph import components
@@ -138,43 +139,33 @@ def _order(rules: ForestRules, depth: int) -> Column:
 
 
 def forest(classes: DataFrame, rules: ForestRules) -> DataFrame:
-    """(rep, tree, k1..k4, order): representatives in regions of two or more, with the keys of their
-    prefixes of growing length and their place in the order of the tree."""
+    """(rep, tree, key, n, order): representatives in regions of two or more, with the number of
+    members of the region and their place in the order of the tree.
+
+    A region with more than ``leaf`` members also appears cut up by a longer prefix, and so on; each
+    depth is a table, so that later steps only read.
+    """
     in_trees = classes.select("rep", "sig", F.explode(F.sequence(F.lit(0), F.lit(rules.trees - 1))).alias("tree"))
-    keyed = in_trees.select("rep", "tree", F.xxhash64("tree", _order(rules, 1)).alias("k1"))
-    shared = keyed.groupBy("k1").agg(F.count(F.lit(1)).alias("n1")).where("n1 > 1")
-    members = keyed.join(shared, "k1")
-    return stored(
-        members.join(classes.select("rep", "sig"), "rep").select(
-            "rep",
-            "tree",
-            "k1",
-            "n1",
-            *[
-                F.xxhash64("tree", _order(rules, depth)).alias(f"k{depth}")
-                for depth in range(2, rules.deepest + 1)
-            ],
-            F.slice(_order(rules, rules.deepest), rules.prefix + 1, rules.prefix * rules.deepest).alias("order"),
-        ),
+    keyed = in_trees.select("rep", "tree", F.xxhash64("tree", _order(rules, 1)).alias("key"))
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    order = F.slice(_order(rules, rules.deepest), rules.prefix + 1, rules.prefix * (rules.deepest - 1))
+    members = stored(
+        keyed.join(shared, "key")
+        .join(classes.select("rep", "sig"), "rep")
+        .select("rep", "tree", "key", "n", order.alias("order")),
         "forest",
     )
-
-
-def regions(members: DataFrame, rules: ForestRules) -> list[tuple[DataFrame, bool]]:
-    """Members (rep, key, n, ...) by depth; the flag tells whether the regions are small. A region
-    with more than ``leaf`` members also appears, cut up by a longer prefix, at the next depth."""
-    out = []
-    rest = members.withColumn("key", F.col("k1")).withColumn("n", F.col("n1"))
-    for depth in range(1, rules.deepest + 1):
-        out.append((rest.where(F.col("n") <= rules.leaf), True))
-        large = rest.where(F.col("n") > rules.leaf)
-        out.append((large, False))
-        if depth == rules.deepest:
+    levels = [members]
+    for depth in range(1, rules.deepest):
+        large = members.where(F.col("n") > rules.leaf)
+        if not large.limit(1).count():
             break
-        name = f"k{depth + 1}"
-        sizes = large.groupBy(name).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        rest = large.drop("n", "key").join(sizes, name).withColumn("key", F.col(name))
-    return out
+        longer = F.xxhash64("key", F.slice("order", rules.prefix * (depth - 1) + 1, rules.prefix))
+        cut = large.withColumn("key", longer).drop("n")
+        sizes = cut.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        members = stored(cut.join(sizes, "key").select(levels[0].columns), "forest")
+        levels.append(members)
+    return union_all(levels)
 
 
 def _neighbours(small: DataFrame, rules: ForestRules) -> DataFrame:
@@ -214,13 +205,11 @@ def _anchored(large: DataFrame, by_links: bool) -> DataFrame:
 
 def candidates(members: DataFrame, rules: ForestRules, by_links: bool) -> DataFrame:
     """Pairs (a, b) of representatives in different components; b is the anchor if one is."""
-    found = None
-    for rows, small in regions(members, rules):
-        if by_links:
-            pairs = _anchored(rows, True)
-        else:
-            pairs = _neighbours(rows, rules) if small else _anchored(rows, False)
-        found = pairs if found is None else found.unionByName(pairs)
+    if by_links:
+        found = _anchored(members, True)
+    else:
+        small = F.col("n") <= rules.leaf
+        found = _neighbours(members.where(small), rules).unionByName(_anchored(members.where(~small), False))
     return (
         found.groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
         .agg(F.min("b").alias("b"))
@@ -340,6 +329,8 @@ def linked(classes: DataFrame, rows: DataFrame, rules: ForestRules) -> DataFrame
     def step(some: DataFrame, by_links: bool) -> int:
         pairs = candidates(_with_components(some, found, links), rules, by_links)
         scored = stored(promising(across(pairs), classes, rules), "candidates")
+        if not scored.limit(1).count():
+            return 0
         # first the best partner of each text, then what still lies between two components
         best = (
             scored.select(F.explode(F.array(F.struct("a", "b", "equal"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "equal"))).alias("p"))
