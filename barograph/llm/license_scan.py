@@ -173,25 +173,27 @@ class Notice:
             else:
                 stretches.append([j, j])
         found: list[tuple[float, int, int]] = []
-        size = len(self.words)
-        for low, high in stretches:
-            first, last = max(0, low - rules.gap), min(len(words), high + 1 + rules.gap)
+        todo = [(max(0, low - rules.gap), min(len(words), high + 1 + rules.gap)) for low, high in stretches]
+        while todo:
+            first, last = todo.pop()
             if self.reachable(set(words[first:last])) < rules.coverage:
                 continue
-            whole = self.best_run(words, first, last, rules)
-            if last - first > 2 * size + 2 * rules.gap or whole is None:
-                # several notices in one stretch hide each other's unique words: look window by window
-                step, width = max(1, size // 2), size + size // 2 + 2
-                for at in range(first, max(first + 1, last - step), step):
-                    run = self.best_run(words, at, min(last, at + width), rules)
-                    if run and (not found or run[1] >= found[-1][2]):
-                        found.append(run)
-                    elif run and run[0] > found[-1][0]:
-                        found[-1] = run
-            if whole and not any(f[1] < whole[2] and whole[1] < f[2] for f in found):
-                found.append(whole)
+            run = self.best_run(words, first, last, rules) or self.windowed(words, first, last, rules)
+            if run and not any(run[1] < f[2] and f[1] < run[2] for f in found):
+                found.append(run)
+                todo += [(first, run[1]), (run[2], last)]
         return sorted(found, key=lambda f: f[1])
 
+    def windowed(self, words: Sequence[str], first: int, last: int, rules: LicenseRules) -> tuple | None:
+        """The first alignment with a window of the stretch. Several notices in one stretch hide each
+        other's unique words; a window has room for one."""
+        step, width = max(1, len(self.words) // 2), len(self.words) * 3 // 2 + 2
+        for at in range(first, last, step):
+            run = self.best_run(words, at, min(last, at + width), rules)
+            if run:
+                return run
+        return None
+
 
 def notices(templates: Mapping[str, str]) -> list[Notice]:
     out = [Notice(name, tuple(words_of(text))) for name, text in templates.items()]
