@@ -60,8 +60,11 @@ class ForestRules:
     #: the share is 0.75 with a deviation of 0.038.
     share: float = 0.6
     rounds: int = 3
+    #: More candidates than this are compared in two turns, the best partner of each text first.
+    all_at_once: int = 50_000
     #: Representatives up to this number are broadcast as ids (8 bytes each); beyond, texts are shuffled.
     broadcast_ids: int = 2_000_000
+    broadcast_signatures: int = 100_000
     #: An anchor's text is sent once per block of its partners.
     blocks: int = 256
 
@@ -106,10 +109,10 @@ def similar(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
 
 
 def sketches(rows: DataFrame, rules: ForestRules = DEFAULT_RULES) -> DataFrame:
-    """(doc_id, n_shingles, d1, d2, sig) per row (doc_id, text); an empty set has nulls."""
+    """(doc_id, text_key, n_shingles, d1, d2, sig) per row (doc_id, text); an empty set has nulls."""
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
-         ("sig", pa.list_(pa.int32()))]
+        [("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()),
+         ("d2", pa.int64()), ("sig", pa.list_(pa.int32()))]
     )
 
     def make():
@@ -122,11 +125,16 @@ def sketches(rows: DataFrame, rules: ForestRules = DEFAULT_RULES) -> DataFrame:
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = [one(text) for text in utf8(batch.column("text"))]
-            return rows_to_batch(schema, [batch.column("doc_id"), *map(list, zip(*found, strict=True))])
+            keys = [batch.column("doc_id"), batch.column("text_key")]
+            return rows_to_batch(schema, [*keys, *map(list, zip(*found, strict=True))])
 
         return step
 
-    return by_batch(rows, make, "doc_id long, n_shingles long, d1 long, d2 long, sig array<int>")
+    return by_batch(
+        rows.withColumn("text_key", F.xxhash64("text")),
+        make,
+        "doc_id long, text_key long, n_shingles long, d1 long, d2 long, sig array<int>",
+    )
 
 
 # ---------------------------------------------------------------- forest
@@ -217,11 +225,18 @@ def candidates(members: DataFrame, rules: ForestRules, by_links: bool) -> DataFr
     )
 
 
-def promising(pairs: DataFrame, classes: DataFrame, rules: ForestRules) -> DataFrame:
-    """Pairs with their share of equal signature values (compared by seven bits each), if it is large."""
-    small = classes.select("rep", F.transform("sig", lambda x: x.bitwiseAND(127).cast("tinyint")).alias("sig"))
-    left = small.select(F.col("rep").alias("a"), F.col("sig").alias("left"))
-    right = small.select(F.col("rep").alias("b"), F.col("sig").alias("right"))
+def short_signatures(classes: DataFrame, ids: DataFrame, rules: ForestRules) -> DataFrame:
+    """(rep, sig) of the given representatives, seven bits per value. Up to ``broadcast_signatures``
+    of them are broadcast (128 bytes each)."""
+    bits = F.transform("sig", lambda x: x.bitwiseAND(127).cast("tinyint"))
+    short = stored(classes.join(ids, "rep", "left_semi").select("rep", bits.alias("sig")), "signatures")
+    return F.broadcast(short) if short.count() <= rules.broadcast_signatures else short
+
+
+def promising(pairs: DataFrame, signatures: DataFrame, rules: ForestRules) -> DataFrame:
+    """Pairs with the number of equal signature values, if it is large."""
+    left = signatures.select(F.col("rep").alias("a"), F.col("sig").alias("left"))
+    right = signatures.select(F.col("rep").alias("b"), F.col("sig").alias("right"))
     equal = F.size(F.filter(F.zip_with("left", "right", lambda x, y: x == y), lambda same: same))
     return (
         pairs.join(left, "a")
@@ -241,22 +256,16 @@ def confirmed(pairs: DataFrame, texts: DataFrame, rules: ForestRules) -> DataFra
     set of one anchor. A popular anchor is split over blocks of partners.
     """
     blocked = pairs.select("a", "b", F.pmod(F.xxhash64("a"), F.lit(rules.blocks)).alias("block"))
-    partners = blocked.join(texts.withColumnRenamed("rep", "a"), "a").select(
-        "b", "block", F.lit(1).alias("turn"), "a", "text"
-    )
-    anchors = (
-        blocked.select("b", "block")
-        .distinct()
-        .join(texts.withColumnRenamed("rep", "b"), "b")
-        .select("b", "block", F.lit(0).alias("turn"), F.col("b").alias("a"), "text")
-    )
+    partners = blocked.select(F.col("a").alias("rep"), "b", "block", F.lit(1).alias("turn"))
+    anchors = blocked.select(F.col("b").alias("rep"), "b", "block", F.lit(0).alias("turn")).distinct()
+    asked = partners.unionByName(anchors).join(texts, "rep")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, sets = None, []
         for batch in batches:
             a, b = [], []
             for key, block, turn, partner, text in zip(
-                *[batch.column(n).to_pylist() for n in ("b", "block", "turn", "a")],
+                *[batch.column(n).to_pylist() for n in ("b", "block", "turn", "rep")],
                 utf8(batch.column("text")),
                 strict=True,
             ):
@@ -271,22 +280,39 @@ def confirmed(pairs: DataFrame, texts: DataFrame, rules: ForestRules) -> DataFra
 
     ship_package(pairs.sparkSession)
     return (
-        partners.unionByName(anchors)
-        .repartition("b", "block")
+        asked.repartition("b", "block")
         .sortWithinPartitions("b", "block", "turn")
         .mapInArrow(compare, "a long, b long")
     )
 
 
-def _with_components(members: DataFrame, found: DataFrame | None, links: DataFrame | None) -> DataFrame:
-    """Members with the component and the number of links of their representative."""
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select("*", F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+
+
+def _across(pairs: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Pairs whose ends are not connected yet."""
     if found is None:
-        return members.withColumn("component", F.col("rep")).withColumn("links", F.lit(0).cast("long"))
-    ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-    known = found.join(ends, "node").withColumnRenamed("node", "rep")
-    return members.join(known, "rep", "left").withColumns(
-        {"component": F.coalesce("component", "rep"), "links": F.coalesce("links", F.lit(0))}
+        return pairs
+    columns = pairs.columns
+    for end in ("a", "b"):
+        known = found.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
+        pairs = pairs.join(known, end, "left")
+    return pairs.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select(columns)
+
+
+def _best(scored: DataFrame) -> DataFrame:
+    """Pairs with a mark on those that are the best partner of one of their ends."""
+    turned = scored.select(F.col("b").alias("a"), F.col("a").alias("b"), "equal")
+    best = (
+        scored.unionByName(turned)
+        .groupBy("a")
+        .agg(F.max_by("b", F.struct("equal", -F.col("b"))).alias("b"))
+        .select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+        .distinct()
+        .withColumn("best", F.lit(True))
     )
+    return _ends(scored).join(best, ["x", "y"], "left").select("a", "b", F.coalesce("best", F.lit(False)).alias("best"))
 
 
 def linked(classes: DataFrame, rows: DataFrame, rules: ForestRules) -> DataFrame | None:
@@ -296,59 +322,53 @@ def linked(classes: DataFrame, rows: DataFrame, rules: ForestRules) -> DataFrame
     ids = F.broadcast(reps) if reps.count() <= rules.broadcast_ids else reps
     texts = stored(rows.withColumnRenamed("doc_id", "rep").join(ids, "rep", "left_semi"), "forest-texts")
 
-    links: DataFrame | None = None
+    signatures = short_signatures(classes, ids, rules)
+
+    links: list[DataFrame] = []
+    tested: list[DataFrame] = []
     found: DataFrame | None = None
-    tested: DataFrame | None = None
 
     def add(pairs: DataFrame) -> int:
         """Compare pairs, keep the links, renew the components; the number of new links."""
-        nonlocal links, found, tested
-        new = stored(confirmed(pairs, texts, rules).distinct(), "links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
+        nonlocal found
+        new = stored(confirmed(pairs, texts, rules), "links")
         n = new.count()
         if n:
-            links = new if links is None else links.unionByName(new)
-            found = components(links, "a", "b")
+            links.append(new)
+            found = stored(components(union_all(links), "a", "b"), "components")
         return n
 
-    def across(pairs: DataFrame) -> DataFrame:
-        """Pairs that still join two components and were not compared before."""
-        if tested is not None:
-            done = tested.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
-            pairs = pairs.withColumns({"x": F.least("a", "b"), "y": F.greatest("a", "b")}).join(
-                done, ["x", "y"], "left_anti"
-            )
-        if found is not None:
-            for end in ("a", "b"):
-                pairs = pairs.join(
-                    found.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")), end, "left"
-                )
-            pairs = pairs.where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
-        return pairs.select("a", "b")
-
     def step(some: DataFrame, by_links: bool) -> int:
-        pairs = candidates(_with_components(some, found, links), rules, by_links)
-        scored = stored(promising(across(pairs), classes, rules), "candidates")
-        if not scored.limit(1).count():
+        some = some.withColumn("component", F.col("rep")).withColumn("links", F.lit(0))
+        if found is not None:
+            known = found.withColumnRenamed("node", "rep").withColumnRenamed("component", "known")
+            some = some.join(known, "rep", "left").withColumn("component", F.coalesce("known", "rep"))
+        if by_links:
+            ends = union_all(links).select(F.explode(F.array("a", "b")).alias("rep"))
+            degrees = ends.groupBy("rep").agg(F.count(F.lit(1)).alias("degree"))
+            some = some.join(degrees, "rep", "left").withColumn("links", F.coalesce("degree", F.lit(0)))
+        pairs = candidates(some, rules, by_links)
+        if by_links and tested:
+            done = _ends(union_all(tested)).select("x", "y")
+            pairs = _ends(pairs).join(done, ["x", "y"], "left_anti").select("a", "b")
+        scored = stored(promising(pairs, signatures, rules), "candidates")
+        size = scored.count()
+        if not size:
             return 0
+        tested.append(scored.select("a", "b"))
+        if size <= rules.all_at_once:
+            return add(scored.select("a", "b"))
         # first the best partner of each text, then what still lies between two components
-        best = (
-            scored.select(F.explode(F.array(F.struct("a", "b", "equal"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "equal"))).alias("p"))
-            .groupBy("p.a")
-            .agg(F.max_by(F.col("p.b"), F.struct(F.col("p.equal"), -F.col("p.b"))).alias("b"))
-        )
-        chosen = scored.join(
-            best.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct(),
-            (F.least(scored["a"], scored["b"]) == F.col("x")) & (F.greatest(scored["a"], scored["b"]) == F.col("y")),
-            "left_semi",
-        )
-        n = add(stored(chosen.select("a", "b"), "chosen"))
-        rest = stored(across(scored.select("a", "b")), "chosen")
-        return n + (add(rest) if rest.limit(1).count() else 0)
+        marked = stored(_best(scored), "candidates")
+        n = add(marked.where("best").select("a", "b"))
+        return n + add(_across(marked.where("NOT best").select("a", "b"), found))
 
-    step(members.where(F.col("tree") < rules.first_trees), False)
-    step(members, False)
-    for _ in range(rules.rounds):
+    if members.where(F.col("n") > rules.leaf).limit(1).count():
+        step(members.where(F.col("tree") < rules.first_trees), False)
+        step(members.where(F.col("tree") >= rules.first_trees), False)
+    else:
+        step(members, False)
+    for _ in range(rules.rounds if links else 0):
         if not step(members, True):
             break
     return found
@@ -357,7 +377,8 @@ def linked(classes: DataFrame, rows: DataFrame, rules: ForestRules) -> DataFrame
 def near_duplicates(
     docs: DataFrame, rules: ForestRules = DEFAULT_RULES, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), a row per row.
+    """(doc_id, n_shingles, component_id, kept, text_key), a row per row; ``text_key`` is Spark's
+    xxhash64 of the text.
 
     A text with fewer words than a shingle is one shingle; a null text or one without words has none
     and is linked with nothing. Texts with equal sets are linked. Rows that repeat an id with the
@@ -372,7 +393,7 @@ def near_duplicates(
         .agg(F.min("doc_id").alias("rep"), F.any_value("sig").alias("sig")),
         "sets",
     )
-    classes = sets.where("rep IS NOT NULL").groupBy("rep").agg(F.any_value("sig").alias("sig"))
+    classes = sets.where("rep IS NOT NULL").select("rep", "sig")
     found = linked(classes, rows, rules)
     named = sets.select("d1", "d2", "rep")
     if found is not None:
@@ -381,12 +402,13 @@ def near_duplicates(
         named = named.withColumn("component", F.lit(None).cast("long"))
     named = named.select("d1", "d2", F.coalesce("component", "rep").alias("component"))
     return (
-        sketched.select("doc_id", "n_shingles", "d1", "d2")
+        sketched.select("doc_id", "text_key", "n_shingles", "d1", "d2")
         .join(named, ["d1", "d2"], "left")
         .select(
             "doc_id",
             "n_shingles",
             F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
+            "text_key",
         )
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
     )
