@@ -121,3 +121,20 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     for frame in frames[1:]:
         out = out.unionByName(frame)
     return out
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {column.lower() for column in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, keys: DataFrame, on: Sequence[str], most: int = 2_000_000) -> DataFrame:
+    """Rows of ``docs`` whose key is not in ``keys``. Up to ``most`` keys are broadcast, so the texts
+    stay where they are; more keys make it a shuffled join."""
+    keys = keys.select(*on).distinct()
+    if keys.limit(most + 1).count() <= most:
+        keys = F.broadcast(keys)
+    return docs.join(keys, list(on), "left_anti")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barograph.llm.common import SPACES, by_batch, documents, remainder, rows_to_batch, stored, utf8
+from barograph.llm.common import SPACES, by_batch, remainder, rows_to_batch, stored, utf8
 
 
 @dataclass(frozen=True)
@@ -109,18 +109,26 @@ def statistics(text: bytes) -> list[float]:
     ]
 
 
-def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, stats) of every whole text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("stats", pa.list_(pa.float64()))])
+def document_statistics(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None
+) -> DataFrame:
+    """(doc_id, key, stats) of every whole text; ``key`` is a number of the caller's, or null."""
+    key = F.lit(None) if key_col is None else F.col(key_col)
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        key.cast("long").alias("key"),
+        F.col(text_col).cast("string").alias("text"),
+    )
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("stats", pa.list_(pa.float64()))])
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             stats = [statistics(text or b"") for text in utf8(batch.column("text"))]
-            return rows_to_batch(schema, [batch.column("doc_id"), stats])
+            return rows_to_batch(schema, [batch.column("doc_id"), batch.column("key"), stats])
 
         return step
 
-    return by_batch(documents(docs, id_col, text_col), make, "doc_id long, stats array<double>")
+    return by_batch(rows, make, "doc_id long, key long, stats array<double>")
 
 
 # ---------------------------------------------------------------- model
@@ -262,20 +270,21 @@ def solved(sample: DataFrame, model: QualityModel, rules: QualityRules) -> np.nd
 
 
 def scored(stats: DataFrame, model: QualityModel, rules: QualityRules = DEFAULT_RULES) -> DataFrame:
-    """(doc_id, score, predicted) for every row of ``stats``."""
-    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("predicted", pa.int32())])
+    """(doc_id, key, score, predicted) for every row of ``stats``."""
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("key", pa.int64()), ("score", pa.float64()), ("predicted", pa.int32())]
+    )
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             flat = batch.column("stats").flatten().to_numpy(zero_copy_only=False)
             score = model.score(flat.reshape(batch.num_rows, len(NAMES)))
-            return rows_to_batch(
-                schema, [batch.column("doc_id"), score, (score >= rules.threshold).astype(np.int32)]
-            )
+            good = (score >= rules.threshold).astype(np.int32)
+            return rows_to_batch(schema, [batch.column("doc_id"), batch.column("key"), score, good])
 
         return step
 
-    return by_batch(stats, make, "doc_id long, score double, predicted int")
+    return by_batch(stats, make, "doc_id long, key long, score double, predicted int")
 
 
 def quality(
@@ -284,17 +293,19 @@ def quality(
     rules: QualityRules = DEFAULT_RULES,
     id_col: str = "doc_id",
     text_col: str = "text",
+    key_col: str | None = None,
 ) -> DataFrame:
-    """(doc_id, held_out, score, predicted): the text alone decides the score.
+    """(doc_id, held_out, score, predicted, key): the text alone decides the score.
 
     One row per row: a null text counts as empty, repeated rows and null ids stay, other columns
     are not read, no rows give no rows.
     """
-    stats = stored(document_statistics(docs, id_col, text_col), "quality-statistics")
+    stats = stored(document_statistics(docs, id_col, text_col, key_col), "quality-statistics")
     model = fit(stats, labels, rules)
     return scored(stats, model, rules).select(
         "doc_id",
         (remainder("doc_id", rules.folds) == rules.held_out).alias("held_out"),
         "score",
         "predicted",
+        "key",
     )

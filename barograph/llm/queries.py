@@ -41,7 +41,8 @@ def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
-    return quality_model.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    scores = quality_model.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scores.drop("key")
 
 
 def op5_compression_rules(spark: SparkSession, folder: str) -> DataFrame:
