@@ -7,7 +7,7 @@ from barograph.checks.warehouse_sql import FIELDS
 
 DAY = "DATE '2001-10-15'"
 G0, G1 = "DATE '2001-08-01'", "DATE '2001-10-31'"
-RAW = FIELDS.split()[:32]  # observation columns after the place
+RAW = FIELDS[:32]  # observation columns after the place
 
 
 def even(x: str, n: int) -> str:
@@ -42,11 +42,12 @@ SELECT YEAR(prediction_date)::INT AS year, MONTH(prediction_date)::INT AS month,
 FROM forecast_vs_actual_daily GROUP BY ALL
 """)
 add("publish_horizon", f"""
-SELECT w.* , {cols(PRED, f'IF(w.date >= {AS_OF} - 90, w2.{{c}}, NULL) AS {{c}}')}
-FROM src_weather_raw w JOIN full_rows w2 USING (date, city) WHERE w.date >= {AS_OF} - 180
+SELECT w.* REPLACE (IF(w.date < {AS_OF} - 180, w.max_temp + 100, w.max_temp) AS max_temp),
+  {cols(PRED, f'IF(w.date >= {AS_OF} - 120, w2.{{c}}, NULL) AS {{c}}')}
+FROM src_weather_raw w JOIN full_rows w2 USING (date, city) WHERE w.date >= {AS_OF} - 210
 """)
 add("load_run_audit", f"""
-SELECT 'manual' AS dag_id, {AS_OF} AS data_date, (SELECT COUNT(*) FROM src_weather_raw) AS rows_weather_raw,
+SELECT 'manual' AS dag_id, UNNEST([{AS_OF} - 1, {AS_OF}]) AS execution_date, {AS_OF} AS data_date, (SELECT COUNT(*) FROM src_weather_raw) AS rows_weather_raw,
   (SELECT COUNT(*) FROM src_weather_predictions) AS rows_weather_predictions,
   EXISTS (FROM src_monitoring_decisions) AS monitoring_decision_loaded, EXISTS (FROM src_drift_reports) AS drift_report_loaded,
   EXISTS (FROM src_retrain_events) AS retrain_event_loaded
@@ -197,9 +198,10 @@ add("comfort_score", f"SELECT date, city, {COMFORT} AS comfort_score FROM src_we
 
 
 def wmo(code: str) -> str:
-    return (f"CASE WHEN {code} IS NULL THEN 'Unknown' WHEN {code} >= 95 AND {code} < 100 THEN 'Stormy' "
-            f"WHEN ({code} > 50 AND {code} < 68) OR {code} IN (80, 81, 82, 83, 84, 85, 86) THEN 'Rainy' "
-            f"WHEN {code} // 10 = 1 OR {code} = 45 OR {code} = 48 THEN 'Cloudy' ELSE 'Sunny' END")
+    # Code ranges of each class; any other code is sunny.
+    return (f"CASE WHEN {code} IS NULL THEN 'Unknown' WHEN {code} BETWEEN 95 AND 99 THEN 'Stormy' "
+            f"WHEN {code} BETWEEN 51 AND 67 OR {code} BETWEEN 80 AND 86 THEN 'Rainy' "
+            f"WHEN {code} BETWEEN 10 AND 19 OR {code} IN (45, 48) THEN 'Cloudy' ELSE 'Sunny' END")
 
 
 add("weather_type", f"SELECT date, city, {wmo('weather_code')} AS weather_type FROM src_weather_raw")
@@ -237,7 +239,6 @@ LEFT JOIN (SELECT city, MAX(date) AS d FROM src_weather_predictions GROUP BY cit
 WHERE a.d IS DISTINCT FROM b.d
 """)
 KS = ["max_temp", "min_temp", "humidity_3pm", "pressure_3pm", "rainfall", "wind_gust_speed"]
-X = "((SQRT(n * m / (n + m)) + 0.12::DOUBLE + 0.11::DOUBLE / SQRT(n * m / (n + m))) * d)"
 add("ks_drift", f"""
 WITH l AS (
   SELECT {AS_OF} - date <= 30 AS recent, UNNEST([{', '.join(f"'{c}'" for c in KS)}]) AS feature_name, UNNEST([{', '.join(KS)}]) AS value
@@ -250,8 +251,19 @@ g AS (
   WINDOW v AS (PARTITION BY feature_name ORDER BY value RANGE UNBOUNDED PRECEDING)),
 d AS (SELECT feature_name, ROUND(MAX(gap), 12) AS d, MAX(n) AS n, MAX(m) AS m FROM g GROUP BY 1),
 p AS (
-  SELECT feature_name, d, IF({X} < 0.2, 1, LEAST(GREATEST(2 * LIST_SUM(LIST_TRANSFORM(RANGE(1, 101),
-    lambda k: (CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END) * EXP(-2::DOUBLE * k * k * {X} * {X}))), 0), 1)) AS p FROM d)
+  WITH RECURSIVE size AS (
+    SELECT feature_name, d, LEAST(n, m)::BIGINT AS a, GREATEST(n, m)::BIGINT AS b, ROUND(d * n * m)::BIGINT AS gap FROM d),
+  path AS (
+    SELECT size.*, 0::BIGINT AS i, 0::BIGINT AS low, 0::DOUBLE AS logs,
+      LIST_TRANSFORM(RANGE(0, LEAST(b, (gap - 1) // a) + 1), lambda k: 1::DOUBLE) AS ways FROM size WHERE gap > 0
+    UNION ALL
+    SELECT feature_name, d, a, b, gap, i, low, logs + LN(raw[-1]), LIST_TRANSFORM(raw, lambda x: x / raw[-1]) FROM (
+      SELECT feature_name, d, a, b, gap, i + 1 AS i, f AS low, logs,
+        LIST_TRANSFORM(RANGE(1, t - f + 2), lambda x: LIST_SUM(LIST_SLICE(ways, f - low + 1, f - low + x))) AS raw
+      FROM (SELECT *, GREATEST(0, FLOOR(((i + 1) * b - gap)::DOUBLE / a)::BIGINT + 1) AS f,
+          LEAST(b, CEIL(((i + 1) * b + gap)::DOUBLE / a)::BIGINT - 1) AS t FROM path WHERE i < a)))
+  SELECT feature_name, d, 1 - EXP(logs + LN(ways[b - low + 1]) + LGAMMA(a + 1) + LGAMMA(b + 1) - LGAMMA(a + b + 1)) AS p
+  FROM path WHERE i = a UNION ALL SELECT feature_name, d, 1::DOUBLE FROM size WHERE gap <= 0)
 SELECT {AS_OF} AS date, feature_name, {even('d', 4)} AS ks_stat, {even('p', 4)} AS p_value, p < 0.05::DOUBLE AS drifted FROM p
 """)
 add("drift_window_completeness", f"""
@@ -329,10 +341,17 @@ SELECT alert_key, ts FROM sent WHERE ts IS NOT NULL
 """)
 
 # --- exploration --------------------------------------------------------------------------------
-ENRICHED = ("rain_sum precipitation_hours dew_point_9am dew_point_3pm surface_pressure_9am surface_pressure_3pm "
-            "shortwave_radiation_sum vpd_9am vpd_3pm wind_speed_100m_9am wind_speed_100m_3pm").split()
-BASE = ("min_temp max_temp temp_9am temp_3pm rainfall rain_today humidity_9am humidity_3pm pressure_9am pressure_3pm evaporation "
-        "sunshine_hours cloud_9am cloud_3pm wind_gust_speed wind_speed_9am wind_speed_3pm weather_code").split()
+# Column lists.
+ENRICHED = [
+    "rain_sum", "precipitation_hours", "dew_point_9am", "dew_point_3pm", "surface_pressure_9am",
+    "surface_pressure_3pm", "shortwave_radiation_sum", "vpd_9am", "vpd_3pm", "wind_speed_100m_9am",
+    "wind_speed_100m_3pm",
+]
+BASE = [
+    "min_temp", "max_temp", "temp_9am", "temp_3pm", "rainfall", "rain_today", "humidity_9am", "humidity_3pm",
+    "pressure_9am", "pressure_3pm", "evaporation", "sunshine_hours", "cloud_9am", "cloud_3pm", "wind_gust_speed",
+    "wind_speed_9am", "wind_speed_3pm", "weather_code",
+]
 TARGETS = PRED[:8]
 add("complete_cases", f"""
 SELECT *, MONTH(date) AS month, YEAR(date) AS year, {season('MONTH(date)')} AS season FROM full_rows
@@ -354,12 +373,15 @@ add("describe_numeric", " UNION ALL ".join(
     + ", ".join(f"{r(f'QUANTILE_CONT({c}, {p / 100})')} AS q{p}" for p in (25, 50, 75)) + " FROM src_weather_raw"
     for c in ("min_temp", "max_temp", "rainfall", "humidity_3pm", "pressure_9am")))
 add("histogram", """
-SELECT b AS bin, COUNT(*) AS n, -5 + 2::DOUBLE * b AS bin_low
-FROM (SELECT LEAST(FLOOR((max_temp + 5) / 2)::INT, 24) AS b FROM src_weather_raw WHERE max_temp BETWEEN -5 AND 45) GROUP BY b
+WITH e AS (SELECT MIN(max_temp) AS lo, (MAX(max_temp) - MIN(max_temp)) / 25 AS w FROM src_weather_raw),
+b AS (SELECT LEAST(FLOOR((max_temp - lo) / w), 24)::INT AS bin, lo, w FROM src_weather_raw, e WHERE max_temp IS NOT NULL)
+SELECT bin, COUNT(*) AS n, «lo + bin * w» AS bin_low FROM b GROUP BY bin, lo, w
 """)
 add("log_histogram", """
-SELECT b AS bin, COUNT(*) AS n, b / 2::DOUBLE AS bin_low
-FROM (SELECT LEAST(FLOOR(LN(1 + rainfall) * 2)::INT, 15) AS b FROM src_weather_raw WHERE rainfall > 0 AND LN(1 + rainfall) <= 8) GROUP BY b
+WITH l AS (SELECT LN(1 + rainfall) AS x FROM src_weather_raw WHERE rainfall > 0),
+e AS (SELECT MAX(x) / 16 AS w FROM l),
+b AS (SELECT LEAST(FLOOR(x / w), 15)::INT AS bin, w FROM l, e)
+SELECT bin, COUNT(*) AS n, «bin * w» AS bin_low FROM b GROUP BY bin, w
 """)
 add("quantile_profile", " UNION ALL ".join(
     f"SELECT 'rainfall' AS feature, {p}::DOUBLE AS prob, {r(f'QUANTILE_CONT(rainfall, {p})')} AS quantile FROM src_weather_raw WHERE rainfall > 0"
@@ -402,11 +424,17 @@ add("geo_profile", profiled("city, latitude, longitude", "full_rows", dict(
 add("risk_by_city", profiled("city", "full_rows", dict(
     heatwave_risk_mean="heatwave_risk", frost_risk_mean="frost_risk", storm_prob_mean="storm_probability"),
     "rain_tomorrow IS NOT NULL AND rain_tomorrow_proba IS NOT NULL"))
-CF = ("min_temp max_temp temp_9am temp_3pm rainfall rain_sum precipitation_hours rain_today humidity_9am humidity_3pm dew_point_9am "
-      "dew_point_3pm pressure_9am pressure_3pm surface_pressure_9am surface_pressure_3pm cloud_9am cloud_3pm sunshine_hours "
-      "shortwave_radiation_sum wind_gust_speed wind_speed_9am wind_speed_3pm wind_speed_100m_9am wind_speed_100m_3pm vpd_9am vpd_3pm "
-      "evaporation").split()
-CT = "rain_tomorrow max_temp_tomorrow comfort_score heatwave_risk frost_risk storm_probability".split()
+# Column lists.
+CF = [
+    "min_temp", "max_temp", "temp_9am", "temp_3pm", "rainfall", "rain_sum", "precipitation_hours", "rain_today",
+    "humidity_9am", "humidity_3pm", "dew_point_9am", "dew_point_3pm", "pressure_9am", "pressure_3pm",
+    "surface_pressure_9am", "surface_pressure_3pm", "cloud_9am", "cloud_3pm", "sunshine_hours",
+    "shortwave_radiation_sum", "wind_gust_speed", "wind_speed_9am", "wind_speed_3pm", "wind_speed_100m_9am",
+    "wind_speed_100m_3pm", "vpd_9am", "vpd_3pm", "evaporation",
+]
+CT = [
+    "rain_tomorrow", "max_temp_tomorrow", "comfort_score", "heatwave_risk", "frost_risk", "storm_probability",
+]
 PAIRS = [(a, b) for i, a in enumerate(CF + CT) for b in (CF + CT)[i:]]
 add("corr_half", f"""
 SELECT UNNEST([{', '.join(f"'{a}'" for a, _ in PAIRS)}]) AS a, UNNEST([{', '.join(f"'{b}'" for _, b in PAIRS)}]) AS b, UNNEST(rs) AS r

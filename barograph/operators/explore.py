@@ -64,20 +64,25 @@ def city_coverage(df: DataFrame) -> DataFrame:
     )
 
 
-def pivot_city_year(df: DataFrame, years: Sequence[int]) -> DataFrame:
-    """Rows per city and year, 0 where there are none. Naming the years saves a pass."""
-    counted = df.withColumn("_year", F.year("date")).groupBy("city").pivot("_year", list(years))
-    return counted.count().fillna(0)
+def pivot_city_year(df: DataFrame) -> DataFrame:
+    """Rows per city and year, a column per year there is, 0 where a city has none."""
+    counted = df.where(c("date").isNotNull()).withColumn("_year", F.year("date")).groupBy("city")
+    return counted.pivot("_year").count().fillna(0)
 
 
-def pivot_city_date(df: DataFrame, value: str, cities: Sequence[str]) -> DataFrame:
-    """Days by cities, with the mean of a prediction."""
-    return (
-        df.where(c(value).isNotNull() & c("city").isin(list(cities)))
-        .groupBy("date")
-        .pivot("city", list(cities))
-        .agg(F.avg(value))
-    )
+def pivot_city_date(df: DataFrame, value: str, places: DataFrame | None = None) -> DataFrame:
+    """Days by cities, with the mean of a prediction and a column per city there is.
+
+    ``places`` (city) adds cities that have a column even without a prediction.
+    """
+    rows = df.where(c(value).isNotNull() & c("city").isNotNull())
+    cities = rows.select("city")
+    if places is not None:
+        cities = cities.unionByName(places.select("city").where(c("city").isNotNull()))
+    names = sorted(row["city"] for row in cities.distinct().collect())  # one column each
+    if not names:
+        return rows.select("date").distinct()
+    return rows.groupBy("date").pivot("city", names).agg(F.avg(value))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -114,23 +119,35 @@ def quantile_profile(df: DataFrame, column: str, probs: Sequence[float]) -> Data
     return exact_quantiles(melt(df, [column]), ["feature"], probs)
 
 
-def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) -> DataFrame:
-    """Counts in equal bins of [low, high]; the last bin includes its upper edge."""
-    inside = df.where(c(column).between(low, high))
-    slot = F.least(
-        F.width_bucket(c(column).cast("double"), F.lit(low), F.lit(high), F.lit(bins)), F.lit(bins)
-    ).cast("int")
+def histogram(df: DataFrame, column: str, bins: int, low: float | None = None, high: float | None = None) -> DataFrame:
+    """Counts in equal bins of the observed range; the last bin includes its upper edge.
+
+    Given edges replace an observed one. Values beyond them are counted in bin -1 and bin ``bins``.
+    """
+    values = df.select(c(column).cast("double").alias("_v")).where(c("_v").isNotNull() & ~F.isnan("_v"))
+    ends = values.agg(
+        (F.min("_v") if low is None else F.lit(float(low))).alias("_low"),
+        (F.max("_v") if high is None else F.lit(float(high))).alias("_high"),
+    )
+    width = (c("_high") - c("_low")) / bins
+    slot = (
+        F.when(c("_v") < c("_low"), -1)
+        .when(c("_v") > c("_high"), bins)
+        .when(width == 0, 0)
+        .otherwise(F.least(F.floor((c("_v") - c("_low")) / width), F.lit(bins - 1)))
+    )
     return (
-        inside.groupBy((slot - 1).alias("bin"))
+        attach_row(values, ends)
+        .groupBy(slot.cast("int").alias("bin"), "_low", width.alias("_width"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bin_low", low + c("bin") * ((high - low) / bins))
+        .select("bin", "n", F.when(c("bin") >= 0, c("_low") + c("bin") * c("_width")).alias("bin_low"))
     )
 
 
-def log_histogram(df: DataFrame, column: str, high: float, bins: int) -> DataFrame:
-    """Histogram of log(1 + x) of the positive values."""
+def log_histogram(df: DataFrame, column: str, bins: int, high: float | None = None) -> DataFrame:
+    """Histogram of log(1 + x) of the positive values, from 0."""
     positive = df.where(c(column) > 0).select(F.log1p(column).alias("log_value"))
-    return histogram(positive, "log_value", 0.0, high, bins)
+    return histogram(positive, "log_value", bins, 0.0, high)
 
 
 def boxplot_stats(df: DataFrame, group: str, column: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from barograph import schemas
 from barograph.config import DEFAULTS, IngestRules
 from barograph.functions.rows import attach_row
-from barograph.functions.numeric import all_present, any_missing, count_if
+from barograph.functions.numeric import all_present, any_missing, count_if, finite
 from barograph.operators.sequence import islands
 from barograph.session import scratch_path
 from barograph.sources.landing import conform
@@ -27,31 +27,29 @@ def schema_evolve(df: DataFrame, schema=schemas.WEATHER_RAW) -> DataFrame:
 def upsert_merge(
     old: DataFrame, new: DataFrame, keys: Sequence[str] = KEYS, order_col: str | None = None
 ) -> DataFrame:
-    """Merge-safe upsert: a null in the new row never replaces a stored value.
+    """Merge-safe upsert: a null or NaN in the new row never replaces a stored value.
 
-    Several new rows of one key are first folded by ``order_col``: per column the last value that
-    is not null, which is what merging them one by one gives. Without ``order_col`` the new rows
-    must have distinct keys. The fold and the join share one partitioning by key.
+    Several new rows of one key are first folded by ``order_col``, or by their place in the new rows
+    where none is given: per column the last value that is there, which is what merging them one by
+    one gives. The fold and the join share one partitioning by key.
     """
     keys = list(keys)
-    fresh = new
-    values = [c for c in old.columns if c not in keys]
-    if order_col is not None:
-        fresh = new.groupBy(*keys).agg(
-            *[
-                F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order_col))).alias(c)
-                for c in values
-                if c in new.columns
-            ]
-        )
-    fresh = fresh.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in values if c in fresh.columns])
-    have = set(fresh.columns)
+    kinds = dict(new.dtypes)
+    values = [c for c in old.columns if c not in keys and c in kinds]
+    turn = F.monotonically_increasing_id() if order_col is None else F.col(order_col)
+    rows = new.select(
+        *keys,
+        *[(finite(c) if kinds[c] in ("double", "float") else F.col(c)).alias(f"_new_{c}") for c in values],
+        turn.alias("_turn"),
+    )
+    folded = [
+        F.max_by(f"_new_{c}", F.when(F.col(f"_new_{c}").isNotNull(), F.col("_turn"))).alias(f"_new_{c}")
+        for c in values
+    ]
+    fresh = rows.groupBy(*keys).agg(*folded) if folded else rows.select(*keys).distinct()
     joined = old.join(fresh, keys, "full_outer")
     return joined.select(
-        *[
-            F.coalesce(f"_new_{c}", c).alias(c) if f"_new_{c}" in have else F.col(c)
-            for c in old.columns
-        ]
+        *[F.coalesce(f"_new_{c}", c).alias(c) if c in values else F.col(c) for c in old.columns]
     )
 
 
@@ -89,19 +87,14 @@ def upsert_ignore(
     return old.unionByName(first.join(old.select(*keys), keys, "left_anti"))
 
 
-def merge_into(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str] = KEYS) -> None:
-    """Merge new rows into a table stored in year folders, rewriting only the years they touch.
+def _note(spark: SparkSession, path: str):
+    """The file that names a merge which is ready to be swapped in, and its file system."""
+    note = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_merge")
+    return note, note.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    Spark cannot overwrite files it is reading, so the merged years go to a staging table in the
-    shared folder first; the final write swaps them in folder by folder.
-    """
-    stored = spark.read.parquet(path)
-    fresh = new.withColumn("year", F.year("date"))
-    touched = stored.join(fresh.select("year").distinct(), "year", "left_semi")
-    staging = scratch_path(spark, "merge")
-    upsert_merge(touched.drop("year"), new, keys).withColumn("year", F.year("date")).write.parquet(
-        staging
-    )
+
+def _swap(spark: SparkSession, path: str, staging: str) -> None:
+    """Replace the years of a table that a staging table has."""
     (
         spark.read.parquet(staging)
         .hint("rebalance", "year")
@@ -112,6 +105,50 @@ def merge_into(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[st
     )
 
 
+def finish_merge(spark: SparkSession, path: str) -> bool:
+    """Finish a merge that was stopped while its years were swapped in; whether there was one."""
+    note, files = _note(spark, path)
+    if not files.exists(note):
+        return False
+    stream = files.open(note)
+    staging = stream.readUTF()
+    stream.close()
+    _swap(spark, path, staging)
+    files.delete(note, False)
+    return True
+
+
+def merge_into(
+    spark: SparkSession,
+    path: str,
+    new: DataFrame,
+    keys: Sequence[str] = KEYS,
+    merge: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame] = upsert_merge,
+    order_col: str | None = None,
+) -> None:
+    """Merge new rows into a table stored in year folders, rewriting only the years they touch.
+
+    Spark cannot overwrite files it is reading, so the merged years go to a staging table in the
+    shared folder first. A note beside the years then names the staging table, and goes once they are
+    swapped in. A stop before the note leaves the table as it was; a stop after it is made good by
+    the next merge, or by ``finish_merge``, from the staging table, however far the swap came.
+    """
+    finish_merge(spark, path)
+    stored = spark.read.parquet(path)
+    fresh = new.withColumn("year", F.year("date"))
+    touched = stored.join(fresh.select("year").distinct(), "year", "left_semi")
+    staging = scratch_path(spark, "merge")
+    extra = {} if order_col is None else {"order_col": order_col}
+    merged = merge(touched.drop("year"), new, keys, **extra)
+    merged.withColumn("year", F.year("date")).write.parquet(staging)
+    note, files = _note(spark, path)
+    stream = files.create(note, True)
+    stream.writeUTF(staging)
+    stream.close()
+    _swap(spark, path, staging)
+    files.delete(note, False)
+
+
 def existing_cities(df: DataFrame, day: date) -> DataFrame:
     return df.where(F.col("date") == F.lit(day)).select("city").distinct()
 

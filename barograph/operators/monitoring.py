@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from datetime import date
 
@@ -15,6 +16,7 @@ from barograph.functions.rows import attach_row
 from barograph.functions.numeric import as_int, flag, ratio, round_half_even, snap
 from barograph.operators.quantiles import melt, value_buckets
 from barograph.operators.sequence import asof_last, neighbour, running_total
+from barograph.session import ship_package
 
 RULES = DEFAULTS.monitoring
 
@@ -34,20 +36,46 @@ def _windows(as_of: date, window: int) -> tuple[Column, Column]:
     return age.between(1, window), age.between(window + 1, 2 * window)
 
 
-KS_TERMS = 100
+def ks_exact_p(n: int, m: int, gap: int) -> float:
+    """Exact two-sided p-value of two samples of n and m values whose distribution functions differ by
+    ``gap / (n m)`` at most.
 
-
-def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
-    """Asymptotic two-sided p-value with the usual small-sample correction of the argument."""
-    size = F.sqrt(n * m / (n + m))
-    x = (size + 0.12 + 0.11 / size) * statistic
-
-    def term(total: Column, k: Column) -> Column:
-        sign = F.when(k % 2 == 1, 1.0).otherwise(-1.0)
-        return total + sign * F.exp(-2.0 * k * k * x * x)
-
-    series = F.aggregate(F.sequence(F.lit(1), F.lit(KS_TERMS)), F.lit(0.0), term)
-    return F.when(x < 0.2, 1.0).otherwise(F.least(F.greatest(2.0 * series, F.lit(0.0)), F.lit(1.0)))
+    Orders of the joint sample are lattice paths; those that stay inside the gap are counted column
+    by column. A column is one running sum over the band inside the gap, kept in range by a factor.
+    """
+    a, b = sorted((n, m))
+    if gap <= 0:
+        return 1.0
+    low, ways, log_scale = 0, np.ones(min(b, (gap - 1) // a) + 1), 0.0
+    for i in range(1, a + 1):
+        first, last = max(0, (i * b - gap) // a + 1), min(b, -(-(i * b + gap) // a) - 1)
+        if last < first:
+            return 1.0
+        column = np.zeros(last - first + 1)
+        known = ways[first - low : last - low + 1]
+        column[: len(known)] = known
+        ways, low = np.cumsum(column), first
+        top = ways[-1]
+        if top == 0:
+            return 1.0
+        ways /= top
+        log_scale += math.log(top)
+    if low + len(ways) - 1 < b:
+        return 1.0
+    inside = log_scale + math.log(ways[b - low]) + math.lgamma(a + 1) + math.lgamma(b + 1) - math.lgamma(a + b + 1)
+    return min(1.0, max(0.0, -math.expm1(inside)))
+
+
+def ks_p_values(rows: DataFrame) -> DataFrame:
+    """Add ``_p`` to rows (feature, _n, _m, _gap), one per feature."""
+
+    def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            sizes = zip(frame["_n"], frame["_m"], frame["_gap"], strict=True)
+            yield frame.assign(_p=[ks_exact_p(int(n), int(m), int(gap)) for n, m, gap in sizes])
+
+    ship_package(rows.sparkSession)
+    return rows.mapInPandas(add, "feature string, _n long, _m long, _gap long, _p double")
 
 
 def ks_drift(
@@ -75,13 +103,17 @@ def ks_drift(
         slotted, ["feature"], "value", {"_r": "_r_upto", "_b": "_b_upto"}, F.col("_slot")
     )
     sizes = counts.groupBy("feature").agg(F.sum("_r").alias("_n"), F.sum("_b").alias("_m"))
-    gap = F.abs(ratio("_r_upto", "_n") - ratio("_b_upto", "_m"))
-    p = ks_p_value(F.col("_d"), F.col("_n").cast("double"), F.col("_m").cast("double"))
-    return (
+    # |r / n - b / m| in whole numbers, times n m
+    gap = F.abs(F.col("_r_upto") * F.col("_m") - F.col("_b_upto") * F.col("_n"))
+    found = (
         running.join(sizes.where((F.col("_n") >= min_n) & (F.col("_m") >= min_n)), "feature")
         .groupBy("feature", "_n", "_m")
-        .agg(snap(F.max(gap)).alias("_d"))
-        .withColumn("_p", p)
+        .agg(F.max(gap).cast("long").alias("_gap"))
+        .select("feature", F.col("_n").cast("long"), F.col("_m").cast("long"), "_gap")
+    )
+    return (
+        ks_p_values(found)
+        .withColumn("_d", snap(F.col("_gap") / (F.col("_n") * F.col("_m"))))
         .select(
             F.lit(as_of).alias("date"),
             F.col("feature").alias("feature_name"),
@@ -352,6 +384,7 @@ def alert_dedup(alerts: DataFrame, cooldown_hours: int = 24) -> DataFrame:
             if picked:
                 yield pd.concat(picked)[["alert_key", "_t"]]
 
+    ship_package(alerts.sparkSession)
     return (
         runs.select("alert_key", "_run", "_t")
         .repartition("alert_key", "_run")

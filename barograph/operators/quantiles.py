@@ -31,12 +31,17 @@ def melt(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> Dat
 
 
 def value_buckets(counts: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
-    """Add ``_slot``: the number of the equal-width bucket of the value in its key's range."""
+    """Add ``_slot``: the number of the bucket of the value among the values of its key.
+
+    The limits are quantiles of the distinct values, from a mergeable sketch, so buckets hold about
+    as many values each, whatever the outliers. Only the buckets are approximate; what is counted
+    in them stays exact.
+    """
     keys = list(keys)
-    span = counts.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
-    width = (F.col("_high") - F.col("_low")) / BUCKETS
-    slot = F.coalesce(F.floor(F.try_divide(F.col(value) - F.col("_low"), width)), F.lit(0))
-    return counts.join(span, keys).withColumn("_slot", slot).drop("_low", "_high")
+    steps = [i / BUCKETS for i in range(1, BUCKETS)]
+    limits = counts.groupBy(*keys).agg(F.percentile_approx(value, steps, 20 * BUCKETS).alias("_limits"))
+    slot = F.size(F.filter("_limits", lambda limit: limit < F.col(value)))
+    return counts.join(limits, keys).withColumn("_slot", slot).drop("_limits")
 
 
 def exact_quantiles(long: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:

@@ -11,7 +11,6 @@ from barograph.operators.serving import weather_full
 from barograph.queries import Context, query
 
 c = F.col
-YEARS = range(1995, 2002)
 
 
 def raw(ctx: Context):
@@ -39,7 +38,7 @@ def _(ctx: Context):
 
 @query("pivot_city_year")
 def _(ctx: Context):
-    return e.pivot_city_year(raw(ctx), YEARS)
+    return e.pivot_city_year(raw(ctx))
 
 
 @query("value_counts")
@@ -54,12 +53,12 @@ def _(ctx: Context):
 
 @query("histogram")
 def _(ctx: Context):
-    return e.histogram(raw(ctx), "max_temp", -5.0, 45.0, 25)
+    return e.histogram(raw(ctx), "max_temp", 25)
 
 
 @query("log_histogram")
 def _(ctx: Context):
-    return e.log_histogram(raw(ctx), "rainfall", 8.0, 16)
+    return e.log_histogram(raw(ctx), "rainfall", 16)
 
 
 @query("quantile_profile")
@@ -212,7 +211,8 @@ def _(ctx: Context):
 
 @query("pivot_city_date")
 def _(ctx: Context):
-    return e.pivot_city_date(full(ctx), "max_temp_tomorrow", [f"NATION_{i}" for i in range(25)])
+    places = ctx.given("nation").select(c("n_name").alias("city"))
+    return e.pivot_city_date(full(ctx), "max_temp_tomorrow", places)
 
 
 @query("last_month_by_city")

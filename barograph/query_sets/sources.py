@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
@@ -14,6 +14,7 @@ from barograph.queries import Context, query
 from barograph.session import scratch_path
 from barograph.sources import payloads, sinks
 from barograph.sources.adapters import AS_OF
+from barograph.sources.landing import conform
 
 c = F.col
 START, END = date(1995, 1, 1), date(2001, 12, 31)
@@ -88,24 +89,36 @@ def _(ctx: Context):
 
 @query("publish_horizon", exact=True)
 def _(ctx: Context):
-    raw, pred = sinks.publish_horizon(
-        ctx.table("src_weather_raw"), ctx.table("src_weather_predictions"), AS_OF
+    """Published thirty days earlier, with other maxima, and again: older rows stay as they were."""
+    paths = [scratch_path(ctx.spark, f"published-{name}") for name in ("raw", "predictions")]
+    tables = ctx.table("src_weather_raw"), ctx.table("src_weather_predictions")
+    earlier = tables[0].withColumn("max_temp", c("max_temp") + 100), tables[1]
+    for (raw, pred), as_of in ((earlier, AS_OF - timedelta(days=30)), (tables, AS_OF)):
+        for rows, path in zip(sinks.publish_horizon(raw, pred, as_of), paths, strict=True):
+            sinks.publish(ctx.spark, rows, path)
+    raw, pred = (
+        conform(ctx.spark.read.parquet(path), table.schema) for path, table in zip(paths, tables, strict=True)
     )
     return weather_full(raw, pred)
 
 
 @query("load_run_audit")
 def _(ctx: Context):
-    row = sinks.load_run_audit(
-        {n: ctx.table(f"src_{n}") for n in ("weather_raw", "weather_predictions")},
-        "manual",
-        AS_OF,
-        {
-            "monitoring_decision": ctx.table("src_monitoring_decisions"),
-            "drift_report": ctx.table("src_drift_reports"),
-            "retrain_event": ctx.table("src_retrain_events"),
-        },
-    )
+    path = scratch_path(ctx.spark, "load-audit")
+    for day in (AS_OF - timedelta(days=1), AS_OF):
+        row = sinks.load_run_audit(
+            {n: ctx.table(f"src_{n}") for n in ("weather_raw", "weather_predictions")},
+            "manual",
+            AS_OF,
+            {
+                "monitoring_decision": ctx.table("src_monitoring_decisions"),
+                "drift_report": ctx.table("src_drift_reports"),
+                "retrain_event": ctx.table("src_retrain_events"),
+            },
+            day,
+        )
+        sinks.append_audit(row, path)
+    row = ctx.spark.read.parquet(path)
     return row.drop("run_id", "loaded_at")
 
 

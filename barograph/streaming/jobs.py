@@ -17,21 +17,24 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from barograph.operators.ingest import KEYS, merge_into
 from barograph.operators.monitoring import first_of_each_window
-from barograph.session import scratch_path
+from barograph.session import scratch_path, ship_package
 
 c = F.col
 
 
 def read_stream(spark: SparkSession, folder: str, table: str, max_files: int = 256) -> DataFrame:
-    """A stored table as a stream, its event time cast to TIMESTAMP. A backlog is drained in
-    micro-batches of ``max_files``, which bounds what a stateful function sees of one key at once."""
-    schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
-    rows = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{table}.parquet")
-        .option("maxFilesPerTrigger", max_files)
-        .parquet(folder)
-    )
+    """A stored table as a stream, its event time cast to TIMESTAMP. The table is one Parquet file or a
+    folder of part files; a table that is not there is an error. A backlog is drained in micro-batches
+    of ``max_files``, which bounds what a stateful function sees of one key at once."""
+    path = f"{folder}/{table}.parquet"
+    schema = spark.read.parquet(path).schema
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    if files.getFileStatus(hadoop).isDirectory():
+        rows = reader.parquet(path)
+    else:
+        rows = reader.option("pathGlobFilter", f"{table}.parquet").parquet(folder)
     return rows.withColumn("ts", c("ts").cast("timestamp")) if "ts" in rows.columns else rows
 
 
@@ -55,19 +58,14 @@ def stream_merge_upsert(
 ) -> None:
     """Merge-safe ingestion: every micro-batch rewrites only the years it touches.
 
-    Merging a batch twice gives the same table, so a batch that is replayed after a failure is
-    harmless.
+    Rows of one key in a batch are folded, by ``order_col`` if there is one. Merging a batch twice
+    gives the same table, and ``merge_into`` first finishes a merge that was stopped, so a batch that
+    is replayed after a failure is harmless.
     """
     spark = src.sparkSession
 
     def merge(batch: DataFrame, _: int) -> None:
-        rows = batch
-        if order_col is not None:
-            values = [x for x in batch.columns if x not in (*keys, order_col)]
-            rows = batch.groupBy(*keys).agg(
-                *[F.max_by(x, F.when(c(x).isNotNull(), c(order_col))).alias(x) for x in values]
-            )
-        merge_into(batch.sparkSession, target_path, rows, keys)
+        merge_into(batch.sparkSession, target_path, batch, keys, order_col=order_col)
 
     query = (
         src.writeStream.foreachBatch(merge)
@@ -153,6 +151,7 @@ def stream_alert_dedup(src: DataFrame, key: str, cooldown_hours: int = 24, water
     alerts = src.withWatermark("ts", watermark).select(
         c(key).cast("string").alias("alert_key"), "ts", F.unix_micros("ts").alias("_t")
     )
+    ship_package(src.sparkSession)
     sent = alerts.groupBy("alert_key").applyInPandasWithState(
         fold, "alert_key string, _t long", "last long", "append", GroupStateTimeout.EventTimeTimeout
     )

@@ -125,3 +125,39 @@ def test_date_keyed_payload(spark):
     got = payloads.payload_parse_map(df, places, date(2026, 3, 1), date(2026, 3, 31)).orderBy("date").collect()
     assert len(got) == 2 and got[1]["max_temp"] is None
     assert (got[0]["pressure_9am"], got[0]["wind_gust_speed"], got[0]["humidity_3pm"]) == (pytest.approx(1013.0), 36.0, 55.0)
+
+
+def test_merge_folds_without_an_order_and_ignores_nan(spark):
+    stored = rows(spark, FULL)
+    batch = rows(spark, FULL | {"max_temp": float("nan"), "temp_9am": 1.0}, FULL | {"max_temp": 31.0, "temp_9am": None}).coalesce(1)
+    merged = i.upsert_merge(stored, batch).collect()
+    assert [(r["max_temp"], r["temp_9am"]) for r in merged] == [(31.0, 1.0)]
+    only_nan = i.upsert_merge(stored, rows(spark, FULL | {"max_temp": float("nan")})).first()
+    assert only_nan["max_temp"] == 27.0
+
+
+def test_merge_stopped_while_swapping_is_finished(spark, tmp_path):
+    path, staging = str(tmp_path / "table"), str(tmp_path / "staging")
+    kept, lost = FULL | {"date": date(2024, 1, 1)}, FULL | {"date": date(2025, 1, 1)}
+    write_table(rows(spark, kept, lost), staging, "date")
+    write_table(rows(spark, kept), path, "date")  # the swap had removed the other year and stopped
+    note, files = i._note(spark, path)
+    stream = files.create(note, True)
+    stream.writeUTF(staging)
+    stream.close()
+    assert spark.read.parquet(path).count() == 1
+    i.merge_into(spark, path, rows(spark, lost | {"max_temp": 33.0}))
+    found = {r["date"].year: r["max_temp"] for r in spark.read.parquet(path).collect()}
+    assert found == {2024: 27.0, 2025: 33.0} and not files.exists(note)
+    assert not i.finish_merge(spark, path)
+
+
+def test_publishing_keeps_older_rows(spark, tmp_path):
+    from barograph.sources import sinks
+
+    path = str(tmp_path / "published")
+    old, again = FULL | {"date": date(2025, 12, 1)}, FULL | {"max_temp": 1.0}
+    sinks.publish(spark, rows(spark, old, FULL), path)
+    sinks.publish(spark, rows(spark, again, FULL | {"city": "B"}), path)
+    found = {(r["date"], r["city"]): r["max_temp"] for r in spark.read.parquet(path).collect()}
+    assert found == {(date(2025, 12, 1), "A"): 27.0, (DAY, "A"): 1.0, (DAY, "B"): 27.0}

@@ -166,3 +166,47 @@ def test_alert_dedup_against_a_plain_fold(spark):
             wanted.append((key, t))
     df = spark.createDataFrame(alerts, "alert_key string, ts timestamp")
     assert sorted(map(tuple, m.alert_dedup(df).collect())) == sorted(wanted)
+
+
+def test_exact_ks_p_values():
+    from itertools import combinations
+
+    from barograph.operators.monitoring import ks_exact_p
+
+    def counted(n, m, gap):
+        """Over all orders of the joint sample."""
+        hits = total = 0
+        for places in combinations(range(n + m), n):
+            x = y = most = 0
+            for k in range(n + m):
+                x, y = (x + 1, y) if k in places else (x, y + 1)
+                most = max(most, abs(x * m - y * n))
+            hits, total = hits + (most >= gap), total + 1
+        return hits / total
+
+    assert round(ks_exact_p(10, 10, 60), 4) == 0.0524
+    for n, m in ((3, 3), (4, 6), (5, 7), (6, 4)):
+        for gap in range(0, n * m + 1):
+            assert abs(ks_exact_p(n, m, gap) - counted(n, m, gap)) < 1e-12
+    assert round(ks_exact_p(750, 750, 51 * 750), 4) == 0.0623
+    assert ks_exact_p(20_000, 20_000, 20_000 * 20_000) == 1.0 - 0.0 or ks_exact_p(20_000, 20_000, 20_000**2) <= 1e-12
+
+
+def test_exploration_keeps_every_value(spark):
+    from datetime import date
+
+    from barograph.operators import explore as e
+
+    rows = spark.createDataFrame(
+        [(date(1980, 1, 1), "Elsewhere", -20.0), (date(2030, 1, 1), "NATION_1", 5.0), (date(2030, 1, 2), "NATION_1", 60.0),
+         (date(2030, 1, 3), "NATION_1", None)],
+        "date date, city string, t double",
+    )
+    assert sorted((r["bin"], r["n"]) for r in e.histogram(rows, "t", 4).collect()) == [(0, 1), (1, 1), (3, 1)]
+    beyond = {r["bin"]: r["n"] for r in e.histogram(rows, "t", 5, low=-5.0, high=45.0).collect()}
+    assert beyond == {-1: 1, 1: 1, 5: 1}
+    assert e.log_histogram(rows, "t", 3).agg({"n": "sum"}).first()[0] == 2
+    assert set(e.pivot_city_year(rows).columns) == {"city", "1980", "2030"}
+    assert set(e.pivot_city_date(rows, "t").columns) == {"date", "Elsewhere", "NATION_1"}
+    same = spark.createDataFrame([(2.0,), (2.0,)], "t double")
+    assert [(r["bin"], r["n"]) for r in e.histogram(same, "t", 3).collect()] == [(0, 2)]

@@ -60,3 +60,17 @@ def test_replayed_merge_is_harmless(spark, tmp_path, ctx):
     once = spark.read.parquet(path).agg(F.count("*"), F.sum("rainfall")).first()
     merge_into(spark, path, fresh)
     assert spark.read.parquet(path).agg(F.count("*"), F.sum("rainfall")).first() == once
+
+
+def test_a_table_is_a_file_or_a_folder(spark, folder, tmp_path):
+    import pytest
+
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    events.repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    counts = [
+        jobs.run_to_table(spark, jobs.read_stream(spark, where, "events"), "t-read").count()
+        for where in (folder, str(tmp_path))
+    ]
+    assert counts == [events.count()] * 2
+    with pytest.raises(Exception, match="(?i)path"):
+        jobs.read_stream(spark, str(tmp_path), "nothing")
