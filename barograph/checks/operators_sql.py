@@ -52,12 +52,47 @@ SELECT 'manual' AS dag_id, UNNEST([{AS_OF} - 1, {AS_OF}]) AS execution_date, {AS
   EXISTS (FROM src_monitoring_decisions) AS monitoring_decision_loaded, EXISTS (FROM src_drift_reports) AS drift_report_loaded,
   EXISTS (FROM src_retrain_events) AS retrain_event_loaded
 """)
+# Published tables and the models behind them.
+EXPORTED = [
+    ("bi_dashboard_overview", "dashboard_overview"),
+    ("bi_data_quality_summary", "data_quality_summary"),
+    ("bi_powerbi_homepage_kpis", "homepage_kpis"),
+    ("bi_weather_alerts_summary_monthly", "alerts_summary_monthly"),
+    ("bi_weather_current_snapshot", "bi_current_snapshot"),
+    ("bi_weather_extremes", "bi_extremes"),
+    ("bi_weather_risk_alerts", "bi_risk_alerts"),
+    ("mart_weather_daily_clean", "daily_clean"),
+    ("mart_weather_monthly_city", "monthly_city"),
+    ("mart_weather_risk_alerts", "risk_alerts"),
+    ("mart_weather_extremes", "weather_extremes"),
+    ("mart_current_weather_snapshot", "current_snapshot"),
+    ("mart_weather_seasonality", "seasonality"),
+    ("mart_weather_state_monthly", "state_monthly"),
+    ("mart_weather_yearly_city", "yearly_city"),
+    ("mart_weather_comfort_segments", "comfort_segments"),
+    ("mart_climate_normals_city_month", "climate_normals"),
+    ("mart_forecast_vs_actual_daily", "forecast_vs_actual_daily"),
+    ("mart_forecast_accuracy_monthly", "forecast_accuracy_monthly"),
+    ("mart_forecast_vs_actual_timeline", "forecast_timeline"),
+    ("mart_forecast_confusion_matrix", "confusion_matrix"),
+    ("mart_rain_probability_calibration", "rain_calibration"),
+    ("mart_data_quality_daily", "data_quality_daily"),
+    ("mart_model_performance_overview", "performance_overview"),
+    ("mart_model_performance_by_city", "performance_by_city"),
+    ("mart_model_calibration", "model_calibration"),
+    ("mart_prediction_bias_report", "bias_report"),
+    ("mart_seasonal_performance", "seasonal_performance"),
+    ("mart_extreme_events_performance", "extreme_events_performance"),
+    ("mart_mlops_health", "mlops_health"),
+    ("mart_retraining_history", "retraining_history"),
+    ("mart_data_freshness_by_city", "data_freshness"),
+    ("mart_feature_drift_summary", "feature_drift_summary"),
+    ("mart_climate_anomaly_vs_drift", "anomaly_vs_drift"),
+    ("mart_city_weather_scorecard", "city_scorecard"),
+]
 add("export_manifest", " UNION ALL ".join(
-    f"SELECT 'daily_bi' AS export, '{t}' AS \"table\", COUNT(*) AS n_rows FROM {m}" for t, m in (
-        ("bi_dashboard_overview", "dashboard_overview"), ("bi_data_quality_summary", "data_quality_summary"),
-        ("bi_powerbi_homepage_kpis", "homepage_kpis"), ("bi_weather_alerts_summary_monthly", "alerts_summary_monthly"),
-        ("bi_weather_current_snapshot", "bi_current_snapshot"), ("bi_weather_extremes", "bi_extremes"),
-        ("bi_weather_risk_alerts", "bi_risk_alerts"))))
+    f"SELECT '{export}' AS export, '{t}' AS \"table\", COUNT(*) AS n_rows FROM {m}"
+    for export, start in (("daily_bi", "bi_"), ("full_build", "")) for t, m in EXPORTED if t.startswith(start)))
 POINTS = "['N','NNE','NE','ENE','E','ESE','SE','SSE','S','SSW','SW','WSW','W','WNW','NW','NNW']"
 
 
@@ -371,7 +406,7 @@ add("value_counts", "SELECT wind_dir_3pm AS value, COUNT(*) AS n FROM src_weathe
 add("describe_numeric", " UNION ALL ".join(
     f"SELECT '{c}' AS feature, COUNT({c}) AS count, {avg(c)} AS mean, {r(f'STDDEV({c})')} AS std, MIN({c}) AS min, MAX({c}) AS max, "
     + ", ".join(f"{r(f'QUANTILE_CONT({c}, {p / 100})')} AS q{p}" for p in (25, 50, 75)) + " FROM src_weather_raw"
-    for c in ("min_temp", "max_temp", "rainfall", "humidity_3pm", "pressure_9am")))
+    for c in ["latitude", "longitude", *RAW] if "_dir" not in c))
 add("histogram", """
 WITH e AS (SELECT MIN(max_temp) AS lo, (MAX(max_temp) - MIN(max_temp)) / 25 AS w FROM src_weather_raw),
 b AS (SELECT LEAST(FLOOR((max_temp - lo) / w), 24)::INT AS bin, lo, w FROM src_weather_raw, e WHERE max_temp IS NOT NULL)
@@ -405,11 +440,11 @@ def profiled(keys: str, table: str, means: dict[str, str], where: str = "TRUE")
 add("monthly_climatology", profiled("MONTH(date) AS month", "src_weather_raw", dict(
     max_temp="max_temp", min_temp="min_temp", rain_pct="rain_today", shortwave="shortwave_radiation_sum", vpd_3pm="vpd_3pm",
     dew_point="dew_point_3pm", precip_hours="precipitation_hours")))
-add("annual_trend", f"""
-SELECT {r('REGR_SLOPE(y, x) * 10', 6)} AS slope_per_decade, {r('REGR_INTERCEPT(y, x)', 4)} AS intercept, {r('REGR_R2(y, x)', 6)} AS r2,
-  COUNT(*) AS n_years
-FROM (SELECT YEAR(date) AS x, AVG(max_temp) AS y FROM src_weather_raw GROUP BY 1) WHERE x <= 2000
-""")
+add("annual_trend", " UNION ALL ".join(f"""
+SELECT '{c}' AS feature, {r('REGR_SLOPE(y, x) * 10', 6)} AS slope_per_decade, {r('REGR_INTERCEPT(y, x)', 4)} AS intercept,
+  {r('REGR_R2(y, x)', 6)} AS r2, COUNT(*) AS n_years
+FROM (SELECT YEAR(date) AS x, AVG({c}) AS y FROM src_weather_raw WHERE {c} IS NOT NULL GROUP BY 1) WHERE x <= 2000
+""" for c in ("max_temp", "min_temp")))
 add("city_profile", profiled("city, state", "src_weather_raw", dict(
     max_temp_mean="max_temp", min_temp_mean="min_temp", rain_days_share="rain_today", rainfall_mean="rainfall",
     humidity_3pm_mean="humidity_3pm", wind_gust_mean="wind_gust_speed")))
@@ -446,16 +481,29 @@ SELECT b AS target, a AS feature, r, ROW_NUMBER() OVER (PARTITION BY b ORDER BY
 WHERE b IN ({', '.join(f"'{c}'" for c in CT)}) AND a IN ({', '.join(f"'{c}'" for c in CF)}) AND r IS NOT NULL QUALIFY rank <= 5
 """)
 add("corr_redundant", "SELECT * FROM corr_matrix WHERE a < b AND ABS(r) >= 0.85::DOUBLE")
+
+
+def tail(t: str, dof: str, steps: int = 50_000) -> str:
+    """Two-sided p-value of Student's t: the density summed at midpoints over the angle of t."""
+    angle = f"ATAN(ABS({t}) / SQRT({dof}))"
+    inside = f"SUM(EXP(({dof} - 1) * LN(COS((k + 0.5::DOUBLE) * {angle} / {steps})))) * {angle} / {steps}"
+    factor = f"2 * EXP(LGAMMA(({dof} + 1) / 2) - LGAMMA({dof} / 2)) / SQRT(PI())"
+    return f"GREATEST(0, 1 - (SELECT {factor} * {inside} FROM RANGE({steps}) steps(k)))"
+
+
 add("pearson_pair", f"""
-WITH c AS (SELECT CORR(shortwave_radiation_sum, max_temp_tomorrow) AS rr, REGR_COUNT(shortwave_radiation_sum, max_temp_tomorrow)::BIGINT AS n FROM full_rows)
-SELECT {r('rr', 6)} AS r, n, {r('rr * SQRT((n - 2) / (1 - rr * rr))', 4)} AS t FROM c
+WITH c AS (SELECT CORR(shortwave_radiation_sum, max_temp_tomorrow) AS rr, REGR_COUNT(shortwave_radiation_sum, max_temp_tomorrow)::BIGINT AS n FROM full_rows),
+u AS (SELECT *, rr * SQRT((n - 2) / (1 - rr * rr)) AS tt, (n - 2)::DOUBLE AS v FROM c)
+SELECT {r('rr', 6)} AS r, n, {r('tt', 4)} AS t, {r(tail('tt', 'v'), 6)} AS p FROM u
 """)
 add("pooled_t", f"""
 WITH l AS (SELECT rain_tomorrow AS g, UNNEST(['humidity_3pm', 'dew_point_3pm', 'cloud_3pm', 'pressure_3pm', 'vpd_3pm']) AS feature,
   UNNEST([humidity_3pm, dew_point_3pm, cloud_3pm, pressure_3pm, vpd_3pm]) AS v FROM full_rows WHERE rain_tomorrow IS NOT NULL),
 a AS (SELECT feature, COUNT(v) FILTER (WHERE g = 0) AS n0, COUNT(v) FILTER (WHERE g = 1) AS n1, AVG(v) FILTER (WHERE g = 0) AS m0,
-  AVG(v) FILTER (WHERE g = 1) AS m1, VAR_POP(v) FILTER (WHERE g = 0) AS p0, VAR_POP(v) FILTER (WHERE g = 1) AS p1 FROM l GROUP BY feature)
-SELECT feature, n0, n1, {r('(m0 - m1) / SQRT((n0 * p0 + n1 * p1) / (n0 + n1 - 2) * ((n0 + n1)::DOUBLE / (n0 * n1)))', 6)} AS t FROM a
+  AVG(v) FILTER (WHERE g = 1) AS m1, VAR_POP(v) FILTER (WHERE g = 0) AS p0, VAR_POP(v) FILTER (WHERE g = 1) AS p1 FROM l GROUP BY feature),
+u AS (SELECT *, (m0 - m1) / SQRT((n0 * p0 + n1 * p1) / (n0 + n1 - 2) * ((n0 + n1)::DOUBLE / (n0 * n1))) AS tt,
+  (n0 + n1 - 2)::DOUBLE AS w FROM a)
+SELECT feature, n0, n1, {r('tt', 6)} AS t, {r(tail('tt', 'w'), 6)} AS p FROM u
 """)
 add("wind_ratio", f"""
 SELECT date, city, {r('wind_speed_100m_9am / (wind_speed_9am + 0.01::DOUBLE)')} AS wind_ratio_9am,
@@ -647,7 +695,17 @@ add("quality_gates", "SELECT gate, n_bad, IF(n_bad = 0, 'PASS', 'FAIL') AS statu
 add("api_weather", "SELECT * FROM full_rows WHERE city = 'NATION_7' AND date >= DATE '1999-01-01' ORDER BY date DESC, city LIMIT 500")
 add("api_latest", "SELECT * FROM full_rows WHERE predicted_at IS NOT NULL QUALIFY ROW_NUMBER() OVER (PARTITION BY city ORDER BY date DESC) = 1")
 add("api_predictions", "SELECT * FROM src_weather_predictions WHERE YEAR(date) IN (1999, 2000)")
-add("api_mart", "SELECT * FROM retraining_history")
+# Client names of published models that are not made from the name of the table.
+NAMED = {
+    "homepage_kpis": "bi-homepage-kpis",
+    "forecast_timeline": "forecast-timeline",
+    "mlops_health": "health",
+    "performance_by_city": "performance-by-city",
+    "performance_overview": "performance-overview",
+}
+add("api_mart", " UNION ALL ".join(
+    f"SELECT '{NAMED.get(m, t.removeprefix('mart_').replace('_', '-'))}' AS slug, COUNT(*) AS n_rows FROM {m}"
+    for t, m in [*EXPORTED, ("location_cities", "location_cities")]))
 add("json_records", """
 SELECT '{"date":"' || date || '","city":"' || city || '","max_temp":' || IFNULL(max_temp::VARCHAR, 'null') || ',"wind_dir_3pm":'
   || IFNULL('"' || wind_dir_3pm || '"', 'null') || ',"weather_code":' || IFNULL(weather_code::VARCHAR, 'null') || ',"comfort_score":'

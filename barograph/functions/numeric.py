@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barograph.session import ship_package
+
 SNAP_DIGITS = 12
 
 
@@ -86,3 +90,45 @@ def all_present(columns: Sequence[str]) -> Column:
 
 def any_missing(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+
+
+def student_p(t: float, dof: float) -> float:
+    """Two-sided p-value of Student's t, an incomplete beta function: its continued fraction is
+    evaluated from the front until a step no longer changes it."""
+    if math.isnan(t) or not dof > 0:
+        return math.nan
+    a, b, x = dof / 2, 0.5, dof / (dof + t * t)
+    if x in (0.0, 1.0):
+        return x
+    turned = x > (a + 1) / (a + b + 2)  # the fraction converges on the side of the mean
+    if turned:
+        a, b, x = b, a, 1 - x
+    front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+    fraction, upper, lower = 1.0, 1.0, 0.0
+    for k in range(10_000):
+        n = k // 2
+        if k == 0:
+            part = 1.0
+        elif k % 2 == 0:
+            part = n * (b - n) * x / ((a + 2 * n - 1) * (a + 2 * n))
+        else:
+            part = -(a + n) * (a + b + n) * x / ((a + 2 * n) * (a + 2 * n + 1))
+        lower = 1 / ((1 + part * lower) or 1e-300)
+        upper = (1 + part / upper) or 1e-300
+        fraction *= upper * lower
+        if k and abs(1 - upper * lower) < 1e-15:
+            break
+    share = math.exp(front) / a * (fraction - 1)
+    return min(1.0, max(0.0, 1 - share if turned else share))
+
+
+def with_student_p(rows: DataFrame, t: str, dof: str, name: str) -> DataFrame:
+    """Add the two-sided p-value to a small table with a t statistic and its degrees of freedom."""
+
+    def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            pairs = zip(frame[t].astype(float), frame[dof].astype(float), strict=True)
+            yield frame.assign(**{name: [student_p(x, d) for x, d in pairs]})
+
+    ship_package(rows.sparkSession)
+    return rows.mapInPandas(add, ", ".join(f"`{n}` {kind}" for n, kind in [*rows.dtypes, (name, "double")]))

@@ -9,11 +9,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barograph import schemas
 from barograph.functions.rows import attach_row
 from barograph.functions import calendar as cal
-from barograph.functions.numeric import ratio, round_half_up, snap
+from barograph.functions.numeric import ratio, round_half_up, snap, with_student_p
 from barograph.operators.quantiles import exact_quantiles, melt
 from barograph.operators.sequence import neighbour
 
@@ -93,8 +94,13 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, quartiles and max per column."""
+def numeric_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+
+
+def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """count, mean, std, min, quartiles and max per column, by default of every numeric column."""
+    columns = numeric_columns(df) if columns is None else columns
     long = melt(df, columns)
     stats = long.groupBy("feature").agg(
         F.count("value").alias("count"),
@@ -301,17 +307,20 @@ def corr_redundant(corr: DataFrame, limit: float = 0.85) -> DataFrame:
 
 
 def pearson_pair(df: DataFrame, a: str, b: str) -> DataFrame:
-    """r, the number of complete pairs, and the t statistic of r."""
+    """r, the number of complete pairs, the t statistic of r and its two-sided p-value."""
     both = df.where(c(a).isNotNull() & c(b).isNotNull())
     row = both.agg(
         F.corr(c(a).cast("double"), c(b).cast("double")).alias("r"), F.count(F.lit(1)).alias("n")
     )
     t = c("r") * F.sqrt(ratio(c("n") - 2, 1 - c("r") * c("r")))
-    return row.select(round_half_up("r", 6).alias("r"), "n", round_half_up(t, 4).alias("t"))
+    tested = with_student_p(row.select("r", "n", t.alias("t"), (c("n") - 2).alias("dof")), "t", "dof", "p")
+    return tested.select(
+        round_half_up("r", 6).alias("r"), "n", round_half_up("t", 4).alias("t"), round_half_up("p", 6).alias("p")
+    )
 
 
 def pooled_t(df: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
-    """Student's t with equal variances, group 0 against group 1, per column."""
+    """Student's t with equal variances, group 0 against group 1, per column, with its p-value."""
     long = melt(df.where(c(group).isNotNull()).withColumn("_g", c(group).cast("int")), columns, ["_g"])
     first, second = c("_g") == 0, c("_g") == 1
 
@@ -328,18 +337,18 @@ def pooled_t(df: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
     pooled = ratio((c("n0") - 1) * c("v0") + (c("n1") - 1) * c("v1"), dof)
     error = F.sqrt(pooled * (ratio(F.lit(1), "n0") + ratio(F.lit(1), "n1")))
     t = F.try_divide(c("m0") - c("m1"), error)
-    return row.select("feature", "n0", "n1", round_half_up(t, 6).alias("t"))
+    tested = with_student_p(row.select("feature", "n0", "n1", t.alias("t"), dof.alias("dof")), "t", "dof", "p")
+    return tested.select(
+        "feature", "n0", "n1", round_half_up("t", 6).alias("t"), round_half_up("p", 6).alias("p")
+    )
 
 
-def annual_trend(df: DataFrame, column: str, before_year: int) -> DataFrame:
-    """Slope per decade of the yearly means, the unfinished year left out."""
-    yearly = (
-        df.groupBy(F.year("date").alias("year"))
-        .agg(F.avg(column).alias("mean"))
-        .where(c("year") < before_year)
-    )
+def annual_trend(df: DataFrame, columns: Sequence[str], before_year: int) -> DataFrame:
+    """Slope per decade of the yearly means of each column, the unfinished year left out."""
+    long = melt(df.withColumn("year", F.year("date")).where(c("year") < before_year), columns, ["year"])
+    yearly = long.groupBy("feature", "year").agg(F.avg("value").alias("mean"))
     y, x = c("mean"), c("year").cast("double")
-    return yearly.agg(
+    return yearly.groupBy("feature").agg(
         round_half_up(F.regr_slope(y, x) * 10, 6).alias("slope_per_decade"),
         round_half_up(F.regr_intercept(y, x), 4).alias("intercept"),
         round_half_up(F.regr_r2(y, x), 6).alias("r2"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barograph import schemas
@@ -13,7 +13,6 @@ from barograph.functions import calendar as cal
 from barograph.functions.numeric import (
     as_int, band, count_if, flag, nulls_in, ratio, round_half_up, snap,
 )
-from barograph.operators.sequence import rank_by_value
 from barograph.plans.intermediate import days_before
 
 # Label of (predicted, observed) rain.
@@ -235,6 +234,8 @@ def city_scorecard(
         .join(quality, keys, "left")
         .withColumn("global_weather_score", round_half_up(score, 2))
     )
-    return rank_by_value(scored, ["year_month"], "global_weather_score", "city_rank").withColumn(
+    # a month has as many rows as there are places, so it is ranked in one window
+    by_score = Window.partitionBy("year_month").orderBy(F.desc("global_weather_score"))
+    return scored.withColumn("city_rank", F.rank().over(by_score)).withColumn(
         "performance_category", band(F.col("global_weather_score"), SCORE_BANDS, "Critical")
     )

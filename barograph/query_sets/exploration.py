@@ -9,6 +9,7 @@ from barograph.functions import calendar as cal
 from barograph.operators import explore as e
 from barograph.operators.serving import weather_full
 from barograph.queries import Context, query
+from barograph.sources.adapters import AS_OF
 
 c = F.col
 
@@ -48,7 +49,7 @@ def _(ctx: Context):
 
 @query("describe_numeric")
 def _(ctx: Context):
-    return e.describe_numeric(raw(ctx), ["min_temp", "max_temp", "rainfall", "humidity_3pm", "pressure_9am"])
+    return e.describe_numeric(raw(ctx))
 
 
 @query("histogram")
@@ -79,7 +80,7 @@ def _(ctx: Context):
 
 @query("annual_trend")
 def _(ctx: Context):
-    return e.annual_trend(raw(ctx), "max_temp", 2001)
+    return e.annual_trend(raw(ctx), ["max_temp", "min_temp"], AS_OF.year)
 
 
 @query("city_profile")

@@ -127,9 +127,10 @@ def _(ctx: Context):
     """Exported tables of each named export with their row counts."""
     parts = [
         ctx.table(PUBLISHED[t]).agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit("daily_bi").alias("export"), F.lit(t).alias("table"), "n_rows"
+            F.lit(export).alias("export"), F.lit(t).alias("table"), "n_rows"
         )
-        for t in export_manifest("daily_bi")
+        for export in ("daily_bi", "full_build")
+        for t in export_manifest(export)
     ]
     out = parts[0]
     for part in parts[1:]:

@@ -210,3 +210,12 @@ def test_exploration_keeps_every_value(spark):
     assert set(e.pivot_city_date(rows, "t").columns) == {"date", "Elsewhere", "NATION_1"}
     same = spark.createDataFrame([(2.0,), (2.0,)], "t double")
     assert [(r["bin"], r["n"]) for r in e.histogram(same, "t", 3).collect()] == [(0, 2)]
+
+
+def test_student_p_values():
+    from barograph.functions.numeric import student_p
+
+    # published two-sided values
+    for t, dof, p in ((2.228, 10, 0.05), (12.706, 1, 0.05), (1.96, 1e7, 0.05), (3.169, 10, 0.01), (0.0, 5, 1.0), (-2.776, 4, 0.05)):
+        assert abs(student_p(t, dof) - p) < 5e-5
+    assert student_p(60.0, 20_000) < 1e-12
