@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from barograph.llm.common import LEAST_SIMILARITY, SHINGLE_WORDS, WORD_BREAKS, documents, stored, union_all
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SPACES = " \t\n\x0b\x0c\r"
 
 
 @dataclass(frozen=True)
@@ -45,9 +45,9 @@ DEFAULT_RULES = WindowRules()
 
 
 def words_of(text: Column) -> Column:
-    """Words between ASCII white space, A-Z in lower case."""
-    parts = F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), WORD_BREAKS)
-    return F.filter(parts, lambda word: word != "")
+    """Words between ASCII white space, in lower case."""
+    trimmed = F.btrim(F.lower(F.coalesce(text, F.lit(""))), F.lit(SPACES))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WORD_BREAKS))
 
 
 def shingles_of(words: str, width: int) -> Column:
@@ -57,32 +57,39 @@ def shingles_of(words: str, width: int) -> Column:
     return F.when(F.size(words) >= width, hashes).otherwise(F.array().cast("array<bigint>"))
 
 
-def fingerprint(shingles: Column) -> Column:
-    """Bit b is set if more than half of the hashes have it. Two counters share a number, so that 32
-    additions count 64 bits."""
-    lanes = 32
-    mask = F.lit(1 << 32 | 1)
-    zero = F.array(*[F.lit(0).cast("long")] * lanes)
-    counters = F.aggregate(
-        shingles,
-        zero,
-        lambda sums, x: F.array(
-            *[F.get(sums, F.lit(k)) + F.shiftrightunsigned(x, k).bitwiseAND(mask) for k in range(lanes)]
-        ),
+def places_of(rows: DataFrame, width: int) -> DataFrame:
+    """(doc_id, row, length, place, key) for all runs of ``width`` words: the same hashes as rows, made
+    from the word array and its shifted slices without a function call per run."""
+    runs = F.greatest(F.size("words") - (width - 1), F.lit(0))
+    shifted = F.arrays_zip(*[F.slice("words", k + 1, runs).alias(f"w{k}") for k in range(width)])
+    placed = rows.select("doc_id", "row", F.size("words").alias("length"), F.posexplode(shifted).alias("place", "run"))
+    return placed.select(
+        "doc_id", "row", "length", "place", F.xxhash64(*[F.col(f"run.w{k}") for k in range(width)]).alias("key")
     )
 
-    def folded(sums: Column, n: Column) -> Column:
-        out = F.lit(0).cast("long")
-        for k in range(lanes):
-            low = F.get(sums, F.lit(k)).bitwiseAND(F.lit((1 << 32) - 1))
-            high = F.shiftrightunsigned(F.get(sums, F.lit(k)), 32)
-            out = out.bitwiseOR(F.when(low * 2 > n, F.lit(1 << k)).otherwise(F.lit(0)).cast("long"))
-            bit = 1 << (k + 32)
-            bit = bit - (1 << 64) if bit >= 1 << 63 else bit
-            out = out.bitwiseOR(F.when(high * 2 > n, F.lit(bit)).otherwise(F.lit(0)).cast("long"))
-        return out
 
-    return F.transform(F.array(F.struct(counters.alias("sums"))), lambda c: folded(c["sums"], F.size(shingles)))[0]
+def fingerprints(rows: DataFrame, key: str, shingles: str, longest: int) -> DataFrame:
+    """(key, print): bit b is set if more than half of the hashes of a bag have it.
+
+    Several counters share a number, as many as the longest bag allows, so that a few sums count all
+    64 bits.
+    """
+    lane = 8 if longest <= 127 else 16 if longest <= 32_767 else 32
+    lanes = range(64 // lane)
+    mask = F.lit(sum(1 << (lane * j) for j in lanes))
+    hashes = rows.select(key, F.explode(shingles).alias("x"))
+    counters = hashes.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(F.shiftrightunsigned("x", k).bitwiseAND(mask)).alias(f"c{k}") for k in range(lane)],
+    )
+    bits = F.lit(0).cast("long")
+    for k in range(lane):
+        for j in lanes:
+            count = F.shiftrightunsigned(f"c{k}", j * lane).bitwiseAND(F.lit((1 << lane) - 1))
+            bit = 1 << (j * lane + k)
+            value = F.lit(bit - (1 << 64) if bit >> 63 else bit).cast("long")
+            bits = bits.bitwiseOR(F.when(count * 2 > F.col("n"), value).otherwise(F.lit(0).cast("long")))
+    return counters.select(key, bits.alias("print"))
 
 
 def benchmark_items(benchmark: DataFrame, rules: WindowRules) -> DataFrame:
@@ -96,7 +103,10 @@ def benchmark_items(benchmark: DataFrame, rules: WindowRules) -> DataFrame:
         *[F.when(F.col("width") == w, shingles_of("words", w)) for w in range(1, rules.words + 1)]
     )
     items = rows.withColumn("shingles", shingles).select("item_id", "n", "width", "shingles").distinct()
-    return stored(items.withColumn("print", fingerprint(F.col("shingles"))), "benchmark-items")
+    items = stored(items.withColumn("number", F.monotonically_increasing_id()), "benchmark-bags")
+    longest = items.agg(F.max(F.size("shingles"))).first()[0] or 0
+    prints = fingerprints(items, "number", "shingles", longest)
+    return stored(items.join(prints, "number").drop("number"), "benchmark-items")
 
 
 def _sized(df: DataFrame, most: int) -> DataFrame:
@@ -182,10 +192,7 @@ def contaminated(
     found = []
     for width in widths:
         keys = items.where(F.col("width") == width).select("n", F.explode("shingles").alias("key")).distinct()
-        places = words.select(
-            "doc_id", "row", F.size("words").alias("length"), F.posexplode(shingles_of("words", width)).alias("place", "key")
-        )
-        hits = places.join(_sized(stored(keys, "benchmark-keys"), rules.broadcast_rows), "key")
+        hits = places_of(words, width).join(_sized(stored(keys, "benchmark-keys"), rules.broadcast_rows), "key")
         found.append(
             hits.groupBy("doc_id", "row", "n")
             .agg(F.first("length").alias("length"), F.sort_array(F.collect_set("place")).alias("places"))
@@ -207,13 +214,19 @@ def contaminated(
         F.explode(starts_of(F.col("places"), F.col("n"), F.col("width"), F.col("length"))).alias("start"),
     )
     windows = near.select(
-        "doc_id", "n", "start", F.slice("all", F.col("start") + 1, F.col("n") - F.col("width") + 1).alias("window")
+        F.monotonically_increasing_id().alias("number"),
+        "doc_id",
+        "n",
+        "start",
+        F.slice("all", F.col("start") + 1, F.col("n") - F.col("width") + 1).alias("window"),
     )
-    windows = stored(windows.withColumn("print", fingerprint(F.col("window"))), "benchmark-windows")
+    windows = stored(windows, "benchmark-windows")
+    longest = items.agg(F.max(F.size("shingles"))).first()[0]
+    prints = fingerprints(windows, "number", "window", longest).join(windows.select("number", "n"), "number")
 
     index = _sized(stored(item_index(items, rules), "benchmark-index"), rules.broadcast_rows)
-    looked = windows.select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(rules.blocks - 1))).alias("block")
+    looked = prints.select(
+        "number", "n", "print", F.explode(F.sequence(F.lit(0), F.lit(rules.blocks - 1))).alias("block")
     ).withColumn("value", block_of(F.col("print"), F.col("block"), rules))
     differing = F.col("print").bitwiseXOR(F.col("item_print"))
     share = rules.radius // rules.blocks
@@ -221,11 +234,14 @@ def contaminated(
     for block in range(rules.blocks - 1):
         close = F.bit_count(block_of(differing, block, rules)) <= share
         earlier = earlier | ((F.col("block") > block) & close)
-    candidates = looked.join(index, ["n", "block", "value"]).where(
-        (F.bit_count(differing) <= rules.radius) & ~earlier
+    candidates = (
+        looked.join(index, ["n", "block", "value"])
+        .where((F.bit_count(differing) <= rules.radius) & ~earlier)
+        .select("number", "item_id", "n")
     )
-    bags = items.select("item_id", "n", F.col("shingles").alias("item"))
-    compared = candidates.join(_sized(bags, rules.broadcast_rows), ["item_id", "n"]).withColumn(
+    bags = _sized(items.select("item_id", "n", F.col("shingles").alias("item")), rules.broadcast_rows)
+    bounds = windows.select("number", "doc_id", "start", "window")
+    compared = candidates.join(bags, ["item_id", "n"]).join(bounds, "number").withColumn(
         "shared", shared("window", "item")
     )
     rest = F.size("window") + F.size("item") - F.col("shared")
