@@ -78,6 +78,7 @@ class TrainingRules:
     rare_depth: int = 4
     learning_rate: float = 0.05
     subsample: float = 0.8
+    column_share: float = 0.8
     numerical: tuple[str, ...] = (
         "min_temp", "max_temp", "rainfall", "evaporation", "sunshine_hours", "wind_gust_speed",
         "wind_speed_9am", "wind_speed_3pm", "humidity_9am", "humidity_3pm", "pressure_9am",

@@ -20,6 +20,7 @@ from barograph.functions.numeric import count_if, ratio, round_half_even, round_
 from barograph.operators.features import (
     align_features, category_codes, column_medians, encode_categoricals, feature_matrix,
 )
+from barograph.operators.quantiles import value_buckets
 from barograph.operators.sequence import number_rows, running_total
 from barograph.sources.landing import stored
 
@@ -46,17 +47,24 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``is_test``: the same share of every label, repeatable for a seed.
 
-    Rows are numbered by a hash of their key inside (label, hash prefix), so a label with half of
-    all rows is spread over thousands of groups.
+    Per label the rows with the smallest hashes of their key are the test. Only labels and hashes are
+    numbered, inside (label, hash prefix), to find the last hash of the test; the rows themselves
+    are compared with it and stay where they are. Rows without a label have no part.
     """
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[c(k).cast("string") for k in keys]))
-    hashed = df.withColumn("_digest", digest)
-    numbered = number_rows(hashed, [label], "_digest", chunk=F.substring("_digest", 1, 3))
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    return (
+    hashed = df.where(c(label).isNotNull()).withColumn("_digest", digest)
+    numbered = number_rows(hashed.select(label, "_digest"), [label], "_digest", chunk=F.substring("_digest", 1, 3))
+    sizes = hashed.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    last = (
         numbered.join(sizes, label)
-        .withColumn("is_test", c("_seq") < F.round(c("_n") * test))
-        .drop("_digest", "_seq", "_n")
+        .where(c("_seq") < F.round(c("_n") * test))
+        .groupBy(label)
+        .agg(F.max("_digest").alias("_last"))
+    )
+    return (
+        hashed.join(last, label, "left")
+        .withColumn("is_test", F.coalesce(c("_digest") <= c("_last"), F.lit(False)))
+        .drop("_digest", "_last")
     )
 
 
@@ -68,7 +76,8 @@ def rank_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     counts = df.groupBy(score).agg(
         count_if(c(label) == 1).alias("_pos"), count_if(c(label) == 0).alias("_neg")
     )
-    running = running_total(counts, [], score, {"_neg": "_below"}, F.floor(c(score) * 1000))
+    slotted = value_buckets(counts, [], score)
+    running = running_total(slotted, [], score, {"_neg": "_below"}, c("_slot"))
     won = c("_pos") * (c("_below") - c("_neg") / 2)
     return running.agg(
         ratio(F.sum(won), F.sum("_pos").cast("double") * F.sum("_neg")).alias("auc_roc")
@@ -139,9 +148,11 @@ def prepare(frame: DataFrame, rules: TrainingRules = RULES) -> tuple[DataFrame,
     return stored(_vectors(frame, prepared, rules), "vectors"), prepared
 
 
-def _vectors(frame: DataFrame, prepared: Prepared, rules: TrainingRules = RULES) -> DataFrame:
-    """``features`` vector next to city, date and whatever targets the frame has."""
-    targets = [t for t in rules.targets if t in frame.columns]
+def _vectors(
+    frame: DataFrame, prepared: Prepared, rules: TrainingRules = RULES, carry: Sequence[str] = ()
+) -> DataFrame:
+    """``features`` vector next to city, date, ``carry`` and whatever targets the frame has."""
+    targets = [t for t in rules.targets if t in frame.columns] + list(carry)
     named = {t: f"target_{t}" for t in targets}
     base = frame.withColumns({named[t]: c(t) for t in targets} | {"_city": c("city")})
     encoded, _ = encode_categoricals(base, rules.categorical, prepared.mappings)
@@ -171,6 +182,7 @@ def train_binary(df: DataFrame, label: str, rules: TrainingRules = RULES) -> Pip
     booster = GBTClassifier(
         labelCol=label, featuresCol="features", weightCol="_weight", maxIter=trees, maxDepth=depth,
         stepSize=rules.learning_rate, subsamplingRate=rules.subsample, seed=rules.seed,
+        featureSubsetStrategy=str(rules.column_share),
     )
     return PipelineModel([booster.fit(weighted.withColumn(label, c(label).cast("double")))])
 
@@ -179,6 +191,7 @@ def train_regression(df: DataFrame, label: str, rules: TrainingRules = RULES) ->
     booster = GBTRegressor(
         labelCol=label, featuresCol="features", maxIter=rules.trees, maxDepth=rules.depth,
         stepSize=rules.learning_rate, subsamplingRate=rules.subsample, seed=rules.seed,
+        featureSubsetStrategy=str(rules.column_share),
     )
     return PipelineModel([booster.fit(df)])
 
@@ -217,7 +230,7 @@ def score_predictions(
     One vector is assembled and passed through all models; every step is a narrow projection.
     ``frame`` carries the formula-based comfort score.
     """
-    scored = _vectors(frame.drop(*rules.targets), prepared, rules)
+    scored = _vectors(frame.drop(*rules.targets), prepared, rules, carry=["comfort_score"])
 
     def apply(df: DataFrame, name: str) -> DataFrame:
         out = models[name].transform(df)
@@ -230,9 +243,8 @@ def score_predictions(
         return out.withColumn(f"out_{name}", value).drop("prediction", "rawPrediction", "probability", "_class")
 
     scored = reduce(apply, models, scored)
-    comfort = frame.select("city", "date", "comfort_score")
     rain = c("out_rain_tomorrow")
-    return scored.join(comfort, ["city", "date"]).select(
+    return scored.select(
         "date",
         "city",
         (rain >= rules.rain_threshold).cast("int").alias("rain_tomorrow"),

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barograph.functions.rows import attach_row
 from barograph.operators.sequence import running_total
 
 BUCKETS = 1024
@@ -41,7 +42,8 @@ def value_buckets(counts: DataFrame, keys: Sequence[str], value: str = "value")
     steps = [i / BUCKETS for i in range(1, BUCKETS)]
     limits = counts.groupBy(*keys).agg(F.percentile_approx(value, steps, 20 * BUCKETS).alias("_limits"))
     slot = F.size(F.filter("_limits", lambda limit: limit < F.col(value)))
-    return counts.join(limits, keys).withColumn("_slot", slot).drop("_limits")
+    limited = counts.join(limits, keys) if keys else attach_row(counts, limits)
+    return limited.withColumn("_slot", slot).drop("_limits")
 
 
 def exact_quantiles(long: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:

@@ -11,6 +11,7 @@ from barograph.config import DEFAULTS, Settings
 from barograph.functions import calendar as cal
 from barograph.functions.numeric import count_if, ratio, round_half_up, rows, snap
 from barograph.operators.sequence import asof_last
+from barograph.operators.quantiles import exact_quantiles
 from barograph.plans.intermediate import days_before, with_season
 
 
@@ -124,8 +125,8 @@ def bias_report(bias_by_city: DataFrame, dim_cities: DataFrame) -> DataFrame:
 def seasonal_performance(actuals_vs_predictions: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Season by year, and season over all years (year null).
 
-    Both levels come from one pass: the rows are expanded into the two grouping sets. The exact
-    P90 keeps a count per distinct error, and errors have one decimal.
+    Both levels come from one pass: the rows are expanded into the two grouping sets. The exact P90
+    is read off running counts per distinct error, so no task holds the errors of a season.
     """
     base = with_season(
         actuals_vs_predictions.where("has_actuals"),
@@ -138,20 +139,29 @@ def seasonal_performance(actuals_vs_predictions: DataFrame, dim_date: DataFrame)
         ["season", "season_code", "year"],
     )
     season, code, year = (F.col(c) for c in ("season", "season_code", "year"))
+    # levels as grouping_id() numbers them: 0 keeps the year, 1 leaves it out
+    of_season = F.to_json(F.struct(season, code, F.lit(1).alias("level")))
+    of_year = F.to_json(F.struct(season, code, year, F.lit(0).alias("level")))
+    errors = base.select(
+        F.explode(F.array(of_year, of_season)).alias("_group"), F.col("temp_abs_error").cast("double").alias("value")
+    )
+    p90 = exact_quantiles(errors.where(F.col("value").isNotNull()), ["_group"], [0.9]).select(
+        "_group", round_half_up("quantile", 3).alias("temp_mae_p90")
+    )
+    grouped = base.groupingSets([[season, code, year], [season, code]], season, code, year).agg(
+        F.grouping_id().alias("_level"),
+        rows().alias("n_city_days"),
+        F.countDistinct("prediction_date").alias("n_days"),
+        F.countDistinct("city").alias("n_cities"),
+        accuracy().alias("rain_accuracy"),
+        temp_error(F.avg).alias("temp_mae"),
+        temp_error(F.stddev_samp).alias("temp_mae_stddev"),
+        temp_error(F.max).alias("temp_max_error"),
+    )
     return (
-        base.groupingSets([[season, code, year], [season, code]], season, code, year)
-        .agg(
-            F.grouping_id().alias("_level"),
-            rows().alias("n_city_days"),
-            F.countDistinct("prediction_date").alias("n_days"),
-            F.countDistinct("city").alias("n_cities"),
-            accuracy().alias("rain_accuracy"),
-            temp_error(F.avg).alias("temp_mae"),
-            temp_error(F.stddev_samp).alias("temp_mae_stddev"),
-            round_half_up(F.percentile("temp_abs_error", 0.9), 3).alias("temp_mae_p90"),
-            temp_error(F.max).alias("temp_max_error"),
-        )
-        .drop("_level")
+        grouped.withColumn("_group", F.when(F.col("_level") == 0, of_year).otherwise(of_season))
+        .join(p90, "_group", "left")
+        .drop("_group", "_level")
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -109,7 +110,11 @@ def _(ctx: Context):
 @query("feature_importance_top20")
 def _(ctx: Context):
     models, prepared, _ = trained(ctx)
-    return l.feature_importance_top20(models["rain_tomorrow"], prepared.columns)
+    tops = [
+        l.feature_importance_top20(models[t], prepared.columns).select(F.lit(t).alias("target"), "*")
+        for t in ("rain_tomorrow", "heatwave_risk", "frost_risk", "storm_label")
+    ]
+    return reduce(DataFrame.unionByName, tops)
 
 
 @query("score_predictions")
