@@ -25,8 +25,8 @@ NONE = np.int32(2**31 - 1)
 #: (leftmost pair of minimum rank), but a round costs the logarithm of the length, not the length.
 LONGEST_ROW = 512
 #: Cells of one matrix, and words whose ids a task remembers; both bound memory, not results.
-CELLS = 4_000_000
-REMEMBERED = 400_000
+CELLS = 1_000_000
+REMEMBERED = 250_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -239,7 +239,7 @@ def codec(data: bytes, pattern: str) -> Codec:
 
 
 #: Text bytes that are encoded at once.
-PORTION = 4_000_000
+PORTION = 2_000_000
 
 
 def _by_portion(texts: list, step: Callable[[list], list]) -> Iterator:
