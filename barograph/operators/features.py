@@ -13,6 +13,7 @@ from barograph.functions import calendar as cal
 from barograph.functions import weather as w
 from barograph.functions.numeric import flag
 from barograph.operators.quantiles import exact_quantiles, melt
+from barograph.sources.landing import stored
 from barograph.operators.sequence import drop_halo, number_rows, row_blocks
 
 LAGGED = ("max_temp", "min_temp", "rainfall", "pressure_3pm")
@@ -140,15 +141,16 @@ def feature_frame(
 def category_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Codes 0..n-1 of the sorted distinct values of each column: (column, value, code).
 
-    Values are numbered inside their two-letter prefix, so a column with very many values is not
-    sorted in one task.
+    The distinct values are dealt into ranges of about equal size and stored with their range; then they
+    are numbered inside it. So no task sorts all values of a column, whatever they have in common.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])
     distinct = (
         df.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("value").isNotNull()).distinct()
     )
+    ranged = distinct.repartitionByRange("column", "value").withColumn("_range", F.spark_partition_id())
     numbered = number_rows(
-        distinct, ["column"], "value", chunk=F.substring("value", 1, 2), name="code"
+        stored(ranged, "category-ranges"), ["column"], "value", chunk=F.col("_range"), name="code"
     )
     return numbered.select("column", "value", F.col("code").cast("int").alias("code"))
 

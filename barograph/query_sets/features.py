@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from barograph.operators import features as f
 from barograph.functions import weather as w
+from barograph.sources.landing import stored
 from barograph.queries import SETTINGS, Context, query
 
 c = F.col
@@ -79,7 +80,8 @@ def _(ctx: Context):
 def _(ctx: Context):
     base = f.features_calendar(raw(ctx)).withColumn("place", c("city"))
     columns = ["wind_gust_dir", "wind_dir_9am", "wind_dir_3pm", "city", "state", "season"]
-    encoded, _ = f.encode_categoricals(base, columns)
+    mappings = stored(f.category_codes(base, columns), "category-codes")  # once, not once per column
+    encoded, _ = f.encode_categoricals(base, columns, mappings)
     return encoded.select("date", "place", *columns)
 
 

@@ -129,3 +129,23 @@ def test_exact_quantiles_with_heavy_values(spark):
 def test_quantile_of_one_value(spark):
     df = spark.createDataFrame([(2.5,)], "a double")
     assert [r["quantile"] for r in exact_quantiles(melt(df, ["a"]), ["feature"], [0.3]).collect()] == [2.5]
+
+
+def test_codes_of_values_with_a_common_prefix(spark):
+    from barograph.operators.features import category_codes
+
+    names = [f"COMMON_PREFIX_{i:04d}" for i in range(900)]
+    rows = spark.createDataFrame([(n, "x" if i % 2 else None) for i, n in enumerate(names)], "a string, b string")
+    codes = {(r["column"], r["value"]): r["code"] for r in category_codes(rows, ["a", "b"]).collect()}
+    assert codes == {("a", n): i for i, n in enumerate(names)} | {("b", "x"): 0}
+
+
+def test_one_outlier_does_not_fill_a_bucket(spark):
+    from barograph.operators.quantiles import exact_quantiles, value_buckets
+
+    rows = spark.range(20_000).select(F.lit("f").alias("feature"), F.col("id").cast("double").alias("value"))
+    rows = rows.unionByName(spark.createDataFrame([("f", 1e9)], "feature string, value double"))
+    largest = value_buckets(rows, ["feature"]).groupBy("_slot").count().agg(F.max("count")).first()[0]
+    assert largest <= 2_000
+    got = {r["prob"]: r["quantile"] for r in exact_quantiles(rows, ["feature"], [0.0, 0.5, 1.0]).collect()}
+    assert got == {0.0: 0.0, 0.5: 10_000.0, 1.0: 1e9}
