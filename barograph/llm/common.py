@@ -59,18 +59,30 @@ def rows_to_batch(schema: pa.Schema, columns: Sequence) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
+#: Bytes of an Arrow batch that a step sees at once.
+PIECE = 4_000_000
+
+
+def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``PIECE`` bytes at most, or one row."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * PIECE // max(PIECE, batch.nbytes))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def by_batch(
     df: DataFrame,
     make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
     schema: str,
 ) -> DataFrame:
-    """Apply ``make()`` once per task, and what it returns to each Arrow batch of the task."""
+    """Apply ``make()`` once per task, and what it returns to the Arrow batches of the task, piece by
+    piece, so that no more than ``PIECE`` bytes (or one row) are unpacked at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
-        for batch in batches:
-            if batch.num_rows:
-                yield step(batch)
+        for batch in pieces(batches):
+            yield step(batch)
 
     ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)

@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barograph.llm.common import by_batch, documents, remainder, rows_to_batch, slices, utf8
+from barograph.llm.common import by_batch, documents, pieces, remainder, rows_to_batch, slices, utf8
 from barograph.session import ship_package
 
 
@@ -101,7 +101,7 @@ def document_frequencies(learned: DataFrame, rules: LanguageRules) -> np.ndarray
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(n + 1, np.int64)
-        for batch in batches:
+        for batch in pieces(batches):
             texts = utf8(batch.column("text"))
             for first in range(0, len(texts), ROWS):
                 total[:n] += (term_counts(texts[first : first + ROWS], n) > 0).sum(axis=0)
@@ -174,7 +174,7 @@ def fit(docs: DataFrame, rules: LanguageRules = DEFAULT_RULES) -> LanguageModel
     sample = learned.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(spread)) < share)
 
     def vectorised(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in frames:
+        for batch in pieces(frames):
             texts = utf8(batch.column("text"))
             for first, last in slices(texts, PORTION):
                 for at in range(first, last, ROWS):
