@@ -9,8 +9,8 @@
    small region, and inside a large region everyone with one anchor. No region emits all its pairs.
 4. Candidates with a similar signature are compared on their full shingle sets. Only links between
    texts that are not yet connected matter, so after every step components are contracted, and only
-   candidates across components go on. In the last steps the anchor of a region is its member with
-   the most links, which joins texts that resemble a common original but not each other.
+   candidates across components go on. In the last steps the anchors of a region are its most central
+   members, which joins texts that resemble a common original but not each other.
 
 Two texts at the threshold share a region of some tree with probability 1 - (1 - 0.75^4)^32, all but
 5 in a million.
@@ -32,6 +32,7 @@ from barograph.llm.common import (
     SHINGLE_WORDS,
     by_batch,
     documents,
+    pieces,
     rows_to_batch,
     shingle_hashes,
     stored,
@@ -54,6 +55,8 @@ class ForestRules:
     #: Regions of more members get a longer prefix.
     leaf: int = 32
     neighbours: int = 3
+    #: Anchors of a region in the last steps, when few texts are left unconnected.
+    anchors: int = 4
     #: Trees whose candidates are tried before the rest.
     first_trees: int = 4
     #: Share of equal signature values below which a candidate is not compared. At the threshold
@@ -176,9 +179,9 @@ def forest(classes: DataFrame, rules: ForestRules) -> DataFrame:
     return union_all(levels)
 
 
-def _neighbours(small: DataFrame, rules: ForestRules) -> DataFrame:
-    """Each member of a small region with the next ones in the order of the tree, where they are not
-    connected yet. A list holds ``leaf`` members at most."""
+def _neighbours(small: DataFrame, ahead: int) -> DataFrame:
+    """Each member of a small region with the next ``ahead`` in the order of the tree, where they are
+    not connected yet. A list holds ``leaf`` members at most."""
     sorted_ = F.sort_array(F.collect_list(F.struct("order", "rep", "component")))
     lists = small.groupBy("key").agg(sorted_.alias("list"))
     pairs = F.flatten(
@@ -186,7 +189,7 @@ def _neighbours(small: DataFrame, rules: ForestRules) -> DataFrame:
             "list",
             lambda x, i: F.transform(
                 F.filter(
-                    F.slice("list", i + 2, rules.neighbours), lambda y: y["component"] != x["component"]
+                    F.slice("list", i + 2, ahead), lambda y: y["component"] != x["component"]
                 ),
                 lambda y: F.struct(x["rep"].alias("a"), y["rep"].alias("b")),
             ),
@@ -195,29 +198,30 @@ def _neighbours(small: DataFrame, rules: ForestRules) -> DataFrame:
     return lists.select(F.explode(pairs).alias("pair")).select("pair.a", "pair.b")
 
 
-def _anchored(large: DataFrame, by_links: bool) -> DataFrame:
-    """Every member of a region with its anchor: a member chosen by hash, or the one with most links."""
+def _anchored(rows: DataFrame, central: int) -> DataFrame:
+    """Every member of a region with its anchors: one chosen by hash, or, if ``central`` is not 0, as
+    many members that share large regions. Of each of ``central`` parts of the region, by hash, the
+    most central member is taken."""
     chance = F.xxhash64("rep", "key")
-    rank = F.struct(F.col("links"), chance) if by_links else F.struct(F.lit(0), chance)
+    part = F.pmod(chance, F.lit(central)) if central else F.lit(0)
+    rank = F.struct("weight", chance) if central else F.struct(chance)
     anchors = (
-        large.groupBy("key")
+        rows.groupBy("key", part.alias("part"))
         .agg(F.max_by(F.struct("rep", "component"), rank).alias("top"))
         .select("key", F.col("top.rep").alias("b"), F.col("top.component").alias("other"))
     )
-    return (
-        large.join(anchors, "key")
-        .where("component <> other")
-        .select(F.col("rep").alias("a"), "b")
-    )
+    return rows.join(anchors, "key").where("component <> other").select(F.col("rep").alias("a"), "b")
 
 
-def candidates(members: DataFrame, rules: ForestRules, by_links: bool) -> DataFrame:
+def candidates(members: DataFrame, rules: ForestRules, central: bool) -> DataFrame:
     """Pairs (a, b) of representatives in different components; b is the anchor if one is."""
-    if by_links:
-        found = _anchored(members, True)
+    if central:
+        found = _anchored(members, rules.anchors)
     else:
         small = F.col("n") <= rules.leaf
-        found = _neighbours(members.where(small), rules).unionByName(_anchored(members.where(~small), False))
+        found = _neighbours(members.where(small), rules.neighbours).unionByName(
+            _anchored(members.where(~small), 0)
+        )
     return (
         found.groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
         .agg(F.min("b").alias("b"))
@@ -262,7 +266,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, rules: ForestRules) -> DataFra
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, sets = None, []
-        for batch in batches:
+        for batch in pieces(batches):
             a, b = [], []
             for key, block, turn, partner, text in zip(
                 *[batch.column(n).to_pylist() for n in ("b", "block", "turn", "rep")],
@@ -338,17 +342,15 @@ def linked(classes: DataFrame, rows: DataFrame, rules: ForestRules) -> DataFrame
             found = stored(components(union_all(links), "a", "b"), "components")
         return n
 
-    def step(some: DataFrame, by_links: bool) -> int:
-        some = some.withColumn("component", F.col("rep")).withColumn("links", F.lit(0))
+    def step(some: DataFrame, central: bool) -> int:
+        some = some.withColumn("component", F.col("rep"))
         if found is not None:
             known = found.withColumnRenamed("node", "rep").withColumnRenamed("component", "known")
             some = some.join(known, "rep", "left").withColumn("component", F.coalesce("known", "rep"))
-        if by_links:
-            ends = union_all(links).select(F.explode(F.array("a", "b")).alias("rep"))
-            degrees = ends.groupBy("rep").agg(F.count(F.lit(1)).alias("degree"))
-            some = some.join(degrees, "rep", "left").withColumn("links", F.coalesce("degree", F.lit(0)))
-        pairs = candidates(some, rules, by_links)
-        if by_links and tested:
+        if central:
+            some = some.join(members.groupBy("rep").agg(F.sum("n").alias("weight")), "rep")
+        pairs = candidates(some, rules, central)
+        if central and tested:
             done = _ends(union_all(tested)).select("x", "y")
             pairs = _ends(pairs).join(done, ["x", "y"], "left_anti").select("a", "b")
         scored = stored(promising(pairs, signatures, rules), "candidates")
