@@ -120,3 +120,35 @@ def test_components_equal_brute_force(spark, seed):
     found = components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()
     assert {r["node"]: r["component"] for r in found} == {x: root(x) for x in list(parent)}
     assert len(found) == len(parent)
+
+
+def test_pairs_inside_a_template_family(spark):
+    rng = random.Random(6)
+    boilerplate = [f"b{i}" for i in range(200)]
+
+    def member(name, own):
+        return boilerplate + [f"{name}x{i}" for i in range(own)]
+
+    # all share the boilerplate, which is no link; a few pairs share a little more, which is one
+    texts = [member(f"m{k}", 36) for k in range(300)]
+    for k in range(40):
+        base = member(f"p{k}", 36)
+        texts += [base[:-27] + [f"{k}y{side}z{i}" for i in range(27)] for side in range(2)]
+    rng.shuffle(texts)
+    rows = [(i, " ".join(text)) for i, text in enumerate(texts)]
+    found = equal_to_brute(spark.createDataFrame(rows, "doc_id long, text string"), near.ForestRules(leaf=8, neighbours=1))
+    assert sum(not r["kept"] for r in found) == 40
+
+
+def test_rare_shingles_lose_no_pair(spark):
+    rng = random.Random(7)
+    pool = [f"w{i}" for i in range(60)]
+    rows = []
+    for k in range(120):
+        words = pool[: rng.randint(40, 60)]
+        rows.append((k, k, 1, varied(rng, words, rng.randint(0, 3))))
+    texts = spark.createDataFrame(rows, "rep long, component long, weight long, text string")
+    got = {frozenset((r["a"], r["b"])) for r in near.possible(texts, near.ForestRules(block=7)).collect()}
+    sets = {r[0]: near.shingle_set(r[3].encode(), 5) for r in rows}
+    wanted = {frozenset((a, b)) for a in sets for b in sets if a < b and near.similar(sets[a], sets[b], 75)}
+    assert wanted and wanted <= got
