@@ -265,30 +265,31 @@ def _class_name(model: PipelineModel) -> Column:
     return F.get(names, c("prediction").cast("int"))
 
 
+def train_target(
+    vectors: DataFrame, target: str, rules: TrainingRules = RULES
+) -> tuple[PipelineModel, DataFrame]:
+    """The model of one target and its test metrics."""
+    by = target if target != "max_temp_tomorrow" else "_all"
+    data = vectors.withColumn("_all", F.lit(0)) if by == "_all" else vectors
+    split = stored(stratified_split(data, by, ["city", "date"], rules.test_share, rules.seed), f"split-{target}")
+    train, test = split.where(~c("is_test")), split.where(c("is_test"))
+    if target == "max_temp_tomorrow":
+        model = train_regression(train, target, rules)
+        return model, regression_metrics(model.transform(test), target, "prediction")
+    if target == "weather_type_tomorrow":
+        model = train_multiclass(train, target, rules)
+        named = model.transform(test).withColumn("_said", _class_name(model))
+        return model, multiclass_metrics(named, target, "_said")
+    model = train_binary(train, target, rules)
+    scores = model.transform(test).withColumn("_score", positive_share())
+    return model, binary_metrics(scores, target, "_score")
+
+
 def train_all(
     frame: DataFrame, rules: TrainingRules = RULES
 ) -> tuple[dict[str, PipelineModel], Prepared, dict[str, DataFrame]]:
     """All six models with their test metrics."""
-    known = target_mask(frame, rules.targets)
-    vectors, prepared = prepare(known, rules)
-    models: dict[str, PipelineModel] = {}
-    metrics: dict[str, DataFrame] = {}
-    for target in rules.targets:
-        by = target if target != "max_temp_tomorrow" else "_all"
-        data = vectors.withColumn("_all", F.lit(0)) if by == "_all" else vectors
-        split = stored(
-            stratified_split(data, by, ["city", "date"], rules.test_share, rules.seed), f"split-{target}"
-        )
-        train, test = split.where(~c("is_test")), split.where(c("is_test"))
-        if target == "max_temp_tomorrow":
-            models[target] = train_regression(train, target, rules)
-            metrics[target] = regression_metrics(models[target].transform(test), target, "prediction")
-        elif target == "weather_type_tomorrow":
-            models[target] = train_multiclass(train, target, rules)
-            named = models[target].transform(test).withColumn("_said", _class_name(models[target]))
-            metrics[target] = multiclass_metrics(named, target, "_said")
-        else:
-            models[target] = train_binary(train, target, rules)
-            scores = models[target].transform(test).withColumn("_score", positive_share())
-            metrics[target] = binary_metrics(scores, target, "_score")
-    return models, prepared, metrics
+    vectors, prepared = prepare(target_mask(frame, rules.targets), rules)
+    fitted = {target: train_target(vectors, target, rules) for target in rules.targets}
+    models = {target: model for target, (model, _) in fitted.items()}
+    return models, prepared, {target: metrics for target, (_, metrics) in fitted.items()}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -15,9 +14,8 @@ from barograph.queries import SETTINGS, Context, query
 from barograph.sources.landing import stored
 
 c = F.col
-# The published ensemble sizes take minutes per model on one machine; the registered queries train
-# the same models on the same rows with fewer trees.
-RULES = replace(SETTINGS.training, trees=5, rare_trees=5, multiclass_trees=20, depth=4)
+RULES = SETTINGS.training
+BINARY = ("rain_tomorrow", "heatwave_risk", "frost_risk", "storm_label")
 
 
 def frame(ctx: Context) -> DataFrame:
@@ -28,8 +26,14 @@ def frame(ctx: Context) -> DataFrame:
     )
 
 
-def trained(ctx: Context):
-    return ctx.once("models", lambda: l.train_all(training_rows(ctx), RULES))
+def prepared(ctx: Context) -> tuple[DataFrame, l.Prepared]:
+    """Vectors of the training rows, stored once for all models."""
+    return ctx.once("vectors", lambda: l.prepare(l.target_mask(training_rows(ctx), RULES.targets), RULES))
+
+
+def trained(ctx: Context, target: str):
+    """The model of one target and its metrics; a query fits only the targets it shows."""
+    return ctx.once(f"model-{target}", lambda: l.train_target(prepared(ctx)[0], target, RULES))
 
 
 def training_rows(ctx: Context) -> DataFrame:
@@ -88,9 +92,7 @@ def _(ctx: Context):
 
 @query("train_binary")
 def _(ctx: Context):
-    _, _, metrics = trained(ctx)
-    names = ("rain_tomorrow", "heatwave_risk", "frost_risk", "storm_label")
-    parts = [metrics[n].withColumn("model", F.lit(n)) for n in names]
+    parts = [trained(ctx, n)[1].withColumn("model", F.lit(n)) for n in BINARY]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -99,25 +101,24 @@ def _(ctx: Context):
 
 @query("train_regression")
 def _(ctx: Context):
-    return trained(ctx)[2]["max_temp_tomorrow"]
+    return trained(ctx, "max_temp_tomorrow")[1]
 
 
 @query("train_multiclass")
 def _(ctx: Context):
-    return trained(ctx)[2]["weather_type_tomorrow"]
+    return trained(ctx, "weather_type_tomorrow")[1]
 
 
 @query("feature_importance_top20")
 def _(ctx: Context):
-    models, prepared, _ = trained(ctx)
+    names = prepared(ctx)[1].columns
     tops = [
-        l.feature_importance_top20(models[t], prepared.columns).select(F.lit(t).alias("target"), "*")
-        for t in ("rain_tomorrow", "heatwave_risk", "frost_risk", "storm_label")
+        l.feature_importance_top20(trained(ctx, t)[0], names).select(F.lit(t).alias("target"), "*") for t in BINARY
     ]
     return reduce(DataFrame.unionByName, tops)
 
 
 @query("score_predictions")
 def _(ctx: Context):
-    models, prepared, _ = trained(ctx)
-    return l.score_predictions(frame(ctx), models, prepared, RULES)
+    models = {t: trained(ctx, t)[0] for t in RULES.targets}
+    return l.score_predictions(frame(ctx), models, prepared(ctx)[1], RULES)
