@@ -96,14 +96,15 @@ def counts(text: bytes) -> tuple[int, int, int, int, int]:
 
 def judged(text: bytes, press: zstandard.ZstdCompressor, bands: Bands) -> tuple:
     """Ratios of a text and whether they are inside their bands. A text without a byte has no ratio
-    and is inside. A rest of less than half a chunk is judged with the whole only."""
+    and is inside, and one shorter than a chunk is judged as a whole only. The last chunk is a full one
+    that ends with the text, so it may overlap the one before."""
     if not text:
         return None, None, None, 0, 0, True
     whole = len(text) / len(press.compress(text))
     size = bands.chunk_bytes
-    pieces = [text[i : i + size] for i in range(0, len(text), size)]
-    if len(pieces[-1]) < size // 2 or len(pieces) == 1:
-        pieces.pop()
+    pieces = [text[i : i + size] for i in range(0, len(text) - size + 1, size)]
+    if pieces and len(text) % size:
+        pieces.append(text[-size:])
     ratios = [len(piece) / len(press.compress(piece)) for piece in pieces]
     outside = sum(not bands.chunk.least <= r <= bands.chunk.most for r in ratios)
     band = next(b for b in bands.whole if len(text) <= b.up_to)

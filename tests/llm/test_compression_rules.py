@@ -63,3 +63,17 @@ def test_clean_documents_stay(spark, larger):
     labels = spark.read.parquet(f"{larger}/labels.parquet").where("quality = 1")
     rows = queries.op5_compression_rules(spark, larger).join(labels, "doc_id").where("NOT base_failed")
     assert rows.where("NOT kept").count() <= 0.01 * rows.count()
+
+
+def test_the_end_of_a_text_is_judged():
+    press = zstandard.ZstdCompressor(level=3, write_checksum=False, write_content_size=False)
+    rng = random.Random(5)
+    prose = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9))) for _ in range(900))
+    start = prose.encode()[:2048]
+    noise = bytes(rng.randrange(256) for _ in range(1000))
+    whole, least, _, chunks, outside, _ = c.judged(start + noise, press, c.DEFAULT_BANDS)
+    assert chunks == 2 and least == min(len(p) / len(press.compress(p)) for p in (start, (start + noise)[-2048:]))
+    assert c.judged(start * 2, press, c.DEFAULT_BANDS)[3] == 2
+    assert c.judged(start[:2000], press, c.DEFAULT_BANDS)[3] == 0
+    _, _, most, _, outside, fine = c.judged(start + b"again " * 170, press, c.DEFAULT_BANDS)
+    assert most > c.DEFAULT_BANDS.chunk.most and outside == 1 and not fine
