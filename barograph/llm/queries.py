@@ -14,9 +14,12 @@ from barograph.llm import (
     license_scan,
     lm_scoring,
     near_dedup,
+    packing,
     quality_model,
     secret_scan,
     sharding,
+    source_audit,
+    whitening,
 )
 from barograph.llm.common import table
 
@@ -91,6 +94,21 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan(table(spark, folder, "documents")))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """The four leading components of every embedding."""
+    return whitening.whitened(table(spark, folder, "embeddings"))
+
+
+def op12_source_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return source_audit.audit(table(spark, folder, "documents"))
+
+
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in sequences of 2048 tokens, ids as checksums."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.digests(packing.packed(table(spark, folder, "documents"), path))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_sharding": op2_sharding,
@@ -102,7 +120,10 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_decontamination": op9_decontamination,
     "op10_secrets": op10_secrets,
+    "op11_whitening": op11_whitening,
+    "op12_source_audit": op12_source_audit,
+    "op13_packing": op13_packing,
 }
 
 #: DuckDB SQL by query, where SQL can express the operator.
-CHECKS: dict[str, str] = {}
+CHECKS: dict[str, str] = {"op12_source_audit": source_audit.SQL}
