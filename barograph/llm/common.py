@@ -63,10 +63,10 @@ def rows_to_batch(schema: pa.Schema, columns: Sequence) -> pa.RecordBatch:
 PIECE = 4_000_000
 
 
-def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``PIECE`` bytes at most, or one row."""
+def pieces(batches: Iterable[pa.RecordBatch], size: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes at most, or one row."""
     for batch in batches:
-        rows = max(1, batch.num_rows * PIECE // max(PIECE, batch.nbytes))
+        rows = max(1, batch.num_rows * size // max(size, batch.nbytes))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
 

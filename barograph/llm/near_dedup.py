@@ -5,15 +5,14 @@
 2. A forest of trees: each tree sorts the representatives by its own order of the signature. A
    region is a set of representatives with a common prefix in one tree. Where a region holds many,
    the prefix grows, region by region, until few are left.
-3. First candidates are neighbours by longest common prefix: the next ones in the sorted order inside
-   a small region, and inside a large region everyone with one anchor, then with its most central
-   members. Candidates with a similar signature are compared on their full shingle sets. Only links
-   between texts that are not yet connected matter, so after every step components are contracted,
-   and only candidates across components go on.
-4. Then all members of a small region are candidates of each other.
-5. Members of large regions that still hold several components are joined exactly: two similar sets
-   share one of their rarest shingles, so the rarest quarter of each set is joined on the shingle,
-   and every pair that can still be similar by sizes and positions is compared on the full sets.
+3. First candidates are neighbours by longest common prefix, the next ones in the sorted order inside
+   a small region, and the hub of every region, the member with the greatest hash. Of its candidates
+   with a similar signature, each text is compared with the most similar one and with the greatest
+   hub, on the full shingle sets. Their links are contracted to components.
+4. What can still join two components: all members of a small region are candidates of each other;
+   members of large regions that hold several components are joined exactly. Two similar sets share
+   one of their rarest shingles, so the rarest quarter of each set is joined on the shingle, and
+   every pair that can still be similar by sizes and positions is compared on the full sets.
 
 Two texts at the threshold share a region of some tree with probability 1 - (1 - 0.75^4)^32, all but
 5 in a million. In a small region a pair is compared if 59 % of the signature is equal, which a pair
@@ -59,10 +58,6 @@ class ForestRules:
     #: Regions of more members get a longer prefix.
     leaf: int = 32
     neighbours: int = 3
-    #: Anchors of a large region once its members have met a first one.
-    anchors: int = 4
-    #: Trees whose candidates are tried before the rest.
-    first_trees: int = 4
     #: Share of equal signature values below which a candidate is not compared. At the threshold
     #: the share is 0.75 with a deviation of 0.038.
     share: float = 0.6
@@ -70,7 +65,7 @@ class ForestRules:
     block: int = 256
     #: Most counters (4 bytes each) that tell rare shingles from common ones.
     counters: int = 1 << 22
-    #: More candidates than this are compared in two turns, the best partner of each text first.
+    #: More candidates between components than this are compared in two turns, the best first.
     all_at_once: int = 50_000
     #: Representatives up to this number are broadcast as ids (8 bytes each); beyond, texts are shuffled.
     broadcast_ids: int = 2_000_000
@@ -85,6 +80,9 @@ class ForestRules:
 
 DEFAULT_RULES = ForestRules()
 
+#: Numbers from here on stand for texts that only rows without an id hold.
+STAND_INS = 1 << 62
+
 _rng = np.random.default_rng(20240607)
 _A = _rng.integers(1, 2**63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 2**63, 4096, dtype=np.uint64)
@@ -205,41 +203,21 @@ def _neighbours(small: DataFrame, ahead: int) -> DataFrame:
     return lists.select(F.explode(pairs).alias("pair")).select("pair.a", "pair.b")
 
 
-def _anchored(rows: DataFrame, central: int) -> DataFrame:
-    """Every member of a region with its anchors: one chosen by hash, or, if ``central`` is not 0, as
-    many members that share large regions. Of each of ``central`` parts of the region, by hash, the
-    most central member is taken."""
-    chance = F.xxhash64("rep", "key")
-    part = F.pmod(chance, F.lit(central)) if central else F.lit(0)
-    rank = F.struct("weight", chance) if central else F.struct(chance)
-    anchors = (
-        rows.groupBy("key", part.alias("part"))
-        .agg(F.max_by(F.struct("rep", "component"), rank).alias("top"))
-        .select("key", F.col("top.rep").alias("b"), F.col("top.component").alias("other"))
-    )
-    return rows.join(anchors, "key").where("component <> other").select(F.col("rep").alias("a"), "b")
-
-
-def candidates(members: DataFrame, rules: ForestRules, kind: str) -> DataFrame:
-    """Pairs (a, b) of representatives in different components; b is the anchor if one is."""
-    small = F.col("n") <= rules.leaf
-    if kind == "central":
-        found = _anchored(members.where(~small), rules.anchors)
-    elif kind == "all":
-        found = _neighbours(members.where(small), rules.leaf)
-    else:
-        found = _neighbours(members.where(small), rules.neighbours).unionByName(
-            _anchored(members.where(~small), 0)
-        )
-    return _once(found)
+def _with_hubs(members: DataFrame) -> DataFrame:
+    """Every member of a region with the one that has the greatest hash there. The hash does not
+    depend on the region, so the same few texts are hubs in all trees."""
+    hub = F.max_by("rep", F.struct(F.xxhash64("rep"), "rep"))
+    hubs = members.groupBy("key").agg(hub.alias("b"))
+    return members.join(hubs, "key").where("rep <> b").select(F.col("rep").alias("a"), "b")
 
 
 def _once(found: DataFrame) -> DataFrame:
-    return (
-        found.groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
-        .agg(F.min("b").alias("b"))
-        .select(F.when(F.col("b") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("a"), "b")
-    )
+    """Each pair once, in the direction of its greatest hash, so that a hub comes as b."""
+    a, b = F.struct(F.xxhash64("a"), "a"), F.struct(F.xxhash64("b"), "b")
+    return found.select(
+        F.when(a < b, F.col("a")).otherwise(F.col("b")).alias("a"),
+        F.when(a < b, F.col("b")).otherwise(F.col("a")).alias("b"),
+    ).distinct()
 
 
 def short_signatures(classes: DataFrame, ids: DataFrame, rules: ForestRules) -> DataFrame:
@@ -250,8 +228,8 @@ def short_signatures(classes: DataFrame, ids: DataFrame, rules: ForestRules) ->
     return F.broadcast(short) if short.count() <= rules.broadcast_signatures else short
 
 
-def promising(pairs: DataFrame, signatures: DataFrame, rules: ForestRules) -> DataFrame:
-    """Pairs with the number of equal signature values, if it is large."""
+def promising(pairs: DataFrame, signatures: DataFrame, least: float) -> DataFrame:
+    """(a, b, equal): pairs with the number of equal signature values, if it is not below ``least``."""
     left = signatures.select(F.col("rep").alias("a"), F.col("sig").alias("left"))
     right = signatures.select(F.col("rep").alias("b"), F.col("sig").alias("right"))
     equal = F.size(F.filter(F.zip_with("left", "right", lambda x, y: x == y), lambda same: same))
@@ -259,7 +237,7 @@ def promising(pairs: DataFrame, signatures: DataFrame, rules: ForestRules) -> Da
         pairs.join(left, "a")
         .join(right, "b")
         .select("a", "b", equal.alias("equal"))
-        .where(F.col("equal") >= int(rules.share * rules.hashes))
+        .where(F.col("equal") >= int(least))
     )
 
 
@@ -421,33 +399,41 @@ def confirmed(pairs: DataFrame, texts: DataFrame, rules: ForestRules) -> DataFra
     )
 
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select("*", F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+def _known(rows: DataFrame, found: DataFrame | None, end: str, component: str) -> DataFrame:
+    """The rows with the component of a node; a node without links is its own."""
+    if found is None:
+        return rows.withColumn(component, F.col(end))
+    known = found.select(F.col("node").alias(end), F.col("component").alias("known"))
+    return rows.join(known, end, "left").withColumn(component, F.coalesce("known", end)).drop("known")
 
 
 def _across(pairs: DataFrame, found: DataFrame | None) -> DataFrame:
     """Pairs whose ends are not connected yet."""
+    placed = _known(_known(pairs, found, "a", "of_a"), found, "b", "of_b")
+    return placed.where("of_a <> of_b").select(pairs.columns)
+
+
+def _leading(scored: DataFrame) -> DataFrame:
+    """Of the scored pairs (a, b, equal) each text's most similar partner and its greatest hub."""
+    turned = scored.unionByName(scored.select(F.col("b").alias("a"), F.col("a").alias("b"), "equal"))
+    best = turned.groupBy("a").agg(
+        F.max_by("b", F.struct("equal", -F.col("b"))).alias("nearest"),
+        F.max_by("b", F.struct(F.xxhash64("b"), "b")).alias("hub"),
+    )
+    return _once(best.select("a", F.explode(F.array("nearest", "hub")).alias("b")))
+
+
+def contracted(found: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, component) after more links: only their ends' components are joined anew."""
     if found is None:
-        return pairs
-    columns = pairs.columns
-    for end in ("a", "b"):
-        known = found.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
-        pairs = pairs.join(known, end, "left")
-    return pairs.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select(columns)
-
-
-def _best(scored: DataFrame) -> DataFrame:
-    """Pairs with a mark on those that are the best partner of one of their ends."""
-    turned = scored.select(F.col("b").alias("a"), F.col("a").alias("b"), "equal")
-    best = (
-        scored.unionByName(turned)
-        .groupBy("a")
-        .agg(F.max_by("b", F.struct("equal", -F.col("b"))).alias("b"))
-        .select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
-        .distinct()
-        .withColumn("best", F.lit(True))
+        return components(links, "a", "b")
+    ends = _known(_known(links, found, "a", "of_a"), found, "b", "of_b")
+    joined = components(ends, "of_a", "of_b")
+    before = found.join(joined.select(F.col("node").alias("component"), F.col("component").alias("now")), "component", "left")
+    fresh = joined.join(found.select("node"), "node", "left_anti")
+    return stored(
+        before.select("node", F.coalesce("now", "component").alias("component")).unionByName(fresh), "components"
     )
-    return _ends(scored).join(best, ["x", "y"], "left").select("a", "b", F.coalesce("best", F.lit(False)).alias("best"))
 
 
 def linked(classes: DataFrame, rows: DataFrame, rules: ForestRules) -> DataFrame | None:
@@ -455,70 +441,35 @@ def linked(classes: DataFrame, rows: DataFrame, rules: ForestRules) -> DataFrame
     members = forest(classes, rules)
     reps = stored(members.select("rep").distinct(), "forest-ids")
     ids = F.broadcast(reps) if reps.count() <= rules.broadcast_ids else reps
-    texts = stored(rows.withColumnRenamed("doc_id", "rep").join(ids, "rep", "left_semi"), "forest-texts")
-
+    texts = stored(rows.join(ids, "rep", "left_semi"), "forest-texts")
     signatures = short_signatures(classes, ids, rules)
-
-    links: list[DataFrame] = []
-    tested: list[DataFrame] = []
     found: DataFrame | None = None
 
-    def add(pairs: DataFrame) -> int:
-        """Compare pairs, keep the links, renew the components; the number of new links."""
+    def add(pairs: DataFrame) -> None:
+        """Compare pairs and join the components of the similar ones."""
         nonlocal found
-        new = stored(confirmed(pairs, texts, rules), "links")
-        n = new.count()
-        if n:
-            links.append(new)
-            found = stored(components(union_all(links), "a", "b"), "components")
-        return n
-
-    def placed(some: DataFrame) -> DataFrame:
-        if found is None:
-            return some.withColumn("component", F.col("rep"))
-        known = found.withColumnRenamed("node", "rep").withColumnRenamed("component", "known")
-        return some.join(known, "rep", "left").withColumn("component", F.coalesce("known", "rep")).drop("known")
-
-    def untested(pairs: DataFrame) -> DataFrame:
-        if not tested:
-            return pairs
-        done = _ends(union_all(tested)).select("x", "y")
-        return _ends(pairs).join(done, ["x", "y"], "left_anti").select("a", "b")
-
-    def compare(pairs: DataFrame) -> None:
-        scored = stored(promising(pairs, signatures, rules), "candidates")
-        size = scored.count()
-        if not size:
-            return
-        tested.append(scored.select("a", "b"))
-        if size <= rules.all_at_once:
-            add(scored.select("a", "b"))
-            return
-        # first the best partner of each text, then what still lies between two components
-        marked = stored(_best(scored), "candidates")
-        add(marked.where("best").select("a", "b"))
-        add(_across(marked.where("NOT best").select("a", "b"), found))
-
-    def step(some: DataFrame, kind: str) -> None:
-        some = placed(some)
-        if kind == "central":
-            some = some.join(members.groupBy("rep").agg(F.sum("n").alias("weight")), "rep")
-        compare(untested(candidates(some, rules, kind)))
-
-    if not members.where(F.col("n") > rules.leaf).limit(1).count():
-        step(members, "near")
-        step(members, "all")
-        return found
-    step(members.where(F.col("tree") < rules.first_trees), "near")
-    step(members.where(F.col("tree") >= rules.first_trees), "near")
-    step(members, "central")
-    step(members, "all")
-    left = stored(crowded(placed(members), rules), "crowded")
+        links = stored(confirmed(pairs, texts, rules), "links")
+        if links.limit(1).count():
+            found = contracted(found, links)
+
+    alone = members.withColumn("component", F.col("rep"))
+    small = F.col("n") <= rules.leaf
+    first = _neighbours(alone.where(small), rules.neighbours).unionByName(_with_hubs(members))
+    add(_leading(promising(_once(first), signatures, rules.share * rules.hashes)))
+
+    placed = _known(members, found, "rep", "component")
+    pairs = promising(_once(_neighbours(placed.where(small), rules.leaf)), signatures, rules.share * rules.hashes)
+    left = stored(crowded(placed, rules), "crowded")
     if left.limit(1).count():
-        pairs = stored(untested(possible(texts.join(left, "rep"), rules)), "possible")
-        compare(pairs)
-        # the signature only chooses who comes first
-        add(_across(untested(pairs), found))
+        exact = promising(possible(texts.join(left, "rep"), rules), signatures, 0)
+        pairs = pairs.unionByName(exact).distinct()
+    pairs = stored(pairs, "candidates")
+    count = pairs.count()
+    if count > rules.all_at_once:
+        add(_leading(pairs))
+        add(_across(pairs, found))
+    elif count:
+        add(pairs)
     return found
 
 
@@ -526,32 +477,41 @@ def near_duplicates(
     docs: DataFrame, rules: ForestRules = DEFAULT_RULES, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, text_key), a row per row; ``text_key`` is Spark's
-    xxhash64 of the text.
+    xxhash64 of the text. Ids are below 2^62.
 
     A text with fewer words than a shingle is one shingle; a null text or one without words has none
     and is linked with nothing. Texts with equal sets are linked. Rows that repeat an id with the
-    same text get the same component; a null id never names a component, and a row whose component
-    has no id is not kept. Other columns are not read; no rows give no rows.
+    same text get the same component. A row without an id takes part: texts linked through it are
+    linked. It never names a component, is not kept, and has no component if no id is reachable.
+    Other columns are not read; no rows give no rows.
     """
     rows = documents(docs, id_col, text_col)
     sketched = stored(sketches(rows, rules), "sketches")
+    # sets without an id get a number above all ids
+    stand_in = F.lit(STAND_INS) + F.shiftrightunsigned(F.xxhash64("d1", "d2"), 2)
     sets = stored(
         sketched.where("n_shingles > 0")
         .groupBy("d1", "d2")
-        .agg(F.min("doc_id").alias("rep"), F.any_value("sig").alias("sig")),
+        .agg(
+            F.min("doc_id").alias("doc_id"),
+            F.any_value("sig").alias("sig"),
+            F.min(F.when(F.col("doc_id").isNull(), F.col("text_key"))).alias("nameless"),
+        )
+        .withColumn("rep", F.coalesce("doc_id", stand_in)),
         "sets",
     )
-    classes = sets.where("rep IS NOT NULL").select("rep", "sig")
-    found = linked(classes, rows, rules)
-    named = sets.select("d1", "d2", "rep")
-    if found is not None:
-        named = named.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    else:
-        named = named.withColumn("component", F.lit(None).cast("long"))
-    named = named.select("d1", "d2", F.coalesce("component", "rep").alias("component"))
+    nameless = sets.where("doc_id IS NULL").select("rep", F.col("nameless").alias("text_key"))
+    named = rows.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("rep"), "text")
+    if nameless.limit(1).count():
+        texts = rows.where("doc_id IS NULL").select(F.xxhash64("text").alias("text_key"), "text")
+        texts = texts.join(nameless, "text_key").dropDuplicates(["rep"]).select("rep", "text")
+        named = named.unionByName(texts)
+    found = linked(sets.select("rep", "sig"), named, rules)
+    of_set = _known(sets.select("d1", "d2", "rep"), found, "rep", "component")
+    component = F.when(F.col("component") < STAND_INS, F.col("component"))
     return (
         sketched.select("doc_id", "text_key", "n_shingles", "d1", "d2")
-        .join(named, ["d1", "d2"], "left")
+        .join(of_set.select("d1", "d2", component.alias("component")), ["d1", "d2"], "left")
         .select(
             "doc_id",
             "n_shingles",

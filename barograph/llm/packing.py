@@ -21,10 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from barograph.llm.common import documents, pieces, slices, stored
 from barograph.session import ship_package
@@ -40,8 +41,8 @@ class PackingRules:
 
 DEFAULT_RULES = PackingRules()
 
-#: Bytes of words whose ids a task remembers.
-REMEMBERED = 32_000_000
+#: Text bytes whose different words are found together.
+PORTION = 12_000_000
 #: Latin letters that neither composition nor lower-casing turns into anything but one letter.
 LATIN = "A-Za-zÀ-ÖØ-öø-įı-ſ"
 PLAIN = re.compile(f"[ !-~{LATIN}]+")
@@ -51,61 +52,95 @@ PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN}]+|[0-9]|[^{LATIN}0-9]+")
 LINE = 4_000
 
 
+def _spread(sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For lists of ``sizes`` that lie one behind the other: (places of the entries of the lists named
+    by ``codes``, where each of these lists ends)."""
+    lengths = sizes[codes]
+    ends = np.cumsum(lengths)
+    places = np.repeat(np.cumsum(sizes)[codes] - ends, lengths)
+    places += np.arange(len(places))
+    return places, ends
+
+
 class WordTokens:
     """Ids of texts by a tokenizer that drops white space and marks the ends of words.
 
     Such a tokenizer treats every run between ASCII white space alone, so each different run of a
-    batch is encoded once. Runs of common characters are sent in lines: the marked ends divide the
-    ids again, as many ends to a run as it has parts. Any other run is encoded by itself.
+    batch is looked at once. A run of common characters is split into parts here, in lower case, and
+    the different parts are sent to the tokenizer's merges in lines; the marked ends divide the ids
+    again. Any other run is encoded by the whole tokenizer.
     """
 
     def __init__(self, definition: str, suffix: str = "</w>"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores
         self.tokenizer = Tokenizer.from_str(definition)
+        self.merges = Tokenizer.from_str(definition)
+        self.merges.normalizer = normalizers.Sequence([])
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.CharDelimiterSplit(" "),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[bytes, bytes] = {}
-        self.size = 0
-
-    def texts(self, texts: list[bytes | None]) -> list[bytes]:
-        """Packed little-endian unsigned 32-bit ids of each text."""
-        split = [text.split() if text else [] for text in texts]
-        if self.size > REMEMBERED:
-            self.known, self.size = {}, 0
-        new = list(set().union(*split).difference(self.known))
-        alone: list[bytes] = []
-        lines: list[tuple[list[bytes], str]] = []
-        for start, end in slices(new, LINE):
-            words = new[start:end]
-            line = b" ".join(words).decode()
-            if not self._plain(line):
-                alone += [word for word in words if not self._plain(word.decode())]
-                words = [word for word in words if self._plain(word.decode())]
-                line = b" ".join(words).decode()
-            lines.append((words, line))
-        for (words, line), ids in zip(lines, self._ids([line for _, line in lines]), strict=True):
-            parts = [1 if w.isalpha() else len(PARTS.findall(w.lower())) for w in line.split()]
-            stops = 4 * (np.flatnonzero(self.ends[ids])[np.cumsum(parts, dtype=np.int64) - 1] + 1)
-            at, packed = 0, ids.tobytes()
-            for word, stop in zip(words, stops.tolist(), strict=True):
-                self.known[word] = packed[at:stop]
-                at = stop
-            if at != len(packed):
+
+    def texts(self, texts: pa.Array, end_id: int | None = None) -> list[bytes]:
+        """Packed little-endian unsigned 32-bit ids of each text, closed by ``end_id`` if one is given."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        n_parts, parts, sizes, ids = self._words(coded.dictionary.to_pylist())
+        at, word_ends = _spread(n_parts, coded.indices.to_numpy(zero_copy_only=False))
+        at, part_ends = _spread(sizes, parts[at])
+        packed = ids[at].tobytes()
+        ends = np.concatenate([[0], part_ends])[np.concatenate([[0], word_ends])]
+        bounds = (4 * ends[split.offsets.to_numpy()]).tolist()
+        tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+        return [packed[a:b] + tail for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(parts per word, number of each such part, ids per numbered part, all ids)."""
+        known: dict[str, int] = {}
+        n_parts = np.zeros(len(words), np.int64)
+        parts: list[int] = []
+        alone: list[tuple[int, str]] = []
+        for start, end in slices(words, LINE):
+            plain = self._plain(" ".join(words[start:end]))
+            for i in range(start, end):
+                word = words[i]
+                if plain or self._plain(word):
+                    word = word.lower()
+                    found = [word] if word.isalpha() else PARTS.findall(word)
+                    n_parts[i] = len(found)
+                    parts += [known.setdefault(part, len(known)) for part in found]
+                elif word:
+                    n_parts[i] = 1
+                    alone.append((len(parts), word))
+                    parts.append(-1)
+        for k, (at, _) in enumerate(alone):
+            parts[at] = len(known) + k
+        ids = [*self._lines(list(known)), *self._ids(self.tokenizer, [word for _, word in alone])]
+        sizes = np.zeros(len(known) + len(alone), np.int64)
+        all_ids = np.concatenate(ids) if ids else np.zeros(0, "<u4")
+        lines = len(ids) - len(alone)
+        if known:
+            stops = np.flatnonzero(self.ends[np.concatenate(ids[:lines])]) + 1
+            if len(stops) != len(known):
                 raise ValueError("the tokenizer does not end every part of a word with a marked token")
-            self.size += len(line) + len(packed) + 180 * len(words)
-        for word, ids in zip(alone, self._ids([word.decode() for word in alone]), strict=True):
-            self.known[word] = ids.tobytes()
-            self.size += len(word) + ids.nbytes + 180
-        known = self.known.__getitem__
-        return [b"".join(map(known, words)) for words in split]
+            sizes[: len(known)] = np.diff(stops, prepend=0)
+        sizes[len(known) :] = list(map(len, ids[lines:]))
+        return n_parts, np.array(parts, np.int64), sizes, all_ids
 
     def _plain(self, text: str) -> bool:
         return PLAIN.fullmatch(text) is not None and not any(token in text for token in self.added)
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _lines(self, parts: list[str]) -> list[np.ndarray]:
+        return self._ids(self.merges, [" ".join(parts[a:b]) for a, b in slices(parts, LINE)])
+
+    def _ids(self, tokenizer: Tokenizer, texts: list[str]) -> list[np.ndarray]:
+        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4") for x in found]
 
 
@@ -259,7 +294,7 @@ def _packing(
         read = make()
         packer = Packer(rules.capacity)
         rows = _Rows(TaskContext.get().partitionId() * _TASK + final * _SECOND)
-        for batch in pieces(batches):
+        for batch in pieces(batches, PORTION):
             for piece in read(batch):
                 for sequence in packer.whole(piece):
                     rows.add(sequence)
@@ -297,15 +332,13 @@ def packed(
     ship_package(spark)
     with open(path, encoding="utf-8") as file:
         data = spark.sparkContext.broadcast(file.read())  # a vocabulary does not grow with the data
-    end = np.array([rules.end_id], "<u4").tobytes()
 
     def encoded():
         words = WordTokens(data.value)
 
         def read(batch: pa.RecordBatch) -> Iterator[Piece]:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), words.texts(texts), strict=True):
-                ids += end
+            found = words.texts(batch.column("text"), rules.end_id)
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), found, strict=True):
                 yield Piece(doc_id, 0, ids, len(ids) // 4)
 
         return read

@@ -65,7 +65,7 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+    return near_dedup.near_duplicates(table(spark, folder, "documents")).drop("text_key")
 
 
 def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:

@@ -64,7 +64,7 @@ def test_clusters_of_all_sizes(spark):
 
 
 def test_large_cluster_takes_deeper_regions(spark):
-    rules = near.ForestRules(leaf=4, neighbours=1, first_trees=2, blocks=3)
+    rules = near.ForestRules(leaf=4, neighbours=1, blocks=3, all_at_once=10)
     rows = clusters(2, [150, 30, 2, 2, 1, 1], edits=(0, 2))
     equal_to_brute(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), rules)
 

@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -33,10 +34,10 @@ ODD = [
 
 def test_ids_equal_the_library(docs, words, tokenizer):
     texts = ODD + [r["text"] or "" for r in docs.select("text").collect()]
-    for _ in range(2):  # unknown words, then known ones
-        for text, ids in zip(texts, words.texts([t.encode() for t in texts]), strict=True):
-            assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
-    assert words.texts([None]) == [b""]
+    for text, ids in zip(texts, words.texts(pa.array(texts)), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert words.texts(pa.array([None, "", "x"], pa.string()), 7)[:2] == [b"\7\0\0\0"] * 2
+    assert words.texts(pa.array([], pa.string())) == []
 
 
 def test_fullest_equals_all_subsets():
