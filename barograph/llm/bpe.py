@@ -24,9 +24,11 @@ NONE = np.int32(2**31 - 1)
 #: Words of more bytes are merged by a queue of pairs instead of a matrix row. The rule is the same
 #: (leftmost pair of minimum rank), but a round costs the logarithm of the length, not the length.
 LONGEST_ROW = 512
-#: Cells of one matrix, and words whose ids a task remembers; both bound memory, not results.
+#: Cells of one matrix, and bytes of words and ids that a task remembers; both bound memory, not results.
 CELLS = 1_000_000
-REMEMBERED = 250_000
+REMEMBERED = 16_000_000
+#: What a remembered word takes besides its text and ids.
+ENTRY = 200
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -101,8 +103,7 @@ class Codec:
         self.split = regex.compile(pattern)
         self.pairs = PairTable(ranks)
         self.bytes_ = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.tokens = {rank: token for token, rank in ranks.items()}
-        self.known: dict[str, bytes] = {}
+        self.tokens = tokens_of(ranks)
 
     def merged(self, words: Sequence[bytes]) -> list[bytes]:
         """Packed ids of each word."""
@@ -204,20 +205,40 @@ class Codec:
             renew(before[i])
         return np.array([x for x in text if x >= 0], "<u4").tobytes()
 
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
+    def encode(self, texts: Sequence[str], memory: Memory | None = None) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        memory = memory if memory is not None else Memory()
         parts = [self.split.findall(text) for text in texts]
-        known = self.known
         used = set().union(*parts)
-        new = list(used.difference(known))
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(used)
-        known.update(zip(new, self.merged([w.encode() for w in new]), strict=True))
-        return [b"".join(map(known.__getitem__, words)) for words in parts]
+        if memory.size > REMEMBERED:
+            memory.forget()
+        new = list(used.difference(memory.known))
+        memory.learn(new, self.merged([w.encode() for w in new]))
+        return [b"".join(map(memory.known.__getitem__, words)) for words in parts]
+
+
+class Memory:
+    """Words that a task has met, with their ids; it ends with the task."""
+
+    def __init__(self):
+        self.known: dict[str, bytes] = {}
+        self.size = 0
+
+    def forget(self) -> None:
+        self.known, self.size = {}, 0
 
-    def decode(self, packed: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(packed, "<u4").tolist()))
+    def learn(self, words: Sequence[str], ids: Sequence[bytes]) -> None:
+        self.known.update(zip(words, ids, strict=True))
+        self.size += sum(map(len, words)) + sum(map(len, ids)) + ENTRY * len(words)
+
+
+def tokens_of(ranks: Mapping[bytes, int]) -> dict[int, bytes]:
+    return {rank: token for token, rank in ranks.items()}
+
+
+def joined(packed: bytes, tokens: Mapping[int, bytes]) -> bytes:
+    """The bytes of packed ids."""
+    return b"".join(map(tokens.__getitem__, np.frombuffer(packed, "<u4").tolist()))
 
 
 def vocabulary(spark: SparkSession, path: str):
@@ -230,7 +251,7 @@ _codecs: dict[tuple[int, str], Codec] = {}
 
 
 def codec(data: bytes, pattern: str) -> Codec:
-    """One codec per worker process."""
+    """The rank tables, one per worker process; they do not grow."""
     key = (hash(data), pattern)
     if key not in _codecs:
         _codecs.clear()
@@ -248,38 +269,53 @@ def _by_portion(texts: list, step: Callable[[list], list]) -> Iterator:
 
 
 def encode(
-    docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    decoded: bool = False,
 ) -> DataFrame:
     """(doc_id, ids): the token ids of every whole text, packed as little-endian unsigned 32-bit
-    integers. Row by row: a null or empty text has no ids, repeated rows and null ids stay, other
-    columns are not read, an empty table gives no rows."""
+    integers; with ``decoded``, also the bytes that the ids stand for. Row by row: a null or empty text
+    has no ids, repeated rows and null ids stay, other columns are not read, an empty table gives no
+    rows."""
     data = vocabulary(docs.sparkSession, path)
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+    fields = [("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())]
+    schema = pa.schema(fields if decoded else fields[:2])
 
     def make():
-        c = codec(data.value, pattern)
+        c, memory = codec(data.value, pattern), Memory()
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [text or "" for text in batch.column("text").to_pylist()]
-            return rows_to_batch(schema, [batch.column("doc_id"), list(_by_portion(texts, c.encode))])
+            ids = list(_by_portion(texts, lambda some: c.encode(some, memory)))
+            columns = [batch.column("doc_id"), ids]
+            if decoded:
+                columns.append([joined(x, c.tokens) for x in ids])
+            return rows_to_batch(schema, columns)
 
         return step
 
-    return by_batch(documents(docs, id_col, text_col), make, "doc_id long, ids binary")
+    return by_batch(
+        documents(docs, id_col, text_col), make, "doc_id long, ids binary" + ", decoded binary" * decoded
+    )
 
 
-def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
-    """The rows of ``encoded`` (doc_id and packed ids) with ``decoded``, the bytes of the ids."""
+def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
+    """The rows of ``encoded`` (doc_id and packed ids) with ``decoded``, the bytes of the ids; null ids
+    are no bytes."""
     data = vocabulary(encoded.sparkSession, path)
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
 
     def make():
-        c = codec(data.value, pattern)
+        tokens = tokens_of(read_ranks(data.value))
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids = batch.column("ids")
-            decoded = [c.decode(x or b"") for x in ids.to_pylist()]
-            return rows_to_batch(schema, [batch.column("doc_id"), ids, decoded])
+            return rows_to_batch(
+                schema, [batch.column("doc_id"), ids, [joined(x or b"", tokens) for x in ids.to_pylist()]]
+            )
 
         return step
 

@@ -194,26 +194,26 @@ class Scanner:
         self.rules = rules
         self.queries = [query_of(rule) for rule in rules]
         self.wanted = sorted(set().union(*map(mentioned, self.queries)))
-        self.numbers = np.zeros(1 << 24, np.uint16)
-        for i, trigram in enumerate(self.wanted, 1):
-            self.numbers[int.from_bytes(trigram, "big")] = i
+        self.codes = np.array([int.from_bytes(trigram, "big") for trigram in self.wanted], np.uint32)
+        self.starts = np.zeros(1 << 16, bool)  # the first two bytes of wanted trigrams
+        self.starts[self.codes >> 8] = True
 
     def postings(self, texts: Sequence[bytes]) -> dict[bytes, np.ndarray]:
         """For each wanted trigram, which texts hold it in any case."""
         n = len(texts)
-        held = np.zeros((len(self.wanted) + 1, n), bool)
+        held = np.zeros((len(self.wanted), n), bool)
         block = np.frombuffer(b"\0\0".join(texts).lower(), np.uint8)
-        if len(block) > 2:
-            codes = block[:-2].astype(np.uint32)
-            codes <<= 8
-            codes |= block[1:-1]
-            codes <<= 8
-            codes |= block[2:]
-            number = self.numbers[codes]
-            at = np.flatnonzero(number)
+        if len(block) > 2 and len(self.codes):
+            pairs = block[:-2].astype(np.uint16)
+            pairs <<= 8
+            pairs |= block[1:-1]
+            at = np.flatnonzero(self.starts[pairs])
+            codes = (pairs[at].astype(np.uint32) << 8) | block[at + 2]
+            number = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+            wanted = self.codes[number] == codes
             ends = np.cumsum(np.fromiter((len(t) + 2 for t in texts), np.int64, n))
-            held[number[at], np.searchsorted(ends, at, "right")] = True
-        return {trigram: held[i] for i, trigram in enumerate(self.wanted, 1)}
+            held[number[wanted], np.searchsorted(ends, at[wanted], "right")] = True
+        return dict(zip(self.wanted, held, strict=True))
 
     def scan(self, texts: Sequence[str], encoded: Sequence[bytes]) -> list[list[tuple[int, int, int]]]:
         """(start, rule number, end) of each text, in this order."""
