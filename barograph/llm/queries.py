@@ -19,6 +19,7 @@ from barograph.llm import (
     secret_scan,
     sharding,
     source_audit,
+    sql,
     whitening,
 )
 from barograph.llm.common import table
@@ -29,8 +30,7 @@ RANKS = "byte_bpe_50k.tiktoken"
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Encode every document, decode the ids, and digest both."""
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    encoded = bpe.encode(table(spark, folder, "documents"), path, pattern)
-    return bpe.digests(bpe.decode(encoded, path, pattern))
+    return bpe.digests(bpe.encode(table(spark, folder, "documents"), path, pattern, decoded=True))
 
 
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,4 +126,7 @@ QUERIES = {
 }
 
 #: DuckDB SQL by query, where SQL can express the operator.
-CHECKS: dict[str, str] = {"op12_source_audit": source_audit.SQL}
+CHECKS: dict[str, str] = {
+    "op7_near_duplicates": sql.NEAR_DUPLICATES,
+    "op12_source_audit": sql.SOURCE_AUDIT,
+}

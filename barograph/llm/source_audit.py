@@ -340,52 +340,3 @@ def audit(
     terms = ranked(term_values(kept, groups, rules), "term").where(F.col("rank") <= rules.top_terms)
     return ranked(pair_values(kept, groups, rules), "pair").unionByName(terms)
 
-
-SQL = """
-WITH texts AS (
-    SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
-           regexp_extract_all(
-               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-               '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
-    FROM documents
-),
-found AS (SELECT doc, lang, source, unnest(terms) AS term FROM texts),
-kept AS (SELECT lang, term, count(*) AS total FROM found GROUP BY ALL HAVING count(DISTINCT doc) >= 3),
-sizes AS (SELECT lang, count(*) AS vocabulary, sum(total) AS tokens FROM kept GROUP BY lang),
-counts AS (
-    SELECT f.lang, f.source, f.term, count(*) AS n FROM found f JOIN kept k USING (lang, term) GROUP BY ALL
-),
-members AS (
-    SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS tokens
-    FROM (SELECT DISTINCT lang, source FROM texts) g LEFT JOIN counts c USING (lang, source)
-    GROUP BY ALL
-),
-priced AS (
-    SELECT m.lang, m.source, k.term, coalesce(c.n, 0) AS n,
-           CAST(1 + 1000000000 * (coalesce(c.n, 0) + 1) // (m.tokens + s.vocabulary) AS HUGEINT) AS p,
-           CAST(1 + 1000000000 * (k.total + 1) // (s.tokens + s.vocabulary) AS HUGEINT) AS q
-    FROM members m JOIN kept k USING (lang) JOIN sizes s USING (lang)
-    LEFT JOIN counts c ON c.lang = m.lang AND c.source = m.source AND c.term = k.term
-),
-pairs AS (
-    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
-    FROM priced a JOIN priced b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source
-    GROUP BY ALL
-),
-all_pairs AS (
-    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
-    FROM members a JOIN members b ON b.lang = a.lang AND b.source <> a.source
-    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
-),
-ranked AS (
-    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
-    FROM (
-        SELECT * FROM all_pairs
-        UNION ALL
-        SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM priced WHERE n > 0 AND p > q
-    )
-)
-SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
-FROM ranked
-WHERE part = 'pair' OR rank <= 200
-"""
