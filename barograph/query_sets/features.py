@@ -85,14 +85,23 @@ def _(ctx: Context):
     return encoded.select("date", "place", *columns)
 
 
-MATRIX = ["min_temp", "max_temp", "sunshine_hours", "wind_gust_speed", "humidity_3pm", "cloud_3pm", "rainfall"]
+def training_frame(ctx: Context):
+    """All 46 configured columns, categories as codes, under the key (place, date)."""
+    rules = SETTINGS.training
+    base = frame(ctx).withColumn("place", c("city"))
+    mappings = ctx.once("category-codes", lambda: stored(f.category_codes(base, rules.categorical), "category-codes"))
+    encoded, _ = f.encode_categoricals(base, rules.categorical, mappings)
+    return encoded
 
 
 @query("feature_matrix")
 def _(ctx: Context):
-    return f.feature_matrix(raw(ctx), MATRIX)
+    return f.feature_matrix(training_frame(ctx), keys=["place", "date"])
 
 
-@query("align_features", exact=True)
+@query("align_features")
 def _(ctx: Context):
-    return f.align_features(raw(ctx), [*MATRIX, "added_after_training"], ["date", "city"])
+    """The configured columns as a model expects them, whatever else the frame has; one the frame lacks is 0."""
+    rules = SETTINGS.training
+    lacking = training_frame(ctx).drop("vpd_9am")
+    return f.align_features(lacking, [*rules.numerical, *rules.categorical, "added_after_training"], ["place", "date"])

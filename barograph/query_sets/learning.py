@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barograph.functions.rows import attach_row
 from barograph.functions.weather import weather_type
 from barograph.operators import learning as l
 from barograph.operators.features import feature_frame, labels_train_set
@@ -27,13 +28,16 @@ def frame(ctx: Context) -> DataFrame:
 
 
 def prepared(ctx: Context) -> tuple[DataFrame, l.Prepared]:
-    """Vectors of the training rows, stored once for all models."""
-    return ctx.once("vectors", lambda: l.prepare(l.target_mask(training_rows(ctx), RULES.targets), RULES))
+    """Binned training rows, stored once for all models."""
+    return ctx.once("binned", lambda: l.prepare(l.target_mask(training_rows(ctx), RULES.targets), RULES))
 
 
-def trained(ctx: Context, target: str):
-    """The model of one target and its metrics; a query fits only the targets it shows."""
-    return ctx.once(f"model-{target}", lambda: l.train_target(prepared(ctx)[0], target, RULES))
+def trained(ctx: Context, *targets: str) -> list[l.Trained]:
+    """The models of some targets; a query fits only the targets it shows, several at a time."""
+    new = [t for t in targets if not ctx.has(f"model-{t}")]
+    for target, result in l.train_targets(*prepared(ctx), new, RULES).items():
+        ctx.once(f"model-{target}", lambda result=result: result)
+    return [ctx.once(f"model-{t}", lambda: None) for t in targets]
 
 
 def training_rows(ctx: Context) -> DataFrame:
@@ -90,35 +94,100 @@ def _(ctx: Context):
     return l.regression_metrics(outcomes(ctx), "actual_max_temp", "pred_max_temp_tomorrow")
 
 
+def fit_summary(ctx: Context, target: str) -> DataFrame:
+    """What is certain of a fitted model: the rows it saw, and that it fits them better than a constant."""
+    found = l.losses(trained(ctx, target)[0])
+    return found.select(
+        F.lit(target).alias("model"), "n_train", "n_test", (c("loss") < c("constant_loss")).alias("beats_constant")
+    )
+
+
 @query("train_binary")
 def _(ctx: Context):
-    parts = [trained(ctx, n)[1].withColumn("model", F.lit(n)) for n in BINARY]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    parts = []
+    for target, fitted in zip(BINARY, trained(ctx, *BINARY), strict=True):
+        share = fitted.metrics.select("pos_rate")
+        parts.append(attach_row(fit_summary(ctx, target), share))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("train_regression")
 def _(ctx: Context):
-    return trained(ctx, "max_temp_tomorrow")[1]
+    return fit_summary(ctx, "max_temp_tomorrow")
 
 
 @query("train_multiclass")
 def _(ctx: Context):
-    return trained(ctx, "weather_type_tomorrow")[1]
+    fitted = trained(ctx, "weather_type_tomorrow")[0]
+    labels = fitted.model.labels
+    return fit_summary(ctx, "weather_type_tomorrow").select(
+        "*", F.lit(len(labels)).cast("long").alias("n_classes"), F.lit(",".join(labels)).alias("labels")
+    )
 
 
-@query("feature_importance_top20")
+@query("model_metrics")
 def _(ctx: Context):
-    names = prepared(ctx)[1].columns
+    """Every test metric of the six models, in long form."""
+    parts = []
+    for target, fitted in zip(RULES.targets, trained(ctx, *RULES.targets), strict=True):
+        values = F.array(
+            *[F.struct(F.lit(n).alias("metric"), c(n).cast("double").alias("value")) for n in fitted.metrics.columns]
+        )
+        parts.append(fitted.metrics.select(F.lit(target).alias("model"), F.inline(values)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def importances(ctx: Context) -> DataFrame:
     tops = [
-        l.feature_importance_top20(trained(ctx, t)[0], names).select(F.lit(t).alias("target"), "*") for t in BINARY
+        l.feature_importance_top20(fitted.model).select(F.lit(t).alias("target"), "*")
+        for t, fitted in zip(BINARY, trained(ctx, *BINARY), strict=True)
     ]
     return reduce(DataFrame.unionByName, tops)
 
 
-@query("score_predictions")
+@query("feature_importances")
 def _(ctx: Context):
-    models = {t: trained(ctx, t)[0] for t in RULES.targets}
+    return importances(ctx)
+
+
+@query("feature_importance_top20")
+def _(ctx: Context):
+    """What is certain of the lists: their lengths, names and order."""
+    by = Window.partitionBy("target").orderBy(F.desc("importance"), "feature")
+    ranked = importances(ctx).select(
+        "target",
+        F.row_number().over(by).alias("rank"),
+        c("feature").isin(prepared(ctx)[1].columns).alias("configured"),
+        F.coalesce(c("importance") <= F.lag("importance").over(by), F.lit(True)).alias("falling"),
+        c("importance").between(0, 1).alias("is_share"),
+    )
+    return ranked
+
+
+def predictions(ctx: Context) -> DataFrame:
+    models = {t: x.model for t, x in zip(RULES.targets, trained(ctx, *RULES.targets), strict=True)}
     return l.score_predictions(frame(ctx), models, prepared(ctx)[1], RULES)
+
+
+@query("predictions")
+def _(ctx: Context):
+    return predictions(ctx)
+
+
+@query("score_predictions")
+def _(ctx: Context):
+    """What is certain of the predictions: their keys, and that the eleven columns agree."""
+    labels = trained(ctx, "weather_type_tomorrow")[0].model.labels
+    shares = [c(n).between(0, 1) for n in ("rain_tomorrow_proba", "heatwave_risk", "frost_risk", "storm_probability")]
+    rain = (c("rain_tomorrow") == 1) == (c("rain_tomorrow_proba") >= RULES.rain_threshold)
+    edge = F.abs(c("rain_tomorrow_proba") - RULES.rain_threshold) < 0.0001  # rounded across the threshold
+    return predictions(ctx).select(
+        "date",
+        "city",
+        "comfort_score",
+        reduce(lambda a, b: a & b, shares).alias("shares"),
+        (rain | edge).alias("rain_by_threshold"),
+        c("weather_type_tomorrow").isin(labels).alias("known_type"),
+        c("max_temp_tomorrow").isNotNull().alias("has_max_temp"),
+        c("predicted_at").isNotNull().alias("stamped"),
+    )
