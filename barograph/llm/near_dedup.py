@@ -8,7 +8,8 @@
 3. First candidates are neighbours by longest common prefix, the next ones in the sorted order inside
    a small region, and the hub of every region, the member with the greatest hash. Of its candidates
    with a similar signature, each text is compared with the most similar one and with the greatest
-   hub, on the full shingle sets. Their links are contracted to components.
+   hub, on the full shingle sets. Their links are contracted to components. In large regions that
+   hold several components, members meet anchors of other components, round by round.
 4. What can still join two components: all members of a small region are candidates of each other;
    members of large regions that hold several components are joined exactly. Two similar sets share
    one of their rarest shingles, so the rarest quarter of each set is joined on the shingle, and
@@ -58,6 +59,10 @@ class ForestRules:
     #: Regions of more members get a longer prefix.
     leaf: int = 32
     neighbours: int = 3
+    #: Members of other components that a member of a large region meets per round.
+    anchors: int = 4
+    #: Rounds go on while they leave at most this share of the components of large regions.
+    progress: float = 0.8
     #: Share of equal signature values below which a candidate is not compared. At the threshold
     #: the share is 0.75 with a deviation of 0.038.
     share: float = 0.6
@@ -244,17 +249,34 @@ def promising(pairs: DataFrame, signatures: DataFrame, least: float) -> DataFram
 # ---------------------------------------------------------------- large regions
 
 
-def crowded(members: DataFrame, rules: ForestRules) -> DataFrame:
-    """(rep, component, weight) of the members of large regions that hold several components; the
-    weight is the number of such members in the component."""
-    large = members.where(F.col("n") > rules.leaf)
+def crowded(placed: DataFrame, rules: ForestRules) -> DataFrame:
+    """(key, rep, component): large regions that hold several components."""
+    large = placed.where(F.col("n") > rules.leaf)
     mixed = large.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    reps = stored(
-        large.join(mixed.where("low <> high").select("key"), "key").select("rep", "component").distinct(), "crowded"
-    )
+    rows = large.join(mixed.where("low <> high").select("key"), "key").select("key", "rep", "component")
+    return stored(rows, "crowded")
+
+
+def weighted(regions: DataFrame) -> DataFrame:
+    """(rep, component, weight) of the members of regions; the weight is the number of members of the
+    component."""
+    reps = regions.select("rep", "component").distinct()
     return reps.join(reps.groupBy("component").agg(F.count(F.lit(1)).alias("weight")), "component")
 
 
+def _with_anchors(regions: DataFrame, rules: ForestRules) -> DataFrame:
+    """Every member of a region with a few members of other components: of each part of the region's
+    components, by hash, the greatest hash in the heaviest component."""
+    rows = regions.join(weighted(regions).select("rep", "weight"), "rep")
+    part = F.pmod(F.xxhash64("component"), F.lit(rules.anchors))
+    anchors = (
+        rows.groupBy("key", part.alias("part"))
+        .agg(F.max_by(F.struct("rep", "component"), F.struct("weight", "component", F.xxhash64("rep"))).alias("top"))
+        .select("key", F.col("top.rep").alias("b"), F.col("top.component").alias("other"))
+    )
+    return regions.join(anchors, "key").where("component <> other").select(F.col("rep").alias("a"), "b")
+
+
 def shingle_weights(texts: DataFrame, bits: int, rules: ForestRules) -> np.ndarray:
     """How often shingles occur, counted by the first ``bits`` of their hash. Any counts give an order of
     all shingles; good ones put common shingles last."""
@@ -458,10 +480,19 @@ def linked(classes: DataFrame, rows: DataFrame, rules: ForestRules) -> DataFrame
     add(_leading(promising(_once(first), signatures, rules.share * rules.hashes)))
 
     placed = _known(members, found, "rep", "component")
+    regions = crowded(placed, rules)
+    apart = regions.select("component").distinct().count()
+    while apart:
+        add(_leading(promising(_once(_with_anchors(regions, rules)), signatures, rules.share * rules.hashes)))
+        placed = _known(members, found, "rep", "component")
+        regions = crowded(placed, rules)
+        before, apart = apart, regions.select("component").distinct().count()
+        if apart > rules.progress * before:
+            break
+
     pairs = promising(_once(_neighbours(placed.where(small), rules.leaf)), signatures, rules.share * rules.hashes)
-    left = stored(crowded(placed, rules), "crowded")
-    if left.limit(1).count():
-        exact = promising(possible(texts.join(left, "rep"), rules), signatures, 0)
+    if apart:
+        exact = promising(possible(texts.join(weighted(regions), "rep"), rules), signatures, 0)
         pairs = pairs.unionByName(exact).distinct()
     pairs = stored(pairs, "candidates")
     count = pairs.count()
