@@ -18,6 +18,7 @@ import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from barograph.llm.common import documents, pieces, slices, stored
+from barograph.llm.common import documents, pieces, stored
 from barograph.session import ship_package
 
 
@@ -42,14 +43,15 @@ class PackingRules:
 DEFAULT_RULES = PackingRules()
 
 #: Text bytes whose different words are found together.
-PORTION = 12_000_000
+PORTION = 16_000_000
 #: Latin letters that neither composition nor lower-casing turns into anything but one letter.
 LATIN = "A-Za-zÀ-ÖØ-öø-įı-ſ"
-PLAIN = re.compile(f"[ !-~{LATIN}]+")
+PLAIN = re.compile(f"[!-~{LATIN}]+")
 #: How the tokenizer splits such words, after lower-casing.
 PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN}]+|[0-9]|[^{LATIN}0-9]+")
-#: Bytes of joined words that the tokenizer sees at once.
-LINE = 4_000
+LETTERS = f"^[{LATIN}]+$"
+#: Parts that the tokenizer sees in one line.
+LINE = 400
 
 
 def _spread(sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,7 +93,7 @@ class WordTokens:
         """Packed little-endian unsigned 32-bit ids of each text, closed by ``end_id`` if one is given."""
         split = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
         coded = split.flatten().dictionary_encode()
-        n_parts, parts, sizes, ids = self._words(coded.dictionary.to_pylist())
+        n_parts, parts, sizes, ids = self._words(coded.dictionary)
         at, word_ends = _spread(n_parts, coded.indices.to_numpy(zero_copy_only=False))
         at, part_ends = _spread(sizes, parts[at])
         packed = ids[at].tobytes()
@@ -100,44 +102,55 @@ class WordTokens:
         tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         return [packed[a:b] + tail for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
-    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(parts per word, number of each such part, ids per numbered part, all ids)."""
-        known: dict[str, int] = {}
-        n_parts = np.zeros(len(words), np.int64)
-        parts: list[int] = []
+        letters = pc.match_substring_regex(words, LETTERS)
+        one = letters.to_numpy(zero_copy_only=False)
+        n_parts = one.astype(np.int64)
+        split: list[str] = []
         alone: list[tuple[int, str]] = []
-        for start, end in slices(words, LINE):
-            plain = self._plain(" ".join(words[start:end]))
-            for i in range(start, end):
-                word = words[i]
-                if plain or self._plain(word):
-                    word = word.lower()
-                    found = [word] if word.isalpha() else PARTS.findall(word)
-                    n_parts[i] = len(found)
-                    parts += [known.setdefault(part, len(known)) for part in found]
-                elif word:
-                    n_parts[i] = 1
-                    alone.append((len(parts), word))
-                    parts.append(-1)
+        for i, word in zip(np.flatnonzero(~one).tolist(), words.filter(pc.invert(letters)).to_pylist(), strict=True):
+            if self._plain(word):
+                found = PARTS.findall(word.lower())
+                n_parts[i] = len(found)
+                split += found
+            elif word:
+                n_parts[i] = 1
+                alone.append((len(split), word))
+                split.append("")
+        coded = pa.concat_arrays(
+            [pc.utf8_lower(words.filter(letters)), pa.array(split, pa.large_string())]
+        ).dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        known, n_whole = len(coded.dictionary), int(one.sum())
         for k, (at, _) in enumerate(alone):
-            parts[at] = len(known) + k
-        ids = [*self._lines(list(known)), *self._ids(self.tokenizer, [word for _, word in alone])]
-        sizes = np.zeros(len(known) + len(alone), np.int64)
+            codes[n_whole + at] = known + k
+        # in the order of the words: words of letters are one part, the others follow each other
+        parts = np.empty(len(codes), np.int64)
+        single = np.zeros(len(codes), bool)
+        single[(np.cumsum(n_parts) - n_parts)[one]] = True
+        parts[single], parts[~single] = codes[:n_whole], codes[n_whole:]
+        ids = [*self._lines(coded.dictionary), *self._ids(self.tokenizer, [word for _, word in alone])]
         all_ids = np.concatenate(ids) if ids else np.zeros(0, "<u4")
         lines = len(ids) - len(alone)
-        if known:
+        texts = pc.not_equal(coded.dictionary, "").to_numpy(zero_copy_only=False)
+        sizes = np.zeros(known + len(alone), np.int64)
+        if lines:
             stops = np.flatnonzero(self.ends[np.concatenate(ids[:lines])]) + 1
-            if len(stops) != len(known):
+            if len(stops) != texts.sum():
                 raise ValueError("the tokenizer does not end every part of a word with a marked token")
-            sizes[: len(known)] = np.diff(stops, prepend=0)
-        sizes[len(known) :] = list(map(len, ids[lines:]))
-        return n_parts, np.array(parts, np.int64), sizes, all_ids
+            sizes[np.flatnonzero(texts)] = np.diff(stops, prepend=0)
+        sizes[known:] = list(map(len, ids[lines:]))
+        return n_parts, parts, sizes, all_ids
 
     def _plain(self, text: str) -> bool:
         return PLAIN.fullmatch(text) is not None and not any(token in text for token in self.added)
 
-    def _lines(self, parts: list[str]) -> list[np.ndarray]:
-        return self._ids(self.merges, [" ".join(parts[a:b]) for a, b in slices(parts, LINE)])
+    def _lines(self, parts: pa.Array) -> list[np.ndarray]:
+        parts = parts.filter(pc.not_equal(parts, ""))
+        offsets = np.append(np.arange(0, len(parts), LINE), len(parts))
+        lists = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), parts)
+        return self._ids(self.merges, pc.binary_join(lists, pa.scalar(" ", pa.large_string())).to_pylist())
 
     def _ids(self, tokenizer: Tokenizer, texts: list[str]) -> list[np.ndarray]:
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -147,15 +160,16 @@ class WordTokens:
 def fullest(counts: np.ndarray, capacity: int) -> dict[int, int]:
     """{length: how often}: a multiset of the counted lengths whose sum comes nearest to ``capacity``
     from below. The greatest length that fits is always in it."""
-    lengths = np.flatnonzero(counts[: capacity + 1])[::-1].tolist()
-    if not lengths:
+    fits = np.flatnonzero(counts[: capacity + 1])
+    if not len(fits):
         return {}
+    anchor = int(fits[-1])
     goal, mask = 1 << capacity, (2 << capacity) - 1
-    reach = 1 << lengths[0]
+    reach = 1 << anchor
     layers = []
-    for length in lengths:
+    for length in fits[: np.searchsorted(fits, capacity - anchor, "right")][::-1].tolist():
         layers.append((length, reach))
-        left = min(int(counts[length]) - (length == lengths[0]), capacity // length)
+        left = min(int(counts[length]) - (length == anchor), capacity // length)
         step = 1
         while left > 0:
             step = min(step, left)
@@ -165,7 +179,7 @@ def fullest(counts: np.ndarray, capacity: int) -> dict[int, int]:
         if reach & goal:
             break
     at = reach.bit_length() - 1
-    chosen = {lengths[0]: 1}
+    chosen = {anchor: 1}
     for length, before in reversed(layers):
         while not before >> at & 1:
             at -= length
@@ -173,8 +187,7 @@ def fullest(counts: np.ndarray, capacity: int) -> dict[int, int]:
     return chosen
 
 
-@dataclass(frozen=True)
-class Piece:
+class Piece(NamedTuple):
     """Part of a document: its ids from ``start`` on."""
 
     doc_id: int | None
