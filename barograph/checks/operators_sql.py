@@ -812,7 +812,35 @@ s AS (SELECT user_id, ts, COUNT(*) FILTER (WHERE fresh) OVER (PARTITION BY user_
 SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 1 DAY AS session_end, COUNT(*) AS n FROM s GROUP BY user_id, k
 HAVING MAX(ts) + INTERVAL 1 DAY <= (SELECT MAX(ts) - INTERVAL 1 DAY FROM events)
 """)
-add("stream_alert_dedup", "SELECT alert_key, ts FROM alert_dedup")
+add("stream_alert_dedup", "SELECT alert_key, ts FROM alert_dedup WHERE ts < (SELECT DATE_TRUNC('hour', MAX(ts) - INTERVAL 1 DAY) FROM events)")
+add("stream_retrain_cooldown", """
+WITH RECURSIVE e AS (SELECT DISTINCT user_id::VARCHAR AS model, ts FROM events WHERE event_type = 'error'),
+done AS (
+  SELECT model, MIN(ts) AS ts FROM e GROUP BY model
+  UNION ALL
+  SELECT d.model, (SELECT MIN(e.ts) FROM e WHERE e.model = d.model AND e.ts >= d.ts + INTERVAL 7 DAY) FROM done d WHERE d.ts IS NOT NULL)
+SELECT e.model, e.ts, IF(done.ts IS NULL, 'alert_only', 'trigger_retrain') AS action FROM e LEFT JOIN done USING (model, ts)
+WHERE e.ts < (SELECT DATE_TRUNC('hour', MAX(ts) - INTERVAL 1 DAY) FROM events WHERE event_type = 'error')
+""")
+add("closed", "SELECT CAST(MAX(ts) - INTERVAL 1 DAY AS DATE) AS upto FROM events")
+add("stream_outages", """
+WITH p AS (SELECT DISTINCT user_id::VARCHAR AS user_id, CAST(ts AS DATE) AS d FROM events WHERE CAST(ts AS DATE) < (SELECT upto FROM closed)),
+n AS (SELECT user_id, d, LEAD(d) OVER (PARTITION BY user_id ORDER BY d) AS nx FROM p)
+SELECT user_id, d + 1 AS start_date, nx - 1 AS end_date, (nx - d - 1)::BIGINT AS gap_days FROM n WHERE nx > d + 1
+UNION ALL
+SELECT user_id, d + 1, NULL, NULL FROM n WHERE nx IS NULL AND d + 2 <= (SELECT upto FROM closed)
+""")
+add("stream_accuracy_windows", f"""
+WITH d AS (SELECT (user_id % 25)::VARCHAR AS model, CAST(ts AS DATE) AS day, (event_type <> 'error')::INT AS good, value / 20 AS value FROM events),
+k AS (SELECT model, day, COUNT(*) AS n, SUM(good) AS g, SUM(value) AS v FROM d WHERE day < (SELECT upto FROM closed) GROUP BY ALL),
+w AS (SELECT model, day, {', '.join(f'SUM({x}) OVER {name} AS {x}_{name}' for name in ('short', 'long') for x in 'ngv')} FROM k
+  WINDOW short AS (PARTITION BY model ORDER BY day RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW),
+    long AS (PARTITION BY model ORDER BY day RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW)),
+m AS (SELECT model, day, {', '.join(f'n_{x}::BIGINT AS n_{x}, g_{x} / n_{x} AS accuracy_{x}, v_{x} / n_{x} AS error_{x}' for x in ('short', 'long'))} FROM w)
+SELECT model, day, {', '.join(f'n_{x}, ' + r(f'accuracy_{x}') + f' AS accuracy_{x}, ' + r(f'error_{x}') + f' AS error_{x}' for x in ('short', 'long'))},
+  accuracy_short < 0.70 OR error_short > 4.0 AS early, early AND NOT (accuracy_long < 0.75 OR error_long > 3.0) AS early_warning FROM m
+""")
+add("stream_late_repair", "FROM stream_completeness")
 add("stream_merge_upsert", """
 SELECT * REPLACE (IF(DAY(date) >= 10, rainfall + 0.5::DOUBLE, rainfall) AS rainfall, IF(DAY(date) > 20 AND DAY(date) % 3 = 0, NULL, max_temp) AS max_temp)
 FROM src_weather_raw

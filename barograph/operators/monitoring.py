@@ -8,7 +8,7 @@ from datetime import date
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barograph.config import DEFAULTS, MonitoringRules, TrainingRules
@@ -17,8 +17,11 @@ from barograph.functions.numeric import as_int, flag, ratio, round_half_even, sn
 from barograph.operators.quantiles import melt, value_buckets
 from barograph.operators.sequence import asof_last, neighbour, running_total
 from barograph.session import ship_package
+from barograph.sources.landing import stored
 
 RULES = DEFAULTS.monitoring
+MINUTE = 60_000_000  # microseconds
+c = F.col
 
 
 def stale_predictions(raw: DataFrame, pred: DataFrame) -> DataFrame:
@@ -343,52 +346,64 @@ def baseline_delta(old: DataFrame, new: DataFrame) -> DataFrame:
     ).select("metric", round_half_even(F.col("_new") - F.col("_old"), 6).alias("delta"))
 
 
-def first_of_each_window(times: np.ndarray, cooldown: int, last: int | None) -> tuple[list[int], int | None]:
-    """Positions in sorted ``times`` that are sent when each one silences the next ``cooldown``."""
-    kept: list[int] = []
-    at = 0 if last is None else int(np.searchsorted(times, last + cooldown))
-    while at < len(times):
-        kept.append(at)
-        last = int(times[at])
-        at = int(np.searchsorted(times, last + cooldown))
-    return kept, last
+def _next_at_or_after(times: DataFrame, wait: int) -> DataFrame:
+    """(alert_key, _t, _next): the first time of the key that is at least ``wait`` after ``_t``.
+
+    Times and the moments asked for meet in the same minute; a moment whose minute has no later time
+    takes the first time of the next minute of its hour that has any, and so on over hours. So no
+    task sees more than the times of a key and minute, the minutes of a key and hour, or the hours of
+    a key.
+    """
+    both = times.select("alert_key", c("_t").alias("_v"), F.lit(None).cast("long").alias("_from")).unionByName(
+        times.select("alert_key", (c("_t") + wait).alias("_v"), c("_t").alias("_from"))
+    )
+    is_time = F.when(c("_from").isNull(), c("_v"))
+    both = both.withColumns({"_minute": F.floor(c("_v") / MINUTE), "_hour": F.floor(c("_v") / (60 * MINUTE))})
+    inside = Window.partitionBy("alert_key", "_minute").orderBy(F.desc("_v")).rangeBetween(Window.unboundedPreceding, 0)
+    asked = both.withColumn("_next", F.min(is_time).over(inside)).where("_from IS NOT NULL")
+
+    minutes = both.groupBy("alert_key", "_hour", "_minute").agg(F.min(is_time).alias("_first"))
+    later = (
+        Window.partitionBy("alert_key", "_hour").orderBy(F.desc("_minute")).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    after_minute = minutes.withColumn("_in_hour", F.min("_first").over(later))
+    hours = minutes.groupBy("alert_key", "_hour").agg(F.min("_first").alias("_first"))
+    later = Window.partitionBy("alert_key").orderBy(F.desc("_hour")).rowsBetween(Window.unboundedPreceding, -1)
+    after_hour = hours.select("alert_key", "_hour", F.min("_first").over(later).alias("_after_hour"))
+    return (
+        asked.join(after_minute.select("alert_key", "_minute", "_in_hour"), ["alert_key", "_minute"])
+        .join(after_hour, ["alert_key", "_hour"])
+        .select("alert_key", c("_from").alias("_t"), F.coalesce("_next", "_in_hour", "_after_hour").alias("_next"))
+    )
 
 
 def alert_dedup(alerts: DataFrame, cooldown_hours: int = 24) -> DataFrame:
     """(alert_key, ts) that are sent: one is silenced for 24 h after the last one that was *sent*.
 
-    A pause of at least the cooldown resets the rule, so the runs between pauses are independent
-    and are spread over tasks. Inside a run the rule is a chain; a task streams its rows in order
-    and remembers one time per run, so a busy key never has to fit in memory.
+    Every alert points at the first one that may follow it. The alerts sent are those on the chain from
+    the first alert of a key; it is marked in rounds that double the length of the pointers, so the
+    number of rounds is the logarithm of the longest chain, whatever a key's number of alerts. Each
+    round is one stored table. Rows without a key or time are skipped; repeated times count once.
     """
-    cooldown = cooldown_hours * 3_600_000_000
-    times = alerts.select(
-        "alert_key", F.unix_micros(F.col("ts").cast("timestamp")).alias("_t")
-    ).distinct()
-    per_day = F.floor(F.col("_t") / 86_400_000_000)
-    before = neighbour(times, ["alert_key"], "_t", {"_t": "_before"}, ahead=False, chunk=per_day)
-    starts = flag(F.coalesce(F.col("_t") - F.col("_before") >= cooldown, F.lit(True)))
-    runs = running_total(
-        before.withColumn("_start", starts), ["alert_key"], "_t", {"_start": "_run"}, per_day
-    )
-
-    def sent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        run, last = None, None
-        for batch in batches:
-            picked = []
-            for key, part in batch.groupby(["alert_key", "_run"], sort=False):
-                if key != run:
-                    run, last = key, None
-                kept, last = first_of_each_window(part["_t"].to_numpy(), cooldown, last)
-                picked.append(part.iloc[kept])
-            if picked:
-                yield pd.concat(picked)[["alert_key", "_t"]]
-
-    ship_package(alerts.sparkSession)
-    return (
-        runs.select("alert_key", "_run", "_t")
-        .repartition("alert_key", "_run")
-        .sortWithinPartitions("alert_key", "_run", "_t")
-        .mapInPandas(sent, "alert_key string, _t long")
-        .select("alert_key", F.timestamp_micros("_t").alias("ts"))
+    wait = cooldown_hours * 60 * MINUTE
+    times = (
+        alerts.select("alert_key", F.unix_micros(c("ts").cast("timestamp")).alias("_t"))
+        .where("alert_key IS NOT NULL AND _t IS NOT NULL")
+        .distinct()
     )
+    times = stored(times, "alert-times")
+    spans = times.groupBy("alert_key").agg(F.min("_t").alias("_start"), F.max("_t").alias("_end"))
+    longest = spans.agg(F.max(F.floor((c("_end") - c("_start")) / wait))).first()[0] or 0
+    rows = _next_at_or_after(times, wait).join(spans.drop("_end"), "alert_key")
+    rows = stored(rows.select("alert_key", "_t", "_next", (c("_t") == c("_start")).alias("_sent")), "alert-chains")
+    for _ in range(int(longest).bit_length()):  # chains have at most longest + 1 alerts
+        far = rows.select("alert_key", c("_t").alias("_next"), c("_next").alias("_far"))
+        reached = rows.where("_sent AND _next IS NOT NULL").select("alert_key", c("_next").alias("_t"))
+        marked = reached.distinct().withColumn("_reached", F.lit(True))
+        rows = stored(
+            rows.join(far, ["alert_key", "_next"], "left")
+            .join(marked, ["alert_key", "_t"], "left")
+            .select("alert_key", "_t", c("_far").alias("_next"), (c("_sent") | c("_reached").isNotNull()).alias("_sent")),
+            "alert-chains",
+        )
+    return rows.where("_sent").select("alert_key", F.timestamp_micros("_t").alias("ts"))

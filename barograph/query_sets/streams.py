@@ -8,7 +8,7 @@ from barograph.queries import Context, query
 from barograph.session import scratch_path
 from barograph.sources.landing import conform, write_table
 from barograph import schemas
-from barograph.streaming import jobs
+from barograph.streaming import jobs, repair, stateful
 
 c = F.col
 
@@ -38,8 +38,45 @@ def _(ctx: Context):
 
 @query("stream_alert_dedup")
 def _(ctx: Context):
-    stream = jobs.stream_alert_dedup(events(ctx), "event_type", 24)
-    return jobs.run_to_table(ctx.spark, stream, "stream-alerts")
+    stream = stateful.stream_alert_dedup(events(ctx), "event_type", 24)
+    return jobs.run_to_table(ctx.spark, stream, "stream-alerts", by_row=True)
+
+
+@query("stream_retrain_cooldown")
+def _(ctx: Context):
+    """Every error is a retrain trigger of the model named by its user."""
+    triggers = events(ctx).where("event_type = 'error'")
+    stream = stateful.stream_retrain_cooldown(triggers, "user_id")
+    return jobs.run_to_table(ctx.spark, stream, "stream-retrains", by_row=True)
+
+
+@query("stream_outages")
+def _(ctx: Context):
+    stream = stateful.stream_outages(events(ctx), "user_id")
+    return jobs.run_to_table(ctx.spark, stream, "stream-outages", by_row=True)
+
+
+@query("stream_accuracy_windows")
+def _(ctx: Context):
+    scored = events(ctx).withColumns(
+        {"model": c("user_id") % 25, "good": c("event_type") != "error", "value": c("value") / 20}
+    )
+    stream = stateful.stream_accuracy_windows(scored, "model")
+    return jobs.run_to_table(ctx.spark, stream, "stream-accuracy", by_row=True)
+
+
+@query("stream_late_repair")
+def _(ctx: Context):
+    """The events in three deliveries: the first half of the month, the second, and a tenth of all rows
+    that was held back until then."""
+    given = ctx.given("events").withColumn("ts", c("ts").cast("timestamp"))
+    held = F.pmod(F.xxhash64("event_id"), F.lit(10)) == 0
+    early = F.dayofmonth("ts") <= 15
+    arriving = scratch_path(ctx.spark, "repair-arriving")
+    for part in (early & ~held, ~early & ~held, held):
+        given.where(part).coalesce(1).write.mode("append").parquet(arriving)
+    source = ctx.spark.readStream.schema(given.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+    return repair.stream_late_repair(source, "user_id", expected=100).counts().drop("repaired")
 
 
 @query("stream_merge_upsert", exact=True)
@@ -62,5 +99,3 @@ def _(ctx: Context):
     source = ctx.spark.readStream.schema(raw.schema).parquet(arriving)
     jobs.stream_merge_upsert(source, target)
     return conform(ctx.spark.read.parquet(target), schemas.WEATHER_RAW)
-
-

@@ -9,15 +9,13 @@ executor or a restart resumes from them.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from barograph.operators.ingest import KEYS, merge_into
-from barograph.operators.monitoring import first_of_each_window
-from barograph.session import scratch_path, ship_package
+from barograph.session import scratch_path
 
 c = F.col
 
@@ -38,18 +36,40 @@ def read_stream(spark: SparkSession, folder: str, table: str, max_files: int = 2
     return rows.withColumn("ts", c("ts").cast("timestamp")) if "ts" in rows.columns else rows
 
 
-def run_to_table(spark: SparkSession, stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
-    """Drain the stream into Parquet in the shared folder and read it back."""
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextmanager
+def row_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state on disk, entry by entry, as stateful processors need."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
+
+
+def run_to_table(
+    spark: SparkSession, stream: DataFrame, label: str, mode: str = "append", by_row: bool = False
+) -> DataFrame:
+    """Drain the stream into Parquet in the shared folder and read it back. ``by_row`` is for streams with
+    stateful processors."""
     out = scratch_path(spark, label)
-    query = (
+    writer = (
         stream.writeStream.outputMode(mode)
         .format("parquet")
         .option("path", out)
         .option("checkpointLocation", scratch_path(spark, f"{label}-state"))
         .trigger(availableNow=True)
-        .start()
     )
-    query.awaitTermination()
+    if by_row:
+        with row_state(spark):
+            query = writer.start()
+            query.awaitTermination()
+    else:
+        query = writer.start()
+        query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
 
 
@@ -123,36 +143,3 @@ def stream_sessions(src: DataFrame, key: str, gap: str = "1 day", watermark: str
         .agg(F.count(F.lit(1)).alias("n"))
         .select(key, c("s.start").alias("session_start"), c("s.end").alias("session_end"), "n")
     )
-
-
-def stream_alert_dedup(src: DataFrame, key: str, cooldown_hours: int = 24, watermark: str = "1 day") -> DataFrame:
-    """Alerts that are sent when each one silences its key for a while.
-
-    The state of a key is one number, the time last sent. It is dropped once the watermark passes
-    the end of the cooldown. Per micro-batch a key is reduced to an array of its times.
-    """
-    cooldown = cooldown_hours * 3_600_000_000
-
-    def fold(
-        keys: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last = state.get[0] if state.exists else None
-        times = pd.concat([b["_t"] for b in batches]).sort_values().to_numpy()
-        kept, last = first_of_each_window(times, cooldown, last)
-        if last is not None:
-            state.update((last,))
-            ends = (last + cooldown) // 1000
-            state.setTimeoutTimestamp(max(ends, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"alert_key": [keys[0]] * len(kept), "_t": times[kept]})
-
-    alerts = src.withWatermark("ts", watermark).select(
-        c(key).cast("string").alias("alert_key"), "ts", F.unix_micros("ts").alias("_t")
-    )
-    ship_package(src.sparkSession)
-    sent = alerts.groupBy("alert_key").applyInPandasWithState(
-        fold, "alert_key string, _t long", "last long", "append", GroupStateTimeout.EventTimeTimeout
-    )
-    return sent.select("alert_key", F.timestamp_micros("_t").alias("ts"))

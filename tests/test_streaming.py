@@ -4,7 +4,6 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from barograph.operators.monitoring import alert_dedup
 from barograph.streaming import jobs
 
 T0 = datetime(2026, 1, 1)
@@ -38,16 +37,6 @@ def test_completeness_drops_late_rows(spark, tmp_path):
     assert all(day <= 5 for day in got)
 
 
-def test_alerts_across_batches_equal_the_batch_rule(spark, tmp_path):
-    alerts = [[(T0 + timedelta(hours=7 * i), "k" if i % 3 else "j")] for i in range(24)]
-    batches = [sum(alerts[i:i + 6], []) for i in range(0, 24, 6)]
-    src = stream_of(spark, tmp_path, batches, "ts timestamp, alert_key string")
-    out = jobs.run_to_table(spark, jobs.stream_alert_dedup(src, "alert_key", 24), "t-alerts")
-    everything = spark.createDataFrame(sum(batches, []), "ts timestamp, alert_key string")
-    wanted = alert_dedup(everything).select("alert_key", "ts")
-    assert sorted(map(tuple, out.select("alert_key", "ts").collect())) == sorted(map(tuple, wanted.collect()))
-
-
 def test_replayed_merge_is_harmless(spark, tmp_path, ctx):
     from barograph.operators.ingest import merge_into
     from barograph.sources.landing import write_table
