@@ -293,33 +293,43 @@ LEFT JOIN (SELECT city, MAX(date) AS d FROM src_weather_predictions GROUP BY cit
 WHERE a.d IS DISTINCT FROM b.d
 """)
 KS = ["max_temp", "min_temp", "humidity_3pm", "pressure_3pm", "rainfall", "wind_gust_speed"]
-add("ks_drift", f"""
+
+
+def ks_sql(runs: str) -> str:
+    """The test of every feature for each date of a relation with a column ``run``."""
+    return f"""
 WITH l AS (
-  SELECT {AS_OF} - date <= 30 AS recent, UNNEST([{', '.join(f"'{c}'" for c in KS)}]) AS feature_name, UNNEST([{', '.join(KS)}]) AS value
-  FROM src_weather_raw WHERE {AS_OF} - date BETWEEN 1 AND 60),
-t AS (SELECT feature_name, ({n_if('recent')})::DOUBLE AS n, ({n_if('NOT recent')})::DOUBLE AS m FROM l WHERE value IS NOT NULL GROUP BY 1
-  HAVING n >= 10 AND m >= 10),
+  SELECT run, run - date <= 30 AS recent, UNNEST([{', '.join(f"'{c}'" for c in KS)}]) AS feature_name, UNNEST([{', '.join(KS)}]) AS value
+  FROM src_weather_raw, {runs} WHERE run - date BETWEEN 1 AND 60),
+t AS (SELECT run, feature_name, ({n_if('recent')})::DOUBLE AS n, ({n_if('NOT recent')})::DOUBLE AS m FROM l WHERE value IS NOT NULL
+  GROUP BY run, feature_name HAVING n >= 10 AND m >= 10),
 g AS (
-  SELECT feature_name, ABS((COUNT(*) FILTER (WHERE recent) OVER v) / n - (COUNT(*) FILTER (WHERE NOT recent) OVER v) / m) AS gap, n, m
-  FROM l JOIN t USING (feature_name) WHERE value IS NOT NULL
-  WINDOW v AS (PARTITION BY feature_name ORDER BY value RANGE UNBOUNDED PRECEDING)),
-d AS (SELECT feature_name, ROUND(MAX(gap), 12) AS d, MAX(n) AS n, MAX(m) AS m FROM g GROUP BY 1),
+  SELECT run, feature_name, n, m,
+    ABS((COUNT(*) FILTER (WHERE recent) OVER v) / n - (COUNT(*) FILTER (WHERE NOT recent) OVER v) / m) AS gap
+  FROM l JOIN t USING (run, feature_name) WHERE value IS NOT NULL
+  WINDOW v AS (PARTITION BY run, feature_name ORDER BY value RANGE UNBOUNDED PRECEDING)),
+d AS (SELECT run, feature_name, ROUND(MAX(gap), 12) AS d, MAX(n) AS n, MAX(m) AS m FROM g GROUP BY ALL),
 p AS (
   WITH RECURSIVE size AS (
-    SELECT feature_name, d, LEAST(n, m)::BIGINT AS a, GREATEST(n, m)::BIGINT AS b, ROUND(d * n * m)::BIGINT AS gap FROM d),
+    SELECT run, feature_name, d, LEAST(n, m)::BIGINT AS a, GREATEST(n, m)::BIGINT AS b, ROUND(d * n * m)::BIGINT AS gap FROM d),
   path AS (
     SELECT size.*, 0::BIGINT AS i, 0::BIGINT AS low, 0::DOUBLE AS logs,
       LIST_TRANSFORM(RANGE(0, LEAST(b, (gap - 1) // a) + 1), lambda k: 1::DOUBLE) AS ways FROM size WHERE gap > 0
     UNION ALL
-    SELECT feature_name, d, a, b, gap, i, low, logs + LN(raw[-1]), LIST_TRANSFORM(raw, lambda x: x / raw[-1]) FROM (
-      SELECT feature_name, d, a, b, gap, i + 1 AS i, f AS low, logs,
+    SELECT run, feature_name, d, a, b, gap, i, low, logs + LN(raw[-1]), LIST_TRANSFORM(raw, lambda x: x / raw[-1]) FROM (
+      SELECT run, feature_name, d, a, b, gap, i + 1 AS i, f AS low, logs,
         LIST_TRANSFORM(RANGE(1, t - f + 2), lambda x: LIST_SUM(LIST_SLICE(ways, f - low + 1, f - low + x))) AS raw
       FROM (SELECT *, GREATEST(0, FLOOR(((i + 1) * b - gap)::DOUBLE / a)::BIGINT + 1) AS f,
           LEAST(b, CEIL(((i + 1) * b + gap)::DOUBLE / a)::BIGINT - 1) AS t FROM path WHERE i < a)))
-  SELECT feature_name, d, 1 - EXP(logs + LN(ways[b - low + 1]) + LGAMMA(a + 1) + LGAMMA(b + 1) - LGAMMA(a + b + 1)) AS p
-  FROM path WHERE i = a UNION ALL SELECT feature_name, d, 1::DOUBLE FROM size WHERE gap <= 0)
-SELECT {AS_OF} AS date, feature_name, {even('d', 4)} AS ks_stat, {even('p', 4)} AS p_value, p < 0.05::DOUBLE AS drifted FROM p
-""")
+  SELECT run, feature_name, d, 1 - EXP(logs + LN(ways[b - low + 1]) + LGAMMA(a + 1) + LGAMMA(b + 1) - LGAMMA(a + b + 1)) AS p
+  FROM path WHERE i = a UNION ALL SELECT run, feature_name, d, 1::DOUBLE FROM size WHERE gap <= 0)
+SELECT run AS date, feature_name, {even('d', 4)} AS ks_stat, {even('p', 4)} AS p_value, p < 0.05::DOUBLE AS drifted FROM p
+"""
+
+
+add("ks_drift", ks_sql(f"(SELECT {AS_OF} AS run)"))
+add("run_dates", f"SELECT DISTINCT date AS run FROM stg_monitoring_decisions WHERE DAY(date) % 10 = 1 UNION SELECT {AS_OF}")
+add("ks_drift_history", ks_sql("run_dates"))
 add("drift_window_completeness", f"""
 WITH w AS (SELECT ({n_if(f'{AS_OF} - date BETWEEN 1 AND 30')})::DOUBLE / 750 AS a, ({n_if(f'{AS_OF} - date BETWEEN 31 AND 60')})::DOUBLE / 750 AS b
   FROM src_weather_raw)
@@ -343,28 +353,47 @@ add("retrain_cooldown", """
 SELECT d.date, MAX(e.retrain_date) AS last_retrain_date, IFNULL(d.date - MAX(e.retrain_date) < 7, FALSE) AS in_cooldown
 FROM stg_monitoring_decisions d LEFT JOIN stg_retrain_events e ON e.retrain_date <= d.date GROUP BY d.date
 """)
-add("monitoring_decision", """
+
+
+def decision_sql(metrics: str, drift: str) -> str:
+    return f"""
 WITH f AS (SELECT date, COUNT(DISTINCT feature_name) AS k, STRING_AGG(DISTINCT feature_name, ',' ORDER BY feature_name) AS names
-  FROM stg_drift_reports WHERE drifted GROUP BY date),
+  FROM {drift} WHERE drifted GROUP BY date),
 b AS (
-  SELECT m.date, rain_accuracy_30d, temp_mae_30d, IFNULL(names, '') AS drifted_features, IFNULL(k, 0) AS n_drifted,
+  SELECT m.date, rain_accuracy_30d, temp_mae_30d, rain_accuracy_7d, temp_mae_7d,
+    IFNULL(names, '') AS drifted_features, IFNULL(k, 0) AS n_drifted,
     IFNULL(rain_accuracy_30d < 0.75::DOUBLE, FALSE) AS low_accuracy, IFNULL(temp_mae_30d > 3, FALSE) AS high_mae,
     IFNULL(k, 0) >= 4 AS heavy_drift, IFNULL(k, 0) = 3 AS mild_drift,
+    IFNULL(rain_accuracy_7d < 0.7::DOUBLE, FALSE) OR IFNULL(temp_mae_7d > 4, FALSE) AS early_warning,
     EXISTS (FROM stg_retrain_events e WHERE m.date - e.retrain_date BETWEEN 0 AND 6) AS in_cooldown
-  FROM stg_model_metrics_history m LEFT JOIN f USING (date)),
+  FROM {metrics} m LEFT JOIN f USING (date)),
 x AS (
   SELECT *, CASE WHEN rain_accuracy_30d IS NULL AND temp_mae_30d IS NULL THEN 'insufficient_data_for_metrics'
     WHEN low_accuracy OR high_mae OR heavy_drift THEN IF(in_cooldown, 'retrain_needed_but_cooldown_active', CONCAT_WS(' | ',
       IF(low_accuracy, PRINTF('rain_accuracy %.1f%% < 75%%', rain_accuracy_30d * 100), NULL),
       IF(high_mae, PRINTF('temp_mae %.2fC > 3.0C', temp_mae_30d), NULL),
       IF(heavy_drift, PRINTF('drift on %d features (>=4)', n_drifted), NULL)))
-    WHEN mild_drift THEN 'mild_drift_on_3_features' ELSE 'all_metrics_nominal' END AS reason FROM b)
-SELECT *, reason AS reason_text, NULL::DOUBLE AS rain_accuracy_7d, NULL::DOUBLE AS temp_mae_7d, FALSE AS early_warning,
+    WHEN mild_drift THEN 'mild_drift_on_3_features' WHEN early_warning THEN 'early_warning_7d' ELSE 'all_metrics_nominal' END AS reason FROM b)
+SELECT *, reason AS reason_text,
   CASE reason WHEN 'insufficient_data_for_metrics' THEN 'insufficient_data' WHEN 'all_metrics_nominal' THEN 'no_action'
     WHEN 'retrain_needed_but_cooldown_active' THEN 'alert_only' WHEN 'mild_drift_on_3_features' THEN 'alert_only'
-    ELSE 'trigger_retrain' END AS action
+    WHEN 'early_warning_7d' THEN 'alert_only' ELSE 'trigger_retrain' END AS action
 FROM x
+"""
+
+
+add("stored_metrics", "SELECT *, NULL::DOUBLE AS rain_accuracy_7d, NULL::DOUBLE AS temp_mae_7d FROM stg_model_metrics_history")
+add("monitoring_decision", decision_sql("stored_metrics", "stg_drift_reports"))
+add("metrics_by_run", f"""
+WITH n AS (SELECT run, date, rain_tomorrow, max_temp_tomorrow, LEAD(rain_today) OVER w AS was, LEAD(max_temp) OVER w AS reached
+  FROM full_rows, run_dates WHERE date BETWEEN run - 30 AND run WINDOW w AS (PARTITION BY run, city ORDER BY date)),
+m AS (SELECT run, COUNT(*) AS k, {even('AVG((was = rain_tomorrow)::INT)', 4)} AS a30, {even('AVG(ABS(reached - max_temp_tomorrow))', 2)} AS e30,
+  {even('AVG((was = rain_tomorrow)::INT) FILTER (WHERE run - date <= 7)', 4)} AS a7,
+  {even('AVG(ABS(reached - max_temp_tomorrow)) FILTER (WHERE run - date <= 7)', 2)} AS e7 FROM n GROUP BY run)
+SELECT run AS date, IF(k >= 30, a30, NULL) AS rain_accuracy_30d, IF(k >= 30, e30, NULL) AS temp_mae_30d,
+  IF(k >= 30, a7, NULL) AS rain_accuracy_7d, IF(k >= 30, e7, NULL) AS temp_mae_7d FROM run_dates LEFT JOIN m USING (run)
 """)
+add("monitoring_run", decision_sql("metrics_by_run", "ks_drift_history"))
 add("metrics_history_append", """
 SELECT date, status, rain_accuracy_30d, temp_mae_30d, row_num FROM src_model_metrics_history
 UNION ALL SELECT date, status, rain_accuracy_30d, temp_mae_30d, (SELECT MAX(row_num) + 1 FROM src_model_metrics_history) FROM verifiable_metrics
@@ -440,14 +469,32 @@ SELECT bin, COUNT(*) AS n, «bin * w» AS bin_low FROM b GROUP BY bin, w
 add("quantile_profile", " UNION ALL ".join(
     f"SELECT 'rainfall' AS feature, {p}::DOUBLE AS prob, {r(f'QUANTILE_CONT(rainfall, {p})')} AS quantile FROM src_weather_raw WHERE rainfall > 0"
     for p in (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)))
-add("boxplot_stats", f"""
-WITH q AS (SELECT season, QUANTILE_CONT(rainfall, 0.25) AS q25, QUANTILE_CONT(rainfall, 0.5) AS q50, QUANTILE_CONT(rainfall, 0.75) AS q75
-  FROM with_season GROUP BY season),
-i AS (SELECT q.*, rainfall, rainfall BETWEEN 2.5::DOUBLE * q25 - 1.5::DOUBLE * q75 AND 2.5::DOUBLE * q75 - 1.5::DOUBLE * q25 AS ok
-  FROM with_season JOIN q USING (season) WHERE rainfall IS NOT NULL)
-SELECT season, q25, q50, q75, MIN(rainfall) FILTER (WHERE ok) AS whisker_low, MAX(rainfall) FILTER (WHERE ok) AS whisker_high,
-  {n_if('NOT ok')} AS n_outliers, COUNT(*) AS n
-FROM i GROUP BY season, q25, q50, q75
+
+
+def box_sql(relation: str) -> str:
+    return f"""
+WITH q AS (SELECT grouping, grp, measure, QUANTILE_CONT(value, 0.25) AS q25, QUANTILE_CONT(value, 0.5) AS q50, QUANTILE_CONT(value, 0.75) AS q75
+  FROM {relation} GROUP BY ALL),
+i AS (SELECT q.*, value, value BETWEEN 2.5::DOUBLE * q25 - 1.5::DOUBLE * q75 AND 2.5::DOUBLE * q75 - 1.5::DOUBLE * q25 AS ok
+  FROM {relation} JOIN q USING (grouping, grp, measure))
+SELECT grouping, grp, measure, {r('q25')} AS q25, {r('q50')} AS q50, {r('q75')} AS q75, MIN(value) FILTER (WHERE ok) AS whisker_low,
+  MAX(value) FILTER (WHERE ok) AS whisker_high, ({n_if('NOT ok')})::BIGINT AS n_outliers, COUNT(*) AS n
+FROM i GROUP BY grouping, grp, measure, q25, q50, q75
+"""
+
+
+BOXES = {
+    ("season", "with_season"): ["max_temp", "rainfall", "humidity_3pm"],
+    ("rain_today", "with_season"): ["humidity_3pm", "pressure_3pm", "cloud_3pm"],
+    ("weather_type_tomorrow", "src_weather_predictions"): ["rain_tomorrow_proba", "max_temp_tomorrow", "comfort_score"],
+}
+add("box_values", " UNION ALL ".join(
+    f"SELECT '{g}' AS grouping, {g}::VARCHAR AS grp, '{m}' AS measure, {m}::DOUBLE AS value FROM {t} WHERE {g} IS NOT NULL AND {m} IS NOT NULL"
+    for (g, t), measures in BOXES.items() for m in measures))
+add("boxplot_groups", box_sql("box_values"))
+add("boxplot_stats", """
+SELECT grp AS season, q25, q50, q75, whisker_low, whisker_high, n_outliers, n FROM boxplot_groups
+WHERE grouping = 'season' AND measure = 'rainfall'
 """)
 
 

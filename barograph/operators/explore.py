@@ -156,19 +156,26 @@ def log_histogram(df: DataFrame, column: str, bins: int, high: float | None = No
     return histogram(positive, "log_value", bins, 0.0, high)
 
 
-def boxplot_stats(df: DataFrame, group: str, column: str) -> DataFrame:
-    """Quartiles per group and the whiskers: the furthest values within 1.5 IQR of the box."""
-    long = df.select(c(group).alias("grp"), c(column).cast("double").alias("value")).where(
-        c("value").isNotNull() & c("grp").isNotNull()
+def box_values(df: DataFrame, group: str, measures: Sequence[str]) -> DataFrame:
+    """(grouping, grp, measure, value) of the known measures of every row with a group."""
+    long = melt(df, measures, keys=[group]).where(c(group).isNotNull())
+    return long.select(
+        F.lit(group).alias("grouping"), c(group).cast("string").alias("grp"), c("feature").alias("measure"), "value"
     )
-    boxes = quartiles(long, ["grp"])
+
+
+def boxplots(values: DataFrame) -> DataFrame:
+    """Quartiles, whiskers (the furthest values within 1.5 IQR of the box) and outliers of every (grouping,
+    grp, measure), all in one pass over counts per distinct value."""
+    keys = ["grouping", "grp", "measure"]
+    boxes = quartiles(values, keys)
     reach = 1.5 * (c("q75") - c("q25"))
     inside = c("value").between(c("q25") - reach, c("q75") + reach)
-    ends = (
-        long.groupBy("grp", "value")
+    return (
+        values.groupBy(*keys, "value")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .join(boxes, "grp")
-        .groupBy("grp", "q25", "q50", "q75")
+        .join(boxes, keys)
+        .groupBy(*keys, "q25", "q50", "q75")
         .agg(
             F.min(F.when(inside, c("value"))).alias("whisker_low"),
             F.max(F.when(inside, c("value"))).alias("whisker_high"),
@@ -176,7 +183,11 @@ def boxplot_stats(df: DataFrame, group: str, column: str) -> DataFrame:
             F.sum("_n").alias("n"),
         )
     )
-    return ends.withColumnRenamed("grp", group)
+
+
+def boxplot_stats(df: DataFrame, group: str, column: str) -> DataFrame:
+    """The boxes of one measure by one group."""
+    return boxplots(box_values(df, group, [column])).withColumnRenamed("grp", group).drop("grouping", "measure")
 
 
 CLIMATE_MEANS = {

@@ -69,16 +69,41 @@ def ks_exact_p(n: int, m: int, gap: int) -> float:
     return min(1.0, max(0.0, -math.expm1(inside)))
 
 
+#: Samples beyond this size take the law of large samples.
+EXACT_SIZE = 60_000
+
+
+def ks_large_p(n: int, m: int, gap: int) -> float:
+    """Two-sided p-value of large samples: the law of one sample of the effective size n m / (n + m), as
+    statistics packages give it, from its limit at a shifted point (the error falls with the size to
+    the power 1.5). The limit is summed in the form that converges at once on either side of 1."""
+    size = round(n * m / (n + m))
+    x = gap / (n * m) * math.sqrt(size)
+    x += 1 / (6 * math.sqrt(size)) + (x - 1) / (4 * size)
+    if x <= 0:
+        return 1.0
+    if x > 1:
+        terms = (2 * (-1) ** (k - 1) * math.exp(-2 * (k * x) ** 2) for k in range(1, 8))
+        return min(1.0, max(0.0, sum(terms)))
+    below = sum(math.exp(-((2 * k - 1) * math.pi / x) ** 2 / 8) for k in range(1, 8))
+    return min(1.0, max(0.0, 1 - math.sqrt(2 * math.pi) / x * below))
+
+
+def ks_p(n: int, m: int, gap: int) -> float:
+    """The p-value of two samples: exact where the larger has at most ``EXACT_SIZE`` values."""
+    return ks_exact_p(n, m, gap) if max(n, m) <= EXACT_SIZE else ks_large_p(n, m, gap)
+
+
 def ks_p_values(rows: DataFrame) -> DataFrame:
-    """Add ``_p`` to rows (feature, _n, _m, _gap), one per feature."""
+    """Add ``_p`` to rows with sizes _n, _m and the largest gap _gap."""
 
     def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             sizes = zip(frame["_n"], frame["_m"], frame["_gap"], strict=True)
-            yield frame.assign(_p=[ks_exact_p(int(n), int(m), int(gap)) for n, m, gap in sizes])
+            yield frame.assign(_p=[ks_p(int(n), int(m), int(gap)) for n, m, gap in sizes])
 
     ship_package(rows.sparkSession)
-    return rows.mapInPandas(add, "feature string, _n long, _m long, _gap long, _p double")
+    return rows.mapInPandas(add, rows.withColumn("_p", F.lit(0.0)).schema)
 
 
 def ks_drift(
@@ -114,11 +139,16 @@ def ks_drift(
         .agg(F.max(gap).cast("long").alias("_gap"))
         .select("feature", F.col("_n").cast("long"), F.col("_m").cast("long"), "_gap")
     )
+    return _ks_result(found.withColumn("date", F.lit(as_of)), alpha)
+
+
+def _ks_result(found: DataFrame, alpha: float) -> DataFrame:
+    """(date, feature_name, ks_stat, p_value, drifted) from sizes and gaps."""
     return (
         ks_p_values(found)
         .withColumn("_d", snap(F.col("_gap") / (F.col("_n") * F.col("_m"))))
         .select(
-            F.lit(as_of).alias("date"),
+            "date",
             F.col("feature").alias("feature_name"),
             round_half_even("_d", 4).alias("ks_stat"),
             round_half_even("_p", 4).alias("p_value"),
@@ -127,6 +157,76 @@ def ks_drift(
     )
 
 
+def ks_drift_history(
+    raw: DataFrame,
+    dates: DataFrame,
+    features: Sequence[str] = RULES.features,
+    window: int = RULES.drift_window_days,
+    min_n: int = RULES.min_values_for_ks,
+    alpha: float = RULES.ks_alpha,
+) -> DataFrame:
+    """:func:`ks_drift` for every distinct ``date`` of ``dates`` in one job.
+
+    Rows are counted once per feature, value and day. The two windows of a date are differences of
+    running counts over days, so they cost the same whatever the number of dates. Values are cut into
+    ascending ranges; a range takes the counts of the ranges below it per date and gives its largest
+    gap, so neither the values nor the rows of a feature meet in one task.
+    """
+    runs = dates.select("date").where("date IS NOT NULL").distinct()
+    span = runs.agg(F.date_sub(F.min("date"), 2 * window).alias("_from"), F.max("date").alias("_to"))
+    seen = attach_row(raw.select("date", *features), span).where("date >= _from AND date < _to")
+    long = melt(seen, features, keys=["date"])
+    counts = value_buckets(long.groupBy("feature", "value", "date").agg(F.count(F.lit(1)).alias("_k")), ["feature"])
+    counts = stored(counts, "drift-counts")
+
+    # per range and day, then per range and run: counts of the two windows, and those of lower ranges
+    ages = F.explode(F.sequence(F.lit(1), F.lit(2 * window))).alias("_age")
+    daily = counts.groupBy("feature", "_slot", "date").agg(F.sum("_k").alias("_k"))
+    by_run = (
+        daily.select("feature", "_slot", "_k", "date", ages)
+        .withColumn("date", F.date_add("date", c("_age")))
+        .join(runs, "date")
+        .groupBy("feature", "date", "_slot")
+        .agg(
+            F.sum(F.when(c("_age") <= window, c("_k")).otherwise(0)).alias("_r"),
+            F.sum(F.when(c("_age") > window, c("_k")).otherwise(0)).alias("_b"),
+        )
+    )
+    lower = Window.partitionBy("feature", "date").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("feature", "date")
+    offsets = by_run.select(
+        "feature", "_slot", "date",
+        F.coalesce(F.sum("_r").over(lower), F.lit(0)).alias("_r0"),
+        F.coalesce(F.sum("_b").over(lower), F.lit(0)).alias("_b0"),
+        F.sum("_r").over(whole).alias("_n"),
+        F.sum("_b").over(whole).alias("_m"),
+    ).where((c("_n") >= min_n) & (c("_m") >= min_n))
+
+    def widest(key: tuple, rows: pd.DataFrame, at: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows) or not len(at):
+            return pd.DataFrame({"feature": [], "date": [], "_n": [], "_m": [], "_gap": []})
+        values, place = np.unique(rows["value"].to_numpy(), return_inverse=True)
+        day = rows["date"].to_numpy("datetime64[D]").astype(int)
+        run = at["date"].to_numpy("datetime64[D]").astype(int)
+        first = min(day.min(), run.min() - 2 * window)
+        upto = np.zeros((len(values), max(day.max(), run.max()) - first + 2), np.int64)
+        np.add.at(upto, (place, day - first + 1), rows["_k"].to_numpy())
+        upto = upto.cumsum(axis=1)  # rows of a value before each day
+        end, middle, start = (upto[:, run - shift - first] for shift in (0, window, 2 * window))
+        r = (end - middle).cumsum(axis=0) + at["_r0"].to_numpy()
+        b = (middle - start).cumsum(axis=0) + at["_b0"].to_numpy()
+        gap = np.abs(r * at["_m"].to_numpy() - b * at["_n"].to_numpy()).max(axis=0)
+        return pd.DataFrame({"feature": key[0], "date": at["date"], "_n": at["_n"], "_m": at["_m"], "_gap": gap})
+
+    ship_package(raw.sparkSession)
+    own = counts.toDF(*counts.columns)  # columns of its own, since the offsets come from the same table
+    gaps = own.groupBy("feature", "_slot").cogroup(offsets.toDF(*offsets.columns).groupBy("feature", "_slot")).applyInPandas(
+        widest, "feature string, date date, _n long, _m long, _gap long"
+    )
+    found = gaps.groupBy("feature", "date", "_n", "_m").agg(F.max("_gap").alias("_gap"))
+    return _ks_result(found, alpha)
+
+
 def drift_window_completeness(
     raw: DataFrame, as_of: date, n_cities: int, rules: MonitoringRules = RULES
 ) -> DataFrame:
@@ -188,6 +288,64 @@ def verifiable_metrics(
     )
 
 
+def verifiable_metrics_history(
+    raw: DataFrame, pred: DataFrame, dates: DataFrame, rules: MonitoringRules = RULES
+) -> DataFrame:
+    """:func:`verifiable_metrics` as each distinct ``date`` of ``dates`` saw it, in one job: rows after the
+    run, and next rows after it, are not known yet. Rows are added up per day before they meet the runs."""
+    runs = dates.select("date").where("date IS NOT NULL").distinct()
+    said = pred.select("date", "city", "rain_tomorrow", "max_temp_tomorrow")
+    rows = neighbour(
+        raw.select("date", "city", "rain_today", "max_temp").join(said, ["date", "city"], "left"),
+        ["city"],
+        "date",
+        {"rain_today": "_rained", "max_temp": "_reached", "date": "_known"},
+    )
+    hit = as_int(c("_rained") == c("rain_tomorrow"))
+    miss = F.abs(c("_reached") - c("max_temp_tomorrow"))
+    daily = rows.groupBy("date", "_known").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.sum(hit).alias("_hits"),
+        F.count(hit).alias("_judged"),
+        F.sum(miss).alias("_miss"),
+        F.count(miss).alias("_measured"),
+    )
+    ages = F.explode(F.sequence(F.lit(0), F.lit(rules.drift_window_days))).alias("_age")
+    by_run = daily.select("*", ages).withColumn("date", F.date_add("date", c("_age"))).join(runs, "date")
+
+    def share(total: str, n: str, days: int) -> Column:
+        inside = (c("_known") <= c("date")) & (c("_age") <= days)
+        return ratio(F.sum(F.when(inside, c(total))), F.sum(F.when(inside, c(n))))
+
+    long, short = rules.drift_window_days, rules.early_window_days
+    found = by_run.groupBy("date").agg(
+        F.sum("_rows").alias("_rows"),
+        round_half_even(share("_hits", "_judged", long), 4).alias("rain_accuracy_30d"),
+        round_half_even(share("_miss", "_measured", long), 2).alias("temp_mae_30d"),
+        round_half_even(share("_hits", "_judged", short), 4).alias("rain_accuracy_7d"),
+        round_half_even(share("_miss", "_measured", short), 2).alias("temp_mae_7d"),
+    )
+    n = F.coalesce("_rows", F.lit(0))
+    enough = n >= rules.min_rows_for_metrics
+    names = ("rain_accuracy_30d", "temp_mae_30d", "rain_accuracy_7d", "temp_mae_7d")
+    return runs.join(found, "date", "left").select(
+        "date", F.when(enough, "computed").otherwise("no_data").alias("status"),
+        *[F.when(enough, c(name)).alias(name) for name in names],
+    )
+
+
+def monitoring_run(
+    raw: DataFrame, pred: DataFrame, retrain: DataFrame, dates: DataFrame, rules: MonitoringRules = RULES
+) -> DataFrame:
+    """The decision of every run date from what the run itself computes: both accuracy windows, drift, and
+    the retrain cooldown."""
+    metrics = verifiable_metrics_history(raw, pred, dates, rules)
+    drift = ks_drift_history(
+        raw, dates, rules.features, rules.drift_window_days, rules.min_values_for_ks, rules.ks_alpha
+    )
+    return monitoring_decision(metrics, drift, retrain, rules)
+
+
 def prediction_coverage_gap(
     raw: DataFrame, pred: DataFrame, as_of: date, rules: MonitoringRules = RULES
 ) -> DataFrame:

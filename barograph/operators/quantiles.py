@@ -2,21 +2,20 @@
 
 ``percentile`` keeps all distinct values of a group in one buffer, which is right for a group that
 is small by its key (a city in a season). For a whole table these functions count the distinct
-values, cut each column's range into equal buckets, and take running counts bucket by bucket in
-parallel.
+values and deal them into buckets by an integer key that keeps the order of doubles: exponent, then
+the first bits of the mantissa. Bucket totals tell which buckets hold a wanted rank, and only those
+are put in order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barograph.functions.rows import attach_row
-from barograph.operators.sequence import running_total
-
-BUCKETS = 1024
+#: Mantissa bits of a bucket: values of one bucket differ by less than one part in so many powers of two.
+BITS = 12
 
 
 def melt(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -31,56 +30,78 @@ def melt(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> Dat
     )
 
 
-def value_buckets(counts: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
-    """Add ``_slot``: the number of the bucket of the value among the values of its key.
+def ordered_key(value: Column | str, bits: int = BITS) -> Column:
+    """A whole number that never decreases as a double grows; equal for doubles whose exponent and first
+    ``bits`` bits of the mantissa are equal. NaN comes last, as it sorts.
 
-    The limits are quantiles of the distinct values, from a mergeable sketch, so buckets hold about
-    as many values each, whatever the outliers. Only the buckets are approximate; what is counted
-    in them stays exact.
+    Next to a power of two the logarithm may name the neighbouring exponent; the key is then the last
+    one of that exponent or the first one of the next, which keeps the order.
     """
-    keys = list(keys)
-    steps = [i / BUCKETS for i in range(1, BUCKETS)]
-    limits = counts.groupBy(*keys).agg(F.percentile_approx(value, steps, 20 * BUCKETS).alias("_limits"))
-    slot = F.size(F.filter("_limits", lambda limit: limit < F.col(value)))
-    limited = counts.join(limits, keys) if keys else attach_row(counts, limits)
-    return limited.withColumn("_slot", slot).drop("_limits")
+    value = F.col(value) if isinstance(value, str) else value
+    value = value.cast("double")
+    size = F.abs(value)
+    exponent = F.floor(F.log2(size))
+    scaled = F.floor(size / F.pow(F.lit(2.0), exponent.cast("double")) * (1 << bits))
+    magnitude = (exponent + 1100) * (1 << bits) + scaled - (1 << bits)
+    most = F.lit(4000 << bits).cast("long")
+    signed = F.when(value > 0, magnitude).otherwise(-magnitude)
+    return (
+        F.when(F.isnan(value), most + 1)
+        .when(size == float("inf"), F.when(value > 0, most).otherwise(-most))
+        .when(value == 0, F.lit(0).cast("long"))
+        .otherwise(signed)
+    )
+
+
+def value_buckets(counts: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
+    """Add ``_slot``, which does not decrease as the value grows: a narrow expression, no pass."""
+    return counts.withColumn("_slot", ordered_key(value))
 
 
 def exact_quantiles(long: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Linear-interpolated quantiles of (keys, value): columns keys, prob, quantile.
 
     Rank r = p (n - 1) lies between two neighbours in sorted order; each neighbour is the first
-    distinct value whose running count passes its rank.
+    distinct value whose running count passes its rank. Ranks are first looked up among the totals of
+    the buckets of a key; only values of buckets that hold one are ordered.
     """
     keys = list(keys)
-    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"))
-    slotted = value_buckets(counts, keys)
-    running = running_total(slotted, keys, "value", {"_n": "_upto"}, F.col("_slot"))
-    sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    ranks = sizes.select(
-        *keys, "_total", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
-    ).withColumn("_rank", F.col("prob") * (F.col("_total") - 1))
-    per_key = ranks.groupBy(*keys).agg(F.collect_list(F.struct("prob", "_rank")).alias("_ranks"))
-
-    def holds(position: Column) -> Column:
-        """A distinct value covers the positions [_upto - _n, _upto)."""
-        return (position >= F.col("_upto") - F.col("_n")) & (position < F.col("_upto"))
-
-    def touches(want: Column) -> Column:
-        rank = want.getField("_rank")
-        return holds(F.floor(rank)) | holds(F.ceil(rank))
+    counts = value_buckets(long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n")), keys)
+    upto = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = (
+        counts.groupBy(*keys, "_slot")
+        .agg(F.sum("_n").alias("_size"))
+        .withColumns({"_end": F.sum("_size").over(upto), "_all": F.sum("_size").over(Window.partitionBy(*keys))})
+        .withColumn("_below", F.col("_end") - F.col("_size"))
+    )
+    rank = F.col("_prob") * (F.col("_all") - 1)
 
+    def held(position: Column, first: str, last: str) -> Column:
+        return (position >= F.col(first)) & (position < F.col(last))
+
+    wanted = (
+        totals.withColumn("_prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+        .withColumn("_rank", rank)
+        .where(held(F.floor("_rank"), "_below", "_end") | held(F.ceil("_rank"), "_below", "_end"))
+        .groupBy(*keys, "_slot", "_below")
+        .agg(F.collect_list(F.struct(F.col("_prob").alias("prob"), "_rank")).alias("_ranks"))
+    )
+    inside = (
+        Window.partitionBy(*keys, "_slot").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     low, high = F.floor("_rank"), F.ceil("_rank")
     ends = (
-        running.join(per_key, keys)
-        .withColumn("_want", F.explode(F.filter("_ranks", touches)))
-        .select(*keys, "value", "_n", "_upto", "_want.prob", "_want._rank")
+        counts.join(wanted, [*keys, "_slot"])
+        .withColumn("_upto", F.col("_below") + F.sum("_n").over(inside))
+        .withColumn("_from", F.col("_upto") - F.col("_n"))
+        .select(*keys, "value", "_from", "_upto", F.explode("_ranks").alias("_want"))
+        .select(*keys, "value", "_from", "_upto", "_want.prob", "_want._rank")
         .groupBy(*keys, "prob", "_rank")
         .agg(
-            F.max(F.when(holds(low), F.col("value"))).alias("_a"),
-            F.max(F.when(holds(high), F.col("value"))).alias("_b"),
+            F.max(F.when(held(low, "_from", "_upto"), F.col("value"))).alias("_a"),
+            F.max(F.when(held(high, "_from", "_upto"), F.col("value"))).alias("_b"),
         )
     )
     weight = F.col("_rank") - F.floor("_rank")
     value = F.col("_a") + (F.col("_b") - F.col("_a")) * weight
-    return ends.select(*keys, "prob", value.alias("quantile"))
+    return ends.select(*keys, "prob", F.when(weight == 0, F.col("_a")).otherwise(value).alias("quantile"))

@@ -126,7 +126,7 @@ def seasonal_performance(actuals_vs_predictions: DataFrame, dim_date: DataFrame)
     """Season by year, and season over all years (year null).
 
     Both levels come from one pass: the rows are expanded into the two grouping sets. The exact P90
-    is read off running counts per distinct error, so no task holds the errors of a season.
+    is read off counts per distinct error, so no task holds the errors of a season.
     """
     base = with_season(
         actuals_vs_predictions.where("has_actuals"),
@@ -140,16 +140,20 @@ def seasonal_performance(actuals_vs_predictions: DataFrame, dim_date: DataFrame)
     )
     season, code, year = (F.col(c) for c in ("season", "season_code", "year"))
     # levels as grouping_id() numbers them: 0 keeps the year, 1 leaves it out
-    of_season = F.to_json(F.struct(season, code, F.lit(1).alias("level")))
-    of_year = F.to_json(F.struct(season, code, year, F.lit(0).alias("level")))
+    def group(of: Column, level: int) -> Column:
+        return F.struct(season.alias("_season"), code.alias("_code"), of.alias("_year"), F.lit(level).alias("_of"))
+
+    no_year = F.lit(-1)
+    keys = ["_season", "_code", "_year", "_of"]
     errors = base.select(
-        F.explode(F.array(of_year, of_season)).alias("_group"), F.col("temp_abs_error").cast("double").alias("value")
-    )
-    p90 = exact_quantiles(errors.where(F.col("value").isNotNull()), ["_group"], [0.9]).select(
-        "_group", round_half_up("quantile", 3).alias("temp_mae_p90")
+        F.explode(F.array(group(F.coalesce(year, no_year), 0), group(no_year, 1))).alias("_group"),
+        F.col("temp_abs_error").cast("double").alias("value"),
+    ).select("_group.*", "value")
+    p90 = exact_quantiles(errors.where(F.col("value").isNotNull()), keys, [0.9]).select(
+        *keys, round_half_up("quantile", 3).alias("temp_mae_p90")
     )
     grouped = base.groupingSets([[season, code, year], [season, code]], season, code, year).agg(
-        F.grouping_id().alias("_level"),
+        F.grouping_id().cast("int").alias("_of"),
         rows().alias("n_city_days"),
         F.countDistinct("prediction_date").alias("n_days"),
         F.countDistinct("city").alias("n_cities"),
@@ -158,11 +162,13 @@ def seasonal_performance(actuals_vs_predictions: DataFrame, dim_date: DataFrame)
         temp_error(F.stddev_samp).alias("temp_mae_stddev"),
         temp_error(F.max).alias("temp_max_error"),
     )
-    return (
-        grouped.withColumn("_group", F.when(F.col("_level") == 0, of_year).otherwise(of_season))
-        .join(p90, "_group", "left")
-        .drop("_group", "_level")
+    same = (
+        grouped["season"].eqNullSafe(p90["_season"])
+        & grouped["season_code"].eqNullSafe(p90["_code"])
+        & (F.coalesce(grouped["year"], no_year) == p90["_year"])
+        & (grouped["_of"] == p90["_of"])
     )
+    return grouped.join(p90, same, "left").drop(*keys)
 
 
 def extreme_events_performance(

@@ -73,6 +73,20 @@ def _(ctx: Context):
     return e.boxplot_stats(raw(ctx).withColumn("season", cal.season("date")), "season", "rainfall")
 
 
+@query("boxplot_groups")
+def _(ctx: Context):
+    """Three groupings, each over its three measures."""
+    seasons = raw(ctx).withColumn("season", cal.season("date"))
+    by_season = e.box_values(seasons, "season", ["max_temp", "rainfall", "humidity_3pm"])
+    by_rain = e.box_values(seasons, "rain_today", ["humidity_3pm", "pressure_3pm", "cloud_3pm"])
+    by_type = e.box_values(
+        ctx.table("src_weather_predictions"),
+        "weather_type_tomorrow",
+        ["rain_tomorrow_proba", "max_temp_tomorrow", "comfort_score"],
+    )
+    return e.boxplots(by_season.unionByName(by_rain).unionByName(by_type))
+
+
 @query("monthly_climatology")
 def _(ctx: Context):
     return e.monthly_climatology(raw(ctx))

@@ -27,6 +27,26 @@ def _(ctx: Context):
     return m.ks_drift(ctx.table("src_weather_raw"), AS_OF)
 
 
+def run_dates(ctx: Context):
+    """The 1st, 11th, 21st and 31st of the recorded run dates, and today."""
+    recorded = ctx.table("stg_monitoring_decisions").where(F.dayofmonth("date") % 10 == 1).select("date")
+    return recorded.unionByName(recorded.agg(F.lit(AS_OF).alias("date"))).distinct()
+
+
+@query("ks_drift_history")
+def _(ctx: Context):
+    return m.ks_drift_history(ctx.table("src_weather_raw"), run_dates(ctx))
+
+
+@query("monitoring_run")
+def _(ctx: Context):
+    """Metrics, drift, cooldown and decision as each run date saw them."""
+    decisions = m.monitoring_run(*weather(ctx), ctx.table("stg_retrain_events"), run_dates(ctx))
+    return decisions.withColumns(
+        {"reason": c("reason_text"), "drifted_features": F.array_join("drifted_features", ",")}
+    )
+
+
 @query("drift_window_completeness")
 def _(ctx: Context):
     return m.drift_window_completeness(ctx.table("src_weather_raw"), AS_OF, 25)
