@@ -83,6 +83,8 @@ def by_batch(
         step = make()
         for batch in pieces(batches):
             yield step(batch)
+        del step
+        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
     ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)

@@ -28,7 +28,7 @@ class AuditRules:
     least_documents: int = 3  # documents of a language that must hold a term
     scale: int = 1_000_000_000  # of a probability
     top_terms: int = 200  # ranks reported per group
-    block_counts: int = 100_000  # term counts of one block, about
+    block_counts: int = 25_000  # term counts of one block, about
     tile: int = 64  # groups whose columns stand in one matrix
     columns: int = 4096  # of one indicator matrix, about
     cells: int = 8_000_000  # of one indicator matrix
