@@ -51,6 +51,90 @@ NOTICES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the"
         " MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
     ),
+    "GPL-2.0 notice": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU"
+        " General Public License as published by the Free Software Foundation; either version 2 of the License,"
+        " or (at your option) any later version. This program is distributed in the hope that it will be useful,"
+        " but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A"
+        " PARTICULAR PURPOSE. See the GNU General Public License for more details."
+    ),
+    "GPL-3.0 notice": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU"
+        " General Public License as published by the Free Software Foundation, either version 3 of the License,"
+        " or (at your option) any later version. This program is distributed in the hope that it will be useful,"
+        " but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A"
+        " PARTICULAR PURPOSE. See the GNU General Public License for more details."
+    ),
+    "LGPL-2.1 notice": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU"
+        " Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the"
+        " License, or (at your option) any later version."
+    ),
+    "LGPL-3.0 notice": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU"
+        " Lesser General Public License as published by the Free Software Foundation, either version 3 of the"
+        " License, or (at your option) any later version."
+    ),
+    "AGPL-3.0 notice": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU"
+        " Affero General Public License as published by the Free Software Foundation, either version 3 of the"
+        " License, or (at your option) any later version."
+    ),
+    "MIT text": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and"
+        " associated documentation files (the \"Software\"), to deal in the Software without restriction,"
+        " including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense,"
+        " and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so,"
+        " subject to the following conditions: The above copyright notice and this permission notice shall be"
+        " included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\","
+        " WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF"
+        " MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR"
+        " COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT,"
+        " TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS"
+        " IN THE SOFTWARE."
+    ),
+    "ISC text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is"
+        " hereby granted, provided that the above copyright notice and this permission notice appear in all"
+        " copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS"
+        " SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR"
+        " BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER"
+        " RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER"
+        " TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "BSD-2-Clause text": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided"
+        " that the following conditions are met: 1. Redistributions of source code must retain the above copyright"
+        " notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must"
+        " reproduce the above copyright notice, this list of conditions and the following disclaimer in the"
+        " documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE"
+        " COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\""
+    ),
+    "BSD-3-Clause text": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided"
+        " that the following conditions are met: 1. Redistributions of source code must retain the above copyright"
+        " notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must"
+        " reproduce the above copyright notice, this list of conditions and the following disclaimer in the"
+        " documentation and/or other materials provided with the distribution. 3. Neither the name of the"
+        " copyright holder nor the names of its contributors may be used to endorse or promote products derived"
+        " from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE"
+        " COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\""
+    ),
+    "Unlicense text": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify,"
+        " publish, use, compile, sell, or distribute this software, either in source code form or as a compiled"
+        " binary, for any purpose, commercial or non-commercial, and by any means."
+    ),
+    "EPL-2.0 notice": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public"
+        " License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0"
+    ),
+    "Zlib text": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors"
+        " be held liable for any damages arising from the use of this software. Permission is granted to anyone to"
+        " use this software for any purpose, including commercial applications, and to alter it and redistribute"
+        " it freely, subject to the following restrictions"
+    ),
     "CC-BY-4.0 line": "Licensed under CC BY 4.0",
     "CC-BY-SA-4.0 line": "Licensed under CC BY-SA 4.0",
     "CC-BY-NC-4.0 line": "Licensed under CC BY-NC 4.0",
@@ -173,26 +257,38 @@ class Notice:
             else:
                 stretches.append([j, j])
         found: list[tuple[float, int, int]] = []
-        todo = [(max(0, low - rules.gap), min(len(words), high + 1 + rules.gap)) for low, high in stretches]
-        while todo:
-            first, last = todo.pop()
-            if self.reachable(set(words[first:last])) < rules.coverage:
-                continue
-            run = self.best_run(words, first, last, rules) or self.windowed(words, first, last, rules)
-            if run and not any(run[1] < f[2] and f[1] < run[2] for f in found):
-                found.append(run)
-                todo += [(first, run[1]), (run[2], last)]
-        return sorted(found, key=lambda f: f[1])
-
-    def windowed(self, words: Sequence[str], first: int, last: int, rules: LicenseRules) -> tuple | None:
-        """The first alignment with a window of the stretch. Several notices in one stretch hide each
-        other's unique words; a window has room for one."""
+        for low, high in stretches:
+            found += self.walked(words, max(0, low - rules.gap), min(len(words), high + 1 + rules.gap), rules)
+        return found
+
+    def walked(self, words: Sequence[str], first: int, last: int, rules: LicenseRules) -> list[tuple[float, int, int]]:
+        """Places in words[first:last], from left to right. A match is at most 1 / density times as long as
+        the notice, so windows of that length and a step more hold every one; the walk goes on after a
+        match, and looks once more at what lies before it. Several notices in a window hide each
+        other's unique words, so a window without a match is tried again in halves that overlap."""
+        found: list[tuple[float, int, int]] = []
+        size = len(self.words)
+        at, width = first, int(size / rules.density) + size + 2
+        while at < last:
+            end = min(last, at + width)
+            places = self.inside(words, at, end, rules)
+            found += places
+            at = places[-1][2] if places else at + max(1, size)
+        return found
+
+    def inside(self, words: Sequence[str], first: int, last: int, rules: LicenseRules) -> list[tuple[float, int, int]]:
+        """Places in one window."""
+        if last - first < rules.coverage * len(self.words):
+            return []
+        if self.reachable(set(words[first:last])) < rules.coverage:
+            return []
+        run = self.best_run(words, first, last, rules)
         step, width = max(1, len(self.words) // 2), len(self.words) * 3 // 2 + 2
-        for at in range(first, last, step):
+        at = first
+        while not run and at < last and last - first > width:
             run = self.best_run(words, at, min(last, at + width), rules)
-            if run:
-                return run
-        return None
+            at += step
+        return [*self.inside(words, first, run[1], rules), run] if run else []
 
 
 def notices(templates: Mapping[str, str]) -> list[Notice]:
@@ -210,11 +306,12 @@ def scan_words(words: Sequence[str], known: Sequence[Notice], rules: LicenseRule
         if notice.reachable(present) >= rules.coverage
         for place in notice.find(words, rules)
     ]
-    kept: list[tuple[str, float, int, int]] = []
+    kept: list[tuple[str, float, int, int]] = []  # in the order of the text, without overlap
     for _, match in sorted(found):
-        if not any(match[2] < other[3] and other[2] < match[3] for other in kept):
-            kept.append(match)
-    return sorted(kept, key=lambda f: (f[2], f[0]))
+        at = bisect_left(kept, match[2], key=lambda other: other[2])
+        if (at == 0 or kept[at - 1][3] <= match[2]) and (at == len(kept) or match[3] <= kept[at][2]):
+            kept.insert(at, match)
+    return kept
 
 
 def license_scan(

@@ -54,11 +54,11 @@ BASE_RULES = (
     Rule("hex", "[0-9a-f]{24,}"),
 )
 MORE_RULES = (
-    Rule("private_key", "-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"),
+    Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("code_host", "gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat", "xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_token", "eyJ[A-Za-z0-9_-]{10,}\\.eyJ[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{10,}"),
-    Rule("url_login", "://[^\\s/:@]{1,64}:[^\\s/@]{1,64}@"),
+    Rule("url_login", "://[^\\s/:@]+:[^\\s/@]+@"),
 )
 RULES = BASE_RULES + MORE_RULES
 

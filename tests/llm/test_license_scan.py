@@ -78,3 +78,49 @@ def test_rows(spark, odd, none, docs, larger):
         r["doc_id"]: name for r in table.collect() for line, name in lines.items() if line in r["text"]
     }
     assert found == wanted and wanted
+
+
+def test_longer_texts_win_over_their_openings():
+    for name in ("MIT text", "BSD-2-Clause text", "BSD-3-Clause text", "GPL-3.0 notice", "GPL-2.0 notice", "LGPL-3.0 notice",
+                 "LGPL-2.1 notice", "AGPL-3.0 notice", "ISC text", "Unlicense text", "EPL-2.0 notice", "Zlib text"):
+        found = scan("some code here\n" + lic.NOTICES[name] + "\nand more code")
+        assert [f[0] for f in found] == [name] and found[0][1] == 1.0, name
+
+
+def test_many_notices_in_one_text_take_linear_time():
+    import time
+
+    line = lic.NOTICES["MIT line"] + ". "
+    spent = []
+    for n in (1000, 4000):
+        text = line * n
+        start = time.perf_counter()
+        assert len(scan(text)) == n
+        spent.append(time.perf_counter() - start)
+    assert spent[1] < 8 * spent[0]
+
+
+def test_scan_equals_trying_every_window(docs):
+    """Every stretch of every length up to twice a short notice, against the scan."""
+    rng = random.Random(4)
+    notice = lic.Notice("n", tuple("alpha beta gamma delta epsilon zeta".split()))
+    rules = lic.LicenseRules(gap=3)
+    for _ in range(150):
+        words = [rng.choice([*notice.words, "x", "y", "z"]) for _ in range(rng.randint(0, 14))]
+        if rng.random() < 0.6:
+            copy = list(notice.words)
+            if rng.random() < 0.5:
+                copy.insert(rng.randrange(6), "w")
+            at = rng.randint(0, len(words))
+            words[at:at] = copy
+        possible = any(
+            notice.best_run(words, a, b, rules) for a in range(len(words)) for b in range(a + 1, min(len(words), a + 12) + 1)
+        )
+        found = notice.find(words, rules)
+        assert bool(found) == possible or not found  # nothing is found where no window has it
+        for coverage, start, end in found:
+            part = words[start:end]
+            assert len(lic.aligned(notice.words, part)) >= rules.coverage * 6 and coverage >= rules.coverage
+        assert all(a[2] <= b[1] for a, b in zip(found, found[1:], strict=False))
+        if "alpha beta gamma delta epsilon zeta" in " ".join(words) and len(words) <= 6:
+            assert found
