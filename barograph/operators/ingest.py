@@ -142,7 +142,7 @@ def merge_into(
     merged = merge(touched.drop("year"), new, keys, **extra)
     merged.withColumn("year", F.year("date")).write.parquet(staging)
     note, files = _note(spark, path)
-    stream = files.create(note, True)
+    stream = files.create(note, False)  # of two merges at once the second fails here, before it changes anything
     stream.writeUTF(staging)
     stream.close()
     _swap(spark, path, staging)
