@@ -1,12 +1,13 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
 1. Items and documents become sequences of shingle hashes. Only a window that holds a shingle of an
-   item can be similar to one, so windows are laid around such shingles (a join; nothing is lost).
+   item can be similar to that item, so windows are laid around such shingles, for the items that
+   have them (a join; nothing is lost, and no other items are looked at).
 2. A window has as many words as the item. Its 64-bit fingerprint is the majority of each bit over
    its shingles, each counted as often as it occurs.
 3. Fingerprints within the radius are found by a multi-index: cut into blocks, two fingerprints
    within radius r agree in some block up to r / blocks bits. Items are listed under every such
-   block value, windows look up their own blocks.
+   block value, windows look up their own blocks under their item.
 4. Candidates are compared exactly: the weighted similarity of the two bags of shingles.
 
 Only DataFrame functions; no Python runs on the executors.
@@ -93,7 +94,7 @@ def fingerprints(rows: DataFrame, key: str, shingles: str, longest: int) -> Data
 
 
 def benchmark_items(benchmark: DataFrame, rules: WindowRules) -> DataFrame:
-    """(item_id, n, width, shingles, print) of items with an id and at least one word. Items of
+    """(item_id, item, n, width, shingles, print) of items with an id and at least one word. Items of
     fewer words than a shingle are one shingle."""
     rows = documents(benchmark, "item_id", "text").withColumnRenamed("doc_id", "item_id")
     rows = rows.where("item_id IS NOT NULL").withColumn("words", words_of(F.col("text")))
@@ -103,10 +104,10 @@ def benchmark_items(benchmark: DataFrame, rules: WindowRules) -> DataFrame:
         *[F.when(F.col("width") == w, shingles_of("words", w)) for w in range(1, rules.words + 1)]
     )
     items = rows.withColumn("shingles", shingles).select("item_id", "n", "width", "shingles").distinct()
-    items = stored(items.withColumn("number", F.monotonically_increasing_id()), "benchmark-bags")
+    items = stored(items.withColumn("item", F.monotonically_increasing_id()), "benchmark-bags")
     longest = items.agg(F.max(F.size("shingles"))).first()[0] or 0
-    prints = fingerprints(items, "number", "shingles", longest)
-    return stored(items.join(prints, "number").drop("number"), "benchmark-items")
+    prints = fingerprints(items, "item", "shingles", longest)
+    return stored(items.join(prints, "item"), "benchmark-items")
 
 
 def _sized(df: DataFrame, most: int) -> DataFrame:
@@ -120,15 +121,16 @@ def block_of(print_: Column, block: Column | int, rules: WindowRules) -> Column:
 
 
 def item_index(items: DataFrame, rules: WindowRules) -> DataFrame:
-    """(n, block, value, item_id, print): each item under every block value within its share of the
-    radius."""
+    """The rows of ``items`` with (block, value, item_print) in place of ``print``: each item under every
+    block value within its share of the radius."""
     near = rules.radius // rules.blocks
     masks = [m for m in range(1 << rules.bits) if m.bit_count() <= near]
     blocks = F.explode(F.sequence(F.lit(0), F.lit(rules.blocks - 1))).alias("block")
-    rows = items.select("n", "item_id", "print", blocks)
+    keys = [name for name in items.columns if name != "print"]
+    rows = items.select(*keys, "print", blocks)
     rows = rows.select("*", F.explode(F.array(*map(F.lit, masks))).alias("mask"))
     value = block_of(F.col("print"), F.col("block"), rules).bitwiseXOR(F.col("mask").cast("long"))
-    return rows.select("n", "block", value.alias("value"), "item_id", F.col("print").alias("item_print"))
+    return rows.select(*keys, "block", value.alias("value"), F.col("print").alias("item_print"))
 
 
 def starts_of(places: Column, n: Column, width: Column, length: Column) -> Column:
@@ -155,15 +157,19 @@ def starts_of(places: Column, n: Column, width: Column, length: Column) -> Colum
 
 
 def shared(left: str, right: str) -> Column:
-    """Size of the intersection of two bags."""
-    return F.aggregate(
-        F.array_intersect(left, right),
+    """Size of the intersection of two bags: of sets, mostly; a repeated entry counts as often as it
+    occurs in both."""
+    common = F.array_intersect(left, right)
+    repeated = F.aggregate(
+        common,
         F.lit(0),
         lambda total, x: total
         + F.least(
             F.size(F.filter(left, lambda y: y == x)), F.size(F.filter(right, lambda y: y == x))
         ),
     )
+    sets = (F.size(F.array_distinct(left)) == F.size(left)) | (F.size(F.array_distinct(right)) == F.size(right))
+    return F.when(sets, F.size(common)).otherwise(repeated)
 
 
 def contaminated(
@@ -180,6 +186,7 @@ def contaminated(
     repeat an id count as one document with several texts, equal items are each reported, other
     columns are not read, and no documents or no items give no rows.
     """
+    spark = docs.sparkSession
     items = benchmark_items(benchmark, rules)
     widths = [row["width"] for row in items.select("width").distinct().collect()]  # at most 5 numbers
     rows = documents(docs, id_col, text_col).where("doc_id IS NOT NULL AND text IS NOT NULL")
@@ -191,10 +198,10 @@ def contaminated(
     words = rows.select("doc_id", F.xxhash64("text").alias("row"), words_of(F.col("text")).alias("words"))
     found = []
     for width in widths:
-        keys = items.where(F.col("width") == width).select("n", F.explode("shingles").alias("key")).distinct()
+        keys = items.where(F.col("width") == width).select("item", "n", F.explode("shingles").alias("key")).distinct()
         hits = places_of(words, width).join(_sized(stored(keys, "benchmark-keys"), rules.broadcast_rows), "key")
         found.append(
-            hits.groupBy("doc_id", "row", "n")
+            hits.groupBy("doc_id", "row", "item", "n")
             .agg(F.first("length").alias("length"), F.sort_array(F.collect_set("place")).alias("places"))
             .withColumn("width", F.lit(width))
         )
@@ -204,10 +211,14 @@ def contaminated(
         "doc_id", F.xxhash64("text").alias("row"), "text"
     )
     near = some.dropDuplicates(["doc_id", "row"]).join(marked, ["doc_id", "row"])
-    near = near.select("doc_id", "row", "n", "width", "length", "places", words_of(F.col("text")).alias("words"))
+    near = near.select("doc_id", "row", "item", "n", "width", "length", "places", words_of(F.col("text")).alias("words"))
+    # rows of a few hundred bytes become many windows: as many partitions as there are, none merged
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    near = near.repartition(tasks, "doc_id", "row", "item")
     shingles = F.coalesce(*[F.when(F.col("width") == w, shingles_of("words", w)) for w in widths])
     near = near.select(
         "doc_id",
+        "item",
         "n",
         "width",
         shingles.alias("all"),
@@ -216,17 +227,17 @@ def contaminated(
     windows = near.select(
         F.monotonically_increasing_id().alias("number"),
         "doc_id",
-        "n",
+        "item",
         "start",
         F.slice("all", F.col("start") + 1, F.col("n") - F.col("width") + 1).alias("window"),
     )
     windows = stored(windows, "benchmark-windows")
     longest = items.agg(F.max(F.size("shingles"))).first()[0]
-    prints = fingerprints(windows, "number", "window", longest).join(windows.select("number", "n"), "number")
+    prints = fingerprints(windows, "number", "window", longest).join(windows.select("number", "item"), "number")
 
-    index = _sized(stored(item_index(items, rules), "benchmark-index"), rules.broadcast_rows)
+    index = _sized(stored(item_index(items.select("item", "print"), rules), "benchmark-index"), rules.broadcast_rows)
     looked = prints.select(
-        "number", "n", "print", F.explode(F.sequence(F.lit(0), F.lit(rules.blocks - 1))).alias("block")
+        "number", "item", "print", F.explode(F.sequence(F.lit(0), F.lit(rules.blocks - 1))).alias("block")
     ).withColumn("value", block_of(F.col("print"), F.col("block"), rules))
     differing = F.col("print").bitwiseXOR(F.col("item_print"))
     share = rules.radius // rules.blocks
@@ -235,16 +246,13 @@ def contaminated(
         close = F.bit_count(block_of(differing, block, rules)) <= share
         earlier = earlier | ((F.col("block") > block) & close)
     candidates = (
-        looked.join(index, ["n", "block", "value"])
+        looked.join(index, ["item", "block", "value"])
         .where((F.bit_count(differing) <= rules.radius) & ~earlier)
-        .select("number", "item_id", "n")
-    )
-    bags = _sized(items.select("item_id", "n", F.col("shingles").alias("item")), rules.broadcast_rows)
-    bounds = windows.select("number", "doc_id", "start", "window")
-    compared = candidates.join(bags, ["item_id", "n"]).join(bounds, "number").withColumn(
-        "shared", shared("window", "item")
+        .select("number")
     )
-    rest = F.size("window") + F.size("item") - F.col("shared")
+    bags = _sized(items.select("item", "item_id", F.col("shingles").alias("bag")), rules.broadcast_rows)
+    compared = windows.join(candidates, "number").join(bags, "item").withColumn("shared", shared("window", "bag"))
+    rest = F.size("window") + F.size("bag") - F.col("shared")
     return (
         compared.where(100 * F.col("shared") >= rules.similarity * rest)
         .groupBy("doc_id", "item_id")

@@ -128,5 +128,6 @@ QUERIES = {
 #: DuckDB SQL by query, where SQL can express the operator.
 CHECKS: dict[str, str] = {
     "op7_near_duplicates": sql.NEAR_DUPLICATES,
+    "op9_decontamination": sql.DECONTAMINATION,
     "op12_source_audit": sql.SOURCE_AUDIT,
 }

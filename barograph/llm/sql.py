@@ -88,3 +88,57 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS IN
 FROM ranked
 WHERE part = 'pair' OR rank <= 200
 """
+
+DECONTAMINATION = """
+WITH texts AS (
+    SELECT DISTINCT doc_id, text FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
+),
+docs AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           list_filter(string_split_regex(lower(text), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+    FROM texts
+),
+given AS (
+    SELECT DISTINCT item_id,
+           list_filter(string_split_regex(lower(text), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+    FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
+),
+items AS (
+    SELECT row_number() OVER () AS i, item_id, words, len(words) AS n, least(len(words), 5) AS width
+    FROM given WHERE len(words) > 0
+),
+bags AS (
+    SELECT i, shingle, count(*) AS k FROM (
+        SELECT i, unnest(list_transform(range(1, n - width + 2),
+                                        lambda p: array_to_string(words[p:p + width - 1], ' '))) AS shingle
+        FROM items)
+    GROUP BY ALL
+),
+places AS (
+    SELECT r, width, unnest(range(0, len(words) - width + 1)) AS place,
+           unnest(list_transform(range(1, len(words) - width + 2),
+                                 lambda p: array_to_string(words[p:p + width - 1], ' '))) AS shingle
+    FROM docs, (SELECT DISTINCT width FROM items) WHERE len(words) >= width
+),
+hits AS (
+    SELECT d.r, d.doc_id, len(d.words) AS length, t.i, t.item_id, t.n, t.width, p.place, b.shingle, b.k
+    FROM places p JOIN bags b USING (shingle) JOIN items t ON t.i = b.i AND t.width = p.width JOIN docs d ON d.r = p.r
+),
+held AS (
+    SELECT r, doc_id, length, i, item_id, n, width, shingle, k,
+           unnest(range(CASE WHEN length <= n THEN 0 ELSE greatest(0, place - (n - width)) END,
+                        CASE WHEN length <= n THEN 1 ELSE least(place, length - n) + 1 END)) AS start
+    FROM hits
+),
+common AS (
+    SELECT r, doc_id, length, i, item_id, n, width, start, least(count(*), k) AS matched
+    FROM held GROUP BY r, doc_id, length, i, item_id, n, width, start, shingle, k
+),
+windows AS (
+    SELECT doc_id, item_id, start, sum(matched) AS shared,
+           (least(n, length) - width + 1) + (n - width + 1) - sum(matched) AS rest
+    FROM common GROUP BY r, doc_id, length, i, item_id, n, width, start
+)
+SELECT doc_id, item_id, max(shared / rest) AS similarity, count(*) AS windows, min(start) AS first_word
+FROM windows WHERE 100 * shared >= 75 * rest GROUP BY doc_id, item_id
+"""

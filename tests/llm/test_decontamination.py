@@ -90,3 +90,23 @@ def test_index_finds_everything_within_the_radius(spark):
 def test_plan_has_no_python(spark, docs, folder):
     found = dec.contaminated(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
     assert "Python" not in found._jdf.queryExecution().toString() and "Arrow" not in found._jdf.queryExecution().toString()
+
+
+def test_near_copies_at_the_threshold_are_found(spark):
+    """Passages with as many edits as the threshold allows: the radius may lose one in ten at most."""
+    rng = random.Random(11)
+    items, docs = [], []
+    for i in range(60):
+        words = [f"w{rng.randrange(4000)}" for _ in range(60)]
+        items.append((i, " ".join(words)))
+        copy = list(words)
+        copy[rng.randrange(10, 50)] = "edit"  # 51 of 61 shingles shared
+        filler = [f"f{rng.randrange(4000)}" for _ in range(40)]
+        docs.append((i, " ".join([*filler, *copy, *filler])))
+    found = dec.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    wanted = brute.leaks(docs, items)
+    assert len(wanted) == 60
+    assert len({(r["doc_id"], r["item_id"]) for r in found} & set(wanted)) >= 54
+    assert {(r["doc_id"], r["item_id"]) for r in found} <= set(wanted)
