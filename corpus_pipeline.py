@@ -1,7 +1,8 @@
 """The training corpus pipeline: documents become token ids of clean, distinct, fresh text.
 
-Every stage but the last returns the columns of its input. A row is known by its id, or, if that is
-null, by a number made of its text, larger than any id in use; so rows without an id are judged too.
+Every stage but the last returns the columns of its input, also columns whose names an operator uses
+itself. A row is known by its id, or, if that is null, by a number made of its text, larger than any id
+in use; so rows without an id are judged too. No documents give no rows in every stage.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ def _with_id(docs: DataFrame, name: str) -> DataFrame:
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject. Null and empty texts are scored like any
+    other; rows that repeat id and text share a verdict; without labels nothing is rejected."""
     key = unused(docs, "row_key")
     keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
     verdict = quality_model.quality(keyed, table(spark, sf_dir, "labels"), key_col=key)
@@ -30,7 +32,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one whose id names the group. Rows that repeat
-    id and text become one."""
+    id and text become one; texts without words are linked with nothing and stay."""
     ident, text_key = unused(docs, "row_id"), unused(docs, "row_text")
     keyed = _with_id(docs, ident).withColumn(text_key, F.xxhash64("text"))
     verdict = near_dedup.near_duplicates(keyed, id_col=ident)
@@ -44,7 +46,8 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage similar to a benchmark item."""
+    """Documents without a passage similar to a benchmark item. Rows that share an id share the verdict;
+    null and empty texts stay, and without benchmark items all documents do."""
     ident = unused(docs, "row_id")
     keyed = _with_id(docs, ident)
     found = decontamination.contaminated(keyed, table(spark, sf_dir, "benchmark"), id_col=ident)
@@ -53,7 +56,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in their texts replaced by a marker."""
+    """All documents, secrets in their texts replaced by a marker. Spans that overlap become one marker; a
+    null text stays null, and repeated rows stay."""
     clean = secret_scan.redacted(docs)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -61,7 +65,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids): token ids of every document, packed as little-endian 32-bit integers."""
+    """(doc_id, n_tokens, ids): token ids of every document, packed as little-endian 32-bit integers. Null
+    and empty texts have no ids; repeated rows and null ids stay."""
     encoded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return encoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
 
@@ -79,7 +84,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``; each result is stored and read again."""
+    """The stages over ``documents``; each result is stored and read again. The order of rows is not part of
+    the result, and no stage breaks ties by it."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
