@@ -58,9 +58,9 @@ class ForestRules:
     deepest: int = 4
     #: Regions of more members get a longer prefix.
     leaf: int = 32
-    neighbours: int = 3
+    neighbours: int = 2
     #: Members of other components that a member of a large region meets per round.
-    anchors: int = 4
+    anchors: int = 2
     #: Rounds go on while they leave at most this share of the components of large regions.
     progress: float = 0.8
     #: Share of equal signature values below which a candidate is not compared. At the threshold
@@ -437,8 +437,9 @@ def _across(pairs: DataFrame, found: DataFrame | None) -> DataFrame:
 
 def _leading(scored: DataFrame) -> DataFrame:
     """Of the scored pairs (a, b, equal) each text's most similar partner and its greatest hub."""
-    turned = scored.unionByName(scored.select(F.col("b").alias("a"), F.col("a").alias("b"), "equal"))
-    best = turned.groupBy("a").agg(
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = scored.select(F.explode(ways).alias("way"), "equal").select("way.*", "equal")  # scored once
+    best = both.groupBy("a").agg(
         F.max_by("b", F.struct("equal", -F.col("b"))).alias("nearest"),
         F.max_by("b", F.struct(F.xxhash64("b"), "b")).alias("hub"),
     )
