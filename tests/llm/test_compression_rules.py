@@ -77,3 +77,30 @@ def test_the_end_of_a_text_is_judged():
     assert c.judged(start[:2000], press, c.DEFAULT_BANDS)[3] == 0
     _, _, most, _, outside, fine = c.judged(start + b"again " * 170, press, c.DEFAULT_BANDS)
     assert most > c.DEFAULT_BANDS.chunk.most and outside == 1 and not fine
+
+
+def test_verdicts_equal_plain_bands(spark, docs, folder):
+    def verdict(text):
+        data = (text or "").encode()
+        if not data:
+            return True
+
+        def ratio(part):
+            return len(part) / len(zstandard.ZstdCompressor(level=3, write_content_size=False).compress(part))
+
+        limits = [(200, 0.0, 2.5), (1000, 1.1, 2.7), (4000, 1.3, 3.2), (16_000, 1.4, 3.8), (10**12, 1.5, 4.5)]
+        least, most = next((a, b) for upto, a, b in limits if len(data) <= upto)
+        chunks = [data[i : i + 2048] for i in range(0, len(data), 2048) if i + 2048 <= len(data)]
+        if chunks and len(data) % 2048:
+            chunks.append(data[len(data) - 2048 :])
+        outside = [not 1.3 <= ratio(x) <= 3.2 for x in chunks]
+        return least <= ratio(data) <= most and 4 * sum(outside) <= len(outside)
+
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    found = queries.op5_compression_rules(spark, folder).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        n, _, _, _, repeats = brute(texts[r["doc_id"]])
+        failed = n < 10 or 100 * repeats > 20 * n
+        assert r["kept"] == (not failed and verdict(texts[r["doc_id"]]))
+    assert {r["kept"] for r in found} == {True, False}

@@ -53,3 +53,31 @@ def test_clusters_separate():
     centroids, limits = lang.clustered(rows.astype(np.float32), lang.DEFAULT_RULES)
     assert sorted((rows @ centroids.T).argmax(axis=1).reshape(4, 20).std(axis=1)) == [0, 0, 0, 0]
     assert (limits > 0).all()
+
+
+def test_predictions_equal_plain_cosines(docs):
+    """Counts, weights, norms and cosines of every text written out, one n-gram at a time."""
+    import math
+    import re
+    from collections import Counter
+
+    rules = lang.LanguageRules(buckets=256, rows_per_language=30, centroids=2)
+    model = lang.fit(docs.select("doc_id", "text", "lang"), rules)
+    found = {r["doc_id"]: r for r in lang.predicted(docs, model).collect()}
+
+    def cell(gram):
+        code = int.from_bytes(gram, "big") + (len(gram) << 24)
+        return (code * 0x9E3779B97F4A7C15 % 2**64) >> 56
+
+    for row in docs.limit(60).collect():
+        data = (" " + row["text"] + " ").encode()
+        data = re.sub(rb"[A-Z]", lambda m: m[0].lower(), data)
+        data = re.sub(rb"[\x00-\x60\x7b-\x7f]+", b" ", data)
+        counts = Counter(cell(data[i : i + n]) for n in (1, 2, 3) for i in range(len(data) - n + 1))
+        vector = {k: math.log1p(n) * float(model.weights[k]) for k, n in counts.items()}
+        norm = math.sqrt(sum(v * v for v in vector.values()))
+        cosines = [sum(v / norm * float(centroid[k]) for k, v in vector.items()) for centroid in model.centroids]
+        r = found[row["doc_id"]]
+        assert abs(r["score"] - max(0.0, min(1.0, max(cosines)))) < 1e-4
+        near = [model.languages[i] for i, x in enumerate(cosines) if x > max(cosines) - 1e-5]
+        assert r["lang_pred"] in near

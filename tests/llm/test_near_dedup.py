@@ -152,3 +152,20 @@ def test_rare_shingles_lose_no_pair(spark):
     sets = {r[0]: near.shingle_set(r[3].encode(), 5) for r in rows}
     wanted = {frozenset((a, b)) for a in sets for b in sets if a < b and near.similar(sets[a], sets[b], 75)}
     assert wanted and wanted <= got
+
+
+def test_a_text_without_an_id_links_others(spark):
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(100)]
+    left, right = list(base), list(base)
+    for k in range(2):
+        left[k * 10 + 3], right[k * 10 + 55] = f"l{k}", f"r{k}"  # each is near the middle, not near the other
+    texts = [" ".join(x) for x in (left, base, right)]
+    sets = [near.shingle_set(t.encode(), 5) for t in texts]
+    assert near.similar(sets[0], sets[1], 75) and near.similar(sets[1], sets[2], 75) and not near.similar(sets[0], sets[2], 75)
+    other = " ".join(f"o{rng.randrange(10**6)}" for _ in range(50))
+    rows = [(5, texts[0]), (None, texts[1]), (9, texts[2]), (None, other), (None, other)]
+    found = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"] or 0, r["kept"]) for r in found) == [
+        (0, 0, False), (0, 0, False), (0, 5, False), (5, 5, True), (9, 5, False),
+    ]
