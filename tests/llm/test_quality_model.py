@@ -73,3 +73,66 @@ def test_partition_sums_do_not_depend_on_partitions(spark):
     penalty[-1, -1] = 0
     wanted = np.linalg.solve(z.T @ z + penalty + 1e-9 * np.eye(17), z.T @ y)
     assert np.allclose(one, wanted) and np.allclose(many, wanted)
+
+
+def test_statistics_equal_plain_counts(docs):
+    import math
+    import zlib
+    from collections import Counter
+
+    for row in docs.limit(40).collect():
+        text = row["text"].encode()
+        got = dict(zip(q.NAMES, q.statistics(text), strict=True))
+        words, lines = text.split(), [x for x in text.split(b"\n") if x.strip()]
+        tally, bytes_ = Counter(words), Counter(text)
+        entropy = -sum(n / len(text) * math.log2(n / len(text)) for n in bytes_.values())
+        plain = [
+            math.log1p(len(text)), math.log1p(len(words)), sum(map(len, words)) / len(words),
+            math.sqrt(sum((len(w) - sum(map(len, words)) / len(words)) ** 2 for w in words) / len(words)),
+            sum(len(w) > 20 for w in words) / len(words), len(tally) / len(words), max(tally.values()) / len(words),
+            sum(a == b for a, b in zip(words, words[1:], strict=False)) / len(words),
+        ]
+        assert list(got.values())[:8] == pytest.approx(plain)
+        assert list(got.values())[18:] == pytest.approx(
+            [
+                1 - len(set(lines)) / len(lines), sum(n for b, n in bytes_.items() if b >= 128) / len(text), entropy,
+                len(text) / len(zlib.compress(text, 1)), sum(w.isupper() for w in words) / len(words),
+            ]
+        )
+
+
+def test_scores_equal_a_plain_fit(spark, docs, folder):
+    """Ridge weights from all rows at once, a curve that rises by brute force, and the score of every text."""
+    rules = q.QualityRules(features=12)
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    stats = q.document_statistics(docs)
+    model = q.fit(stats, labels, rules)
+    rows = q.labelled_sample(stats, labels, rules).collect()
+    x = np.array([r["stats"] for r in rows])
+    y, fold = np.array([r["label"] for r in rows], float), np.array([r["fold"] for r in rows])
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale, np.maximum(x.std(axis=0), 1e-6))
+
+    def waves(some):
+        z = np.clip((some - x.mean(axis=0)) / np.maximum(x.std(axis=0), 1e-6), -6, 6)
+        return np.column_stack([np.cos(z @ model.waves + model.phases) * np.sqrt(2 / 12), np.ones(len(z))])
+
+    seen = fold != rules.calibration
+    z = waves(x[seen])
+    penalty = np.eye(13) * rules.ridge * len(z) / 13
+    penalty[-1, -1] = 0
+    weights = np.linalg.solve(z.T @ z + penalty + 1e-9 * np.eye(13), z.T @ y[seen])
+    assert np.allclose(model.weights, weights, atol=1e-6)
+    raw = np.floor(np.clip(waves(x[~seen]) @ weights, -1, 2) / rules.bin)
+    bins = sorted(set(raw))
+    share = [y[~seen][raw == b].mean() for b in bins]
+    size = [(raw == b).sum() for b in bins]
+    level = [  # the largest of the least means of runs that hold a bin
+        max(min(np.average(share[i : j + 1], weights=size[i : j + 1]) for j in range(k, len(bins))) for i in range(k + 1))
+        for k in range(len(bins))
+    ]
+    assert sorted(set(np.round(model.curve_y, 9))) == sorted(set(np.round(level, 9)))
+    scores = {r["doc_id"]: r["score"] for r in q.scored(stats, model, rules).collect()}
+    for r in stats.collect():
+        at = float((waves(np.array([r["stats"]])) @ weights)[0])
+        wanted = 0.999 * np.interp(at, model.curve_x, model.curve_y) + 0.001 / (1 + np.exp(-4 * (at - 0.5)))
+        assert scores[r["doc_id"]] == pytest.approx(wanted, abs=1e-5)
