@@ -437,13 +437,18 @@ def _across(pairs: DataFrame, found: DataFrame | None) -> DataFrame:
 
 def _leading(scored: DataFrame) -> DataFrame:
     """Of the scored pairs (a, b, equal) each text's most similar partner and its greatest hub."""
-    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = scored.select(F.explode(ways).alias("way"), "equal").select("way.*", "equal")  # scored once
-    best = both.groupBy("a").agg(
-        F.max_by("b", F.struct("equal", -F.col("b"))).alias("nearest"),
-        F.max_by("b", F.struct(F.xxhash64("b"), "b")).alias("hub"),
+    scored = stored(scored, "scored")
+
+    def best(end: str, other: str) -> DataFrame:
+        return scored.groupBy(F.col(end).alias("a")).agg(
+            F.max(F.struct("equal", (-F.col(other)).alias("back"), F.col(other).alias("b"))).alias("nearest"),
+            F.max(F.struct(F.xxhash64(other).alias("chance"), F.col(other).alias("b"))).alias("hub"),
+        )
+
+    both = best("a", "b").unionByName(best("b", "a")).groupBy("a").agg(
+        F.max("nearest").alias("nearest"), F.max("hub").alias("hub")
     )
-    return _once(best.select("a", F.explode(F.array("nearest", "hub")).alias("b")))
+    return _once(both.select("a", F.explode(F.array("nearest.b", "hub.b")).alias("b")))
 
 
 def contracted(found: DataFrame | None, links: DataFrame) -> DataFrame:
