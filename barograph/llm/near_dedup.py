@@ -482,7 +482,7 @@ def linked(classes: DataFrame, rows: DataFrame, rules: ForestRules) -> DataFrame
 
     alone = members.withColumn("component", F.col("rep"))
     small = F.col("n") <= rules.leaf
-    first = _neighbours(alone.where(small), rules.neighbours).unionByName(_with_hubs(members))
+    first = _neighbours(alone.where(small), rules.neighbours).unionByName(_with_hubs(members.where(~small)))
     add(_leading(promising(_once(first), signatures, rules.share * rules.hashes)))
 
     placed = _known(members, found, "rep", "component")
