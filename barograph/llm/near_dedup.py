@@ -6,7 +6,7 @@
    region is a set of representatives with a common prefix in one tree. Where a region holds many,
    the prefix grows, region by region, until few are left.
 3. First candidates are neighbours by longest common prefix, the next ones in the sorted order inside
-   a small region, and the hub of every region, the member with the greatest hash. Of its candidates
+   a small region, and the hub of a large one, the member with the greatest hash. Of its candidates
    with a similar signature, each text is compared with the most similar one and with the greatest
    hub, on the full shingle sets. Their links are contracted to components. In large regions that
    hold several components, members meet anchors of other components, round by round.
