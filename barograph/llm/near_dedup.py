@@ -59,6 +59,8 @@ class ForestRules:
     #: Regions of more members get a longer prefix.
     leaf: int = 32
     neighbours: int = 2
+    #: Trees whose large regions name hubs; the same few texts are hubs in all trees.
+    hub_trees: int = 16
     #: Members of other components that a member of a large region meets per round.
     anchors: int = 2
     #: Rounds go on while they leave at most this share of the components of large regions.
@@ -482,7 +484,7 @@ def linked(classes: DataFrame, rows: DataFrame, rules: ForestRules) -> DataFrame
 
     alone = members.withColumn("component", F.col("rep"))
     small = F.col("n") <= rules.leaf
-    first = _neighbours(alone.where(small), rules.neighbours).unionByName(_with_hubs(members.where(~small)))
+    first = _neighbours(alone.where(small), rules.neighbours).unionByName(_with_hubs(members.where(~small & (F.col("tree") < rules.hub_trees))))
     add(_leading(promising(_once(first), signatures, rules.share * rules.hashes)))
 
     placed = _known(members, found, "rep", "component")
