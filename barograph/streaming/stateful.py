@@ -1,13 +1,14 @@
-"""Streaming jobs whose state is kept row by row in the state store and moved on by event-time timers.
+"""Streaming jobs whose state is kept in the state store and moved on by event-time timers.
 
-Rows wait in the state, one entry per hour, until the watermark has passed their hour; then a timer
-hands them over in order. So a result does not depend on the order of arrival, and no task ever holds
-more than the rows of one key and hour. Rows whose hour the watermark has passed are dropped.
+Rows wait in the state until the watermark has passed their hour; then a timer hands them over in
+order. So a result does not depend on the order of arrival. The few waiting rows of a usual key are one
+entry of the state with one timer; those of a busy key are entries per hour, and no task ever holds more
+than ``HELD`` rows or the rows of one key and hour. Rows whose hour the watermark has passed are dropped.
 """
 
 from __future__ import annotations
 
-import struct
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -23,17 +24,34 @@ from barograph.session import ship_package
 c = F.col
 HOUR = 3_600_000_000
 DAY_MS = 86_400_000
-#: Rows of one micro-batch that are held before they go to the state.
-HELD = 8192
-
-_HOUR_KEY = T.StructType([T.StructField("hour", T.LongType())])
-_TIMES = T.StructType([T.StructField("times", T.BinaryType())])
+#: Times that a key may leave waiting in its one entry; with more it has entries per hour.
+FEW = 4096
+#: Rows of one micro-batch that are held before they go to the entries per hour.
+HELD = 262_144
+#: Bytes of an entry that is closed; later times of its hour start another one.
+PART = 65_536
+
+_HEAD = T.StructType(
+    [T.StructField("last", T.LongType()), T.StructField("hours", T.LongType()), T.StructField("few", T.BinaryType())]
+)
+_SLOT = T.StructType([T.StructField("hour", T.LongType()), T.StructField("part", T.LongType())])
+_TIMES = T.StructType([T.StructField("times", T.BinaryType()), T.StructField("parts", T.LongType())])
 _LAST = T.StructType([T.StructField("last", T.LongType())])
 
 
+def _end_of_hour(time: int) -> int:
+    return (time // HOUR + 1) * HOUR
+
+
 class Cooldown(StatefulProcessor):
     """Times of a key, each accepted unless it follows the last accepted one within the cooldown. The
-    state is that time and the waiting times, packed per hour. Repeated times count once."""
+    state is that time and the waiting times. Repeated times count once.
+
+    Waiting times are packed into the head of the key, with a timer at the end of the first hour, so a key
+    costs a few calls of the state per micro-batch, whatever hours its rows have. Beyond ``FEW`` they are
+    parked per hour, each with its timer, in parts that are written once when they are full. A key has
+    either ``few`` times or parked ``hours``, never both.
+    """
 
     def __init__(self, cooldown: int, every_row: bool):
         self.cooldown = cooldown
@@ -41,45 +59,85 @@ class Cooldown(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", _LAST)
-        self.waiting = handle.getMapState("waiting", _HOUR_KEY, _TIMES)
+        self.head = handle.getValueState("head", _HEAD)
+        self.parked = handle.getMapState("parked", _SLOT, _TIMES)
+
+    def _head(self) -> tuple[int | None, int, array]:
+        head = self.head.get()
+        return (head[0], head[1], array("q", bytes(head[2]))) if head else (None, 0, array("q"))
+
+    def _wake(self, end_of_hour: int) -> None:
+        self.handle.registerTimer(end_of_hour // 1000)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        held: dict[int, list[int]] = defaultdict(list)
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        n = 0
+        last, hours, waiting = self._head()
         for row in rows:
-            hour = row["_t"] // HOUR
-            if (hour + 1) * HOUR <= passed:  # late: its hour is decided
+            if _end_of_hour(row["_t"]) <= passed:  # late: its hour is decided
                 continue
-            held[hour].append(row["_t"])
-            n += 1
-            if n % HELD == 0:
-                self._keep(held)
-        self._keep(held)
+            waiting.append(row["_t"])
+            if len(waiting) == HELD:
+                hours += self._park(waiting)
+                waiting = array("q")
+        if waiting and (hours or len(waiting) > FEW):
+            hours += self._park(waiting)
+            waiting = array("q")
+        if waiting:
+            self._wake(_end_of_hour(min(waiting)))
+        if waiting or hours:
+            self.head.update((last, hours, waiting.tobytes()))
         return iter(())
 
-    def _keep(self, held: dict[int, list[int]]) -> None:
-        for hour, times in held.items():
-            known = self.waiting.getValue((hour,))
-            packed = bytes(known[0]) if known else b""
+    def _park(self, times: array) -> int:
+        """Add times to the entries of their hours; how many hours are new."""
+        by_hour: dict[int, array] = defaultdict(lambda: array("q"))
+        for time in times:
+            by_hour[time // HOUR].append(time)
+        fresh = 0
+        for hour, some in by_hour.items():
+            known = self.parked.getValue((hour, 0))
             if not known:
-                self.handle.registerTimer((hour + 1) * HOUR // 1000)
-            self.waiting.updateValue((hour,), (packed + struct.pack(f"<{len(times)}q", *times),))
-        held.clear()
+                fresh += 1
+                self._wake((hour + 1) * HOUR)
+            packed, parts = (bytes(known[0]), known[1]) if known else (b"", 0)
+            packed += some.tobytes()
+            if len(packed) >= PART:
+                parts += 1
+                self.parked.updateValue((hour, parts), (packed, 0))
+                packed = b""
+            self.parked.updateValue((hour, 0), (packed, parts))
+        return fresh
+
+    def _taken(self, hour: int) -> array:
+        """The parked times of an hour, which leave the state."""
+        packed, parts = self.parked.getValue((hour, 0))
+        times = array("q", bytes(packed))
+        for part in range(1, parts + 1):
+            times.frombytes(bytes(self.parked.getValue((hour, part))[0]))
+        for part in range(parts + 1):
+            self.parked.removeKey((hour, part))
+        return times
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        hour = expiredTimerInfo.getExpiryTimeInMs() * 1000 // HOUR - 1
-        packed = bytes(self.waiting.getValue((hour,))[0])
-        self.waiting.removeKey((hour,))
-        last = self.last.get()[0] if self.last.exists() else None
-        for time in sorted(set(struct.unpack(f"<{len(packed) // 8}q", packed))):
+        last, hours, waiting = self._head()
+        if hours:
+            due = self._taken(expiredTimerInfo.getExpiryTimeInMs() * 1000 // HOUR - 1)
+            hours -= 1
+        else:  # all that is due, at the first of its timers
+            passed = timerValues.getCurrentWatermarkInMs() * 1000
+            due = [time for time in waiting if _end_of_hour(time) < passed]
+            if not due:
+                return
+            waiting = array("q", [time for time in waiting if _end_of_hour(time) >= passed])
+            if waiting:
+                self._wake(_end_of_hour(min(waiting)))
+        for time in sorted(set(due)):
             accepted = last is None or time - last >= self.cooldown
             if accepted:
                 last = time
             if accepted or self.every_row:
                 yield Row(key=key[0], _t=time, accepted=accepted)
-        self.last.update((last,))
+        self.head.update((last, hours, waiting.tobytes()))
 
     def close(self) -> None:
         pass
