@@ -38,8 +38,10 @@ def _(ctx: Context):
 
 @query("stream_alert_dedup")
 def _(ctx: Context):
-    stream = stateful.stream_alert_dedup(events(ctx), "event_type", 24)
-    return jobs.run_to_table(ctx.spark, stream, "stream-alerts", by_row=True)
+    """All alerts that are sent, to the end of the table."""
+    rows, end = jobs.with_end(events(ctx))
+    stream = stateful.stream_alert_dedup(rows, "event_type", 24)
+    return jobs.run_to_table(ctx.spark, stream, "stream-alerts", by_row=True, end=end)
 
 
 @query("stream_retrain_cooldown")

@@ -8,7 +8,7 @@ executor or a restart resumes from them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +36,28 @@ def read_stream(spark: SparkSession, folder: str, table: str, max_files: int = 2
     return rows.withColumn("ts", c("ts").cast("timestamp")) if "ts" in rows.columns else rows
 
 
+#: Seconds of the year 9999, a time beyond all rows.
+END = 253_370_764_800
+
+
+def with_end(src: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+    """The rows of a bounded stream, and a function that ends it: a last row, of nulls and a time beyond all
+    others, comes through a second source and moves the watermark past every row. What waits for the
+    watermark is decided then; the last row itself waits for ever."""
+    spark = src.sparkSession
+    folder = scratch_path(spark, "stream-end")
+    spark.createDataFrame([], src.schema).write.parquet(folder)
+
+    def end() -> None:
+        values = [
+            (F.timestamp_seconds(F.lit(END)) if field.name == "ts" else F.lit(None)).cast(field.dataType).alias(field.name)
+            for field in src.schema
+        ]
+        spark.range(1).select(*values).write.mode("append").parquet(folder)
+
+    return src.unionByName(spark.readStream.schema(src.schema).parquet(folder)), end
+
+
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
@@ -51,10 +73,15 @@ def row_state(spark: SparkSession) -> Iterator[None]:
 
 
 def run_to_table(
-    spark: SparkSession, stream: DataFrame, label: str, mode: str = "append", by_row: bool = False
+    spark: SparkSession,
+    stream: DataFrame,
+    label: str,
+    mode: str = "append",
+    by_row: bool = False,
+    end: Callable[[], None] | None = None,
 ) -> DataFrame:
     """Drain the stream into Parquet in the shared folder and read it back. ``by_row`` is for streams with
-    stateful processors."""
+    stateful processors; ``end`` (of :func:`with_end`) ends the stream once it is drained."""
     out = scratch_path(spark, label)
     writer = (
         stream.writeStream.outputMode(mode)
@@ -63,13 +90,20 @@ def run_to_table(
         .option("checkpointLocation", scratch_path(spark, f"{label}-state"))
         .trigger(availableNow=True)
     )
-    if by_row:
-        with row_state(spark):
+
+    def drain() -> None:
+        if by_row:
+            with row_state(spark):
+                query = writer.start()
+                query.awaitTermination()
+        else:
             query = writer.start()
             query.awaitTermination()
-    else:
-        query = writer.start()
-        query.awaitTermination()
+
+    drain()
+    if end is not None:
+        end()
+        drain()  # the same query goes on from its checkpoint
     return spark.read.schema(stream.schema).parquet(out)
 
 

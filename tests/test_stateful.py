@@ -7,6 +7,7 @@ from types import SimpleNamespace
 import pytest
 
 from barograph.operators.monitoring import alert_dedup
+from barograph.queries import all_queries
 from barograph.streaming import jobs, repair, stateful
 from tests.test_streaming import T0, stream_of
 
@@ -76,6 +77,16 @@ def test_retrains_in_cooldown_become_alerts(spark, tmp_path):
     }
 
 
+def test_alerts_of_the_last_day_are_decided_when_the_table_ends(spark, tmp_path):
+    times = [("a", T0 + timedelta(hours=h)) for h in (0, 5, 30, 60, 61)] + [("b", T0 + timedelta(hours=61, minutes=30))]
+    rows = [(n, t, n, key, 1.0) for n, (key, t) in enumerate(times)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    got = all_queries()["stream_alert_dedup"](spark, str(tmp_path)).collect()
+    wanted = {(k, t) for k in "ab" for t in chained([t for key, t in times if key == k], timedelta(hours=24))}
+    assert {tuple(r) for r in got} == wanted and len(got) == len(wanted) == 4
+
+
 class KeptState:
     """The state of one key in memory, counting the calls that go to the state store."""
 
