@@ -1,7 +1,7 @@
 """Balanced label propagation: documents into shards of equal row counts, linked ones together.
 
 Documents are linked through hubs: all documents of one hub (here: of one text) belong together. A
-label is a shard; documents of a hub start with the same one. In each round
+label is a shard; documents start evenly spread. In each round
 
 * hubs count the labels of their documents and choose the fullest shards that have room for all;
 * documents elsewhere ask to move there;
@@ -230,21 +230,24 @@ def sharded(
     order = ["chance", "doc_id", "node"]
 
     hubs = rows.where("hub IS NOT NULL").groupBy("hub").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-    links = stored(rows.select("node", "chance", "doc_id", "hub").join(hubs, "hub"), "shard-links")
-    start = links.select("node", F.pmod(F.xxhash64("hub"), F.lit(rules.shards)).cast("int").alias("shard"))
-    labels = propagated(links.select("node", "hub", "k"), stored(start, "shard-labels"), quotas, rules)
+    # members of a hub by number; labels belong to numbers, so they do not depend on how the table is split
+    members = rows.select("node", "chance", "doc_id", "hub").join(hubs, "hub")
+    members = numbered(members, ["hub"], F.pmod(F.col("chance"), F.lit(buckets)), order, "number")
+    links = stored(members.withColumn("member", F.xxhash64("hub", "number")), "shard-links")
+    linked = links.select(F.col("member").alias("node"), "hub", "k")
+    start = linked.select("node", F.pmod("node", F.lit(rules.shards)).cast("int").alias("shard"))
+    labels = propagated(linked, stored(start, "shard-labels"), quotas, rules)
 
     # a group that propagation left in several shards settles where most of it is
-    here = links.join(labels, "node").groupBy("hub", "k", "shard").agg(F.count(F.lit(1)).alias("votes"))
+    here = linked.join(labels, "node").groupBy("hub", "k", "shard").agg(F.count(F.lit(1)).alias("votes"))
     groups = here.groupBy("hub", F.col("k").alias("n")).agg(F.max_by("shard", F.struct("votes", "shard")).alias("shard"))
     pieces, room = settled(stored(groups, "shard-hubs"), quotas, rules)
 
-    # members of a hub by number: up to ``to`` they go to ``shard``; a list has one entry per shard at most
+    # members up to the number ``to`` go to ``shard``; a list has one entry per shard at most
     piece = F.struct((F.col("from") + F.col("n")).alias("to"), "shard")
     of_hub = pieces.groupBy("hub").agg(F.sort_array(F.collect_list(piece)).alias("pieces"))
-    members = numbered(links.drop("k"), ["hub"], F.pmod(F.col("chance"), F.lit(buckets)), order, "number")
     mine = F.filter("pieces", lambda p: p["to"] > F.col("number"))[0]["shard"]
-    kept = stored(members.join(of_hub, "hub").select("node", mine.alias("shard")), "shard-kept")
+    kept = stored(links.join(of_hub, "hub").select("node", mine.alias("shard")), "shard-kept")
     merged = stored(
         rows.join(kept.withColumn("linked", F.lit(True)), "node", "left").withColumn("linked", F.coalesce("linked", F.lit(False))),
         "shard-merged",

@@ -64,6 +64,32 @@ def test_documents_with_several_hubs(spark):
     assert max(Counter(labels.values()).values()) <= 6
 
 
+def test_propagation_decides_where_groups_go(spark, monkeypatch):
+    rows = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("g"), F.floor(F.col("id") / 2) % 150).alias("text"))
+    rules = sharding.ShardRules(shards=5)
+    rounds, kept = [], sharding.propagated
+
+    def watched(links, start, quotas, rules):
+        before = {r["node"]: r["shard"] for r in start.collect()}
+        labels = kept(links, start, quotas, rules)
+        rounds.append((before, {r["node"]: r["shard"] for r in labels.collect()}, links.collect()))
+        return labels
+
+    monkeypatch.setattr(sharding, "propagated", watched)
+    found = {r["doc_id"]: r["shard"] for r in sharding.sharded(rows, rules).collect()}
+    monkeypatch.setattr(sharding, "propagated", lambda links, start, quotas, rules: start)
+    without = {r["doc_id"]: r["shard"] for r in sharding.sharded(rows, rules).collect()}
+    assert found != without
+    (before, after, links), = rounds
+    spread = [defaultdict(set), defaultdict(set)]
+    for r in links:
+        for where, labels in zip(spread, (before, after), strict=True):
+            where[r["hub"]].add(labels[r["node"]])
+    apart = [sum(len(s) > 1 for s in where.values()) for where in spread]
+    assert apart[1] < apart[0]
+    assert max(Counter(after.values()).values()) <= 80
+
+
 def test_numbers_are_gapless(spark):
     rows = spark.range(500).withColumn("g", F.col("id") % 3)
     out = sharding.numbered(rows, ["g"], F.pmod(F.xxhash64("id"), F.lit(7)), ["id"], "number").collect()
