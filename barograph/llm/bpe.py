@@ -25,7 +25,7 @@ NONE = np.int32(2**31 - 1)
 #: (leftmost pair of minimum rank), but a round costs the logarithm of the length, not the length.
 LONGEST_ROW = 512
 #: Cells of one matrix, and bytes of words and ids that a task remembers; both bound memory, not results.
-CELLS = 1_000_000
+CELLS = 250_000
 REMEMBERED = 16_000_000
 #: What a remembered word takes besides its text and ids.
 ENTRY = 200
@@ -259,8 +259,9 @@ def codec(data: bytes, pattern: str) -> Codec:
     return _codecs[key]
 
 
-#: Text bytes that are encoded at once.
-PORTION = 2_000_000
+#: Text characters that are encoded at once, and bytes of a batch that are unpacked at once.
+PORTION = 500_000
+UNPACKED = 1_000_000
 
 
 def _by_portion(texts: list, step: Callable[[list], list]) -> Iterator:
@@ -298,7 +299,10 @@ def encode(
         return step
 
     return by_batch(
-        documents(docs, id_col, text_col), make, "doc_id long, ids binary" + ", decoded binary" * decoded
+        documents(docs, id_col, text_col),
+        make,
+        "doc_id long, ids binary" + ", decoded binary" * decoded,
+        UNPACKED,
     )
 
 
@@ -323,6 +327,7 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
         encoded.select("doc_id", F.col(ids_col).alias("ids")),
         make,
         "doc_id long, ids binary, decoded binary",
+        UNPACKED,
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
@@ -71,20 +72,29 @@ def pieces(batches: Iterable[pa.RecordBatch], size: int = PIECE) -> Iterator[pa.
             yield batch.slice(at, rows)
 
 
+def give_back() -> None:
+    """Return free memory to the system: Arrow's, and that of the C library where it can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def by_batch(
     df: DataFrame,
     make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
     schema: str,
+    piece: int = PIECE,
 ) -> DataFrame:
     """Apply ``make()`` once per task, and what it returns to the Arrow batches of the task, piece by
-    piece, so that no more than ``PIECE`` bytes (or one row) are unpacked at once."""
+    piece, so that no more than ``piece`` bytes (or one row) are unpacked at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
-        for batch in pieces(batches):
+        for batch in pieces(batches, piece):
             yield step(batch)
         del step
-        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
+        give_back()  # the worker goes on to other tasks
 
     ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)

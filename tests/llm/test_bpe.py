@@ -1,6 +1,7 @@
 import hashlib
 import random
 import struct
+import tracemalloc
 
 import public_tokenizers
 import pytest
@@ -64,6 +65,19 @@ def test_forgetting_words_changes_nothing(codec, monkeypatch):
     assert sizes[2] < sizes[1]  # forgotten in between
 
 
+def test_memory_of_new_words_is_bounded(codec):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("etaoinsr") for _ in range(48)) for _ in range(24_000)]
+    texts = [" ".join(words[k : k + 200]) for k in range(0, len(words), 200)]
+    memory = bpe.Memory()
+    tracemalloc.start()
+    encoded = list(bpe._by_portion(texts, lambda some: codec.encode(some, memory)))
+    kept, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert [bpe.joined(x, codec.tokens).decode() for x in encoded] == texts
+    assert peak - kept < 15_000_000
+
+
 def test_rows_of_spark(odd, none, reference):
     rows = bpe.digests(bpe.encode(odd, PATH, public_tokenizers.PATTERN, decoded=True))
     again = bpe.digests(bpe.decode(bpe.encode(odd, PATH, public_tokenizers.PATTERN), PATH))
